@@ -1,0 +1 @@
+"""Intentionally empty: the engine is batch only; no source here is a stream."""
