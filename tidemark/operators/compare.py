@@ -38,25 +38,21 @@ def compare_fingerprints(
     before: DataFrame, after: DataFrame, exclude: Sequence[str] = ()
 ) -> DataFrame:
     """One row: both row counts, both content hashes, and whether they agree."""
-    b = content_fingerprint(before, exclude).select(
-        F.lit(1).alias("_i"),
-        F.col("n_rows").alias("rows_before"),
-        F.col("content_hash").alias("hash_before"),
+    both = (
+        content_fingerprint(before, exclude)
+        .withColumn("side", F.lit("before"))
+        .unionByName(content_fingerprint(after, exclude).withColumn("side", F.lit("after")))
     )
-    a = content_fingerprint(after, exclude).select(
-        F.lit(1).alias("_i"),
-        F.col("n_rows").alias("rows_after"),
-        F.col("content_hash").alias("hash_after"),
-    )
-    return b.join(a, "_i").select(
-        "rows_before",
-        "rows_after",
-        "hash_before",
-        "hash_after",
-        (
-            (F.col("rows_before") == F.col("rows_after"))
-            & (F.col("hash_before") == F.col("hash_after"))
-        ).alias("same"),
+    of = lambda c, side: F.max(F.when(F.col("side") == side, F.col(c)))
+    return both.agg(
+        of("n_rows", "before").alias("rows_before"),
+        of("n_rows", "after").alias("rows_after"),
+        of("content_hash", "before").alias("hash_before"),
+        of("content_hash", "after").alias("hash_after"),
+    ).withColumn(
+        "same",
+        (F.col("rows_before") == F.col("rows_after"))
+        & (F.col("hash_before") == F.col("hash_after")),
     )
 
 

@@ -18,6 +18,7 @@ def local_session(app: str = "tidemark", cores: int | str = "*", **conf: str) ->
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
         **conf,
     }

@@ -40,7 +40,7 @@ COMMIT_SCHEMA = (
     "num_source bigint, num_inserted bigint, num_updated bigint, rows bigint, "
     "label string, schema_json string, ts timestamp_ntz"
 )
-_LAYOUT = {"v": "int", "run": "string", "op": "string"}
+_LAYOUT = {"v": T.IntegerType(), "run": T.StringType(), "op": T.StringType()}
 
 
 class MissingTable(LookupError):
@@ -116,8 +116,8 @@ class VersionedTable:
 
     def _scan(self, log: list) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(log[-1]["schema_json"]))
-        for name, ddl in _LAYOUT.items():
-            schema = schema.add(name, ddl)
+        for name, kind in _LAYOUT.items():
+            schema = schema.add(name, kind)
         paths = [self._part(r["version"], r["run"]) for r in log if r["num_inserted"] or r["num_updated"]]
         if not paths:
             return self.spark.createDataFrame([], schema)
