@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.catalogue.base import SQL_REGISTRY, quarter_registry, query, table, text
 from tidemark.model import BATCH_ID, INGEST_TS, ROW_HASH, instant
+from tidemark.functions.frames import one_row
 from tidemark.functions.hashing import row_hash
 from tidemark.operators.merge import (
     ambiguous_keys,
@@ -15,7 +16,7 @@ from tidemark.operators.merge import (
     newer,
     upsert,
 )
-from tidemark.plans.lake import BatchRecord, Lake
+from tidemark.plans.lake import REGISTRY_SCHEMA, BatchRecord, Lake
 from tidemark.session import scratch_folder
 from tidemark.sources.tables import VersionedTable
 
@@ -238,9 +239,8 @@ def registry_lookup(spark, sf):
     lake = Lake(spark, scratch_folder(spark, "lake"))
     lake.registry.merge(quarter_registry(spark, sf), ["batch_id"])
     found = lake.lookup("b-1998q2")
-    return spark.createDataFrame(
-        [(found.batch_id, found.manifest_json, found.delta_version)],
-        "batch_id string, manifest_json string, delta_version bigint",
+    return one_row(
+        spark, (found.batch_id, found.manifest_json, found.delta_version), REGISTRY_SCHEMA
     )
 
 

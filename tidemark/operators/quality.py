@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,15 +70,36 @@ def type_mismatches(schema: T.StructType, types: Mapping[str, str]) -> str | Non
     return "; ".join(wrong) or None
 
 
-def column_counters(contract: Contract, where: Column | None = None) -> list[Column]:
-    """Row count plus one violation counter per column rule, for a single pass."""
-    scope = F.lit(True) if where is None else where
-    out = [F.count_if(scope).alias("rows")]
-    for c in contract.complete:
-        out.append(F.count_if(scope & F.col(c).isNull()).alias(f"completeness:{c}"))
-    for c in contract.non_negative:
-        out.append(F.count_if(scope & (F.col(c) < 0)).alias(f"non-negative:{c}"))
-    return out
+def contract_counts(batch: DataFrame, contract: Contract) -> DataFrame:
+    """One row with the batch size and the violation count of every rule.
+
+    Rows are folded per unique key first (partial counts merge before the
+    shuffle, so a heavily repeated key costs one row per task), which gives
+    key and column rules in a single pass.  NULL keys group together.
+    """
+    rules = {f"completeness:{c}": F.col(c).isNull() for c in contract.complete}
+    rules |= {f"non-negative:{c}": F.col(c) < 0 for c in contract.non_negative}
+    counters = [F.count(F.lit(1)).alias("rows")]
+    counters += [F.count_if(broken).alias(name) for name, broken in rules.items()]
+    if not contract.unique:
+        return batch.agg(*counters)
+    per_key = batch.groupBy(*contract.unique).agg(*counters)
+    return per_key.agg(
+        *[F.coalesce(F.sum(f"`{n}`"), F.lit(0)).alias(n) for n in ("rows", *rules)],
+        F.count_if(F.col("rows") > 1).alias(_unique_rule(contract)),
+    )
+
+
+def _unique_rule(contract: Contract) -> str:
+    return "uniqueness:" + ",".join(contract.unique)
+
+
+def _rules(contract: Contract) -> list[tuple[str, str]]:
+    """``(constraint, target)`` of every rule, in report order."""
+    out = [("completeness", c) for c in contract.complete]
+    if contract.unique:
+        out.append(("uniqueness", ",".join(contract.unique)))
+    return out + [("non-negative", c) for c in contract.non_negative]
 
 
 def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -104,66 +125,50 @@ def excess_row_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def violation_frame(batch: DataFrame, contract: Contract) -> DataFrame:
     """Lazy form of the gate's evidence: ``(check, constraint, target, violations)``.
 
-    One scan feeds all column rules and one shuffle the key rule; only rules
-    that are violated give a row.
+    Only rules that are violated give a row.
     """
-    counters = column_counters(contract)[1:]
-    names = [("completeness", c) for c in contract.complete]
-    names += [("non-negative", c) for c in contract.non_negative]
-    parts = []
-    if counters:
-        rows = F.array(
-            *[
-                F.struct(
-                    F.lit(kind).alias("constraint"),
-                    F.lit(c).alias("target"),
-                    F.col(f"`{kind}:{c}`").alias("violations"),
-                )
-                for kind, c in names
-            ]
-        )
-        parts.append(batch.agg(*counters).select(F.inline(rows)))
-    if contract.unique:
-        parts.append(
-            duplicate_group_count(batch, contract.unique).select(
-                F.lit("uniqueness").alias("constraint"),
-                F.lit(",".join(contract.unique)).alias("target"),
-                "violations",
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(kind).alias("constraint"),
+                F.lit(target).alias("target"),
+                F.col(f"`{kind}:{target}`").alias("violations"),
             )
-        )
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionByName(p)
-    return found.filter("violations > 0").select(
-        F.lit(contract.name).alias("check"), "constraint", "target", "violations"
+            for kind, target in _rules(contract)
+        ]
+    )
+    return (
+        contract_counts(batch, contract)
+        .select(F.inline(rows))
+        .filter("violations > 0")
+        .select(F.lit(contract.name).alias("check"), "constraint", "target", "violations")
     )
 
 
-def gate(batch: DataFrame, contract: Contract, counted: Mapping[str, int] | None = None) -> Outcome:
-    """Judge a typed batch.
+@dataclass(frozen=True)
+class Judged:
+    """Outcome of the gate and the number of rows it looked at."""
 
-    ``counted`` may hold the values of :func:`column_counters` when an earlier
-    pass over the same rows already took them; only uniqueness is left then.
-    """
+    outcome: Outcome
+    rows: int = 0
+
+
+def judge(batch: DataFrame, contract: Contract) -> Judged:
+    """Judge a typed batch in one pass over it."""
     wrong = type_mismatches(batch.schema, contract.types)
     if wrong:
-        return Outcome(UNEVALUABLE, wrong)
+        return Judged(Outcome(UNEVALUABLE, wrong))
     try:
-        if counted is None:
-            counted = batch.agg(*column_counters(contract)).first().asDict()
-        if counted["rows"] == 0:
-            return Outcome(UNEVALUABLE, "empty batch where rows expected")
-        found = [
-            Violation("completeness", c, counted[f"completeness:{c}"]) for c in contract.complete
-        ]
-        if contract.unique:
-            groups = duplicate_group_count(batch, contract.unique).first()[0]
-            found.append(Violation("uniqueness", ",".join(contract.unique), groups))
-        found += [
-            Violation("non-negative", c, counted[f"non-negative:{c}"])
-            for c in contract.non_negative
-        ]
+        counted = contract_counts(batch, contract).first().asDict()
     except Exception as e:  # fail closed: what cannot be evaluated is never a pass
-        return Outcome(UNEVALUABLE, f"analyzer error: {type(e).__name__}: {e}")
+        return Judged(Outcome(UNEVALUABLE, f"analyzer error: {type(e).__name__}: {e}"))
+    if counted["rows"] == 0:
+        return Judged(Outcome(UNEVALUABLE, "empty batch where rows expected"))
+    found = [Violation(kind, t, counted[f"{kind}:{t}"]) for kind, t in _rules(contract)]
     violated = tuple(v for v in found if v.count)
-    return Outcome(FAIL, violations=violated) if violated else Outcome(PASS)
+    outcome = Outcome(FAIL, violations=violated) if violated else Outcome(PASS)
+    return Judged(outcome, counted["rows"])
+
+
+def gate(batch: DataFrame, contract: Contract) -> Outcome:
+    return judge(batch, contract).outcome

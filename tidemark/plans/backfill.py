@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.frames import one_row
 from tidemark.operators.quality import QualityHalt
 from tidemark.plans.gold import rebuild_gold
 from tidemark.plans.ingest import ingest_quarter
@@ -35,9 +36,7 @@ class Ledger:
     def record(self, quarter, status, exit_code, wall_s, line, code_version) -> None:
         now = datetime.now(timezone.utc).replace(tzinfo=None)
         row = (quarter, status, exit_code, wall_s, line, code_version, now)
-        self.spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1).write.mode("append").json(
-            self.path
-        )
+        one_row(self.spark, row, LEDGER_SCHEMA).write.mode("append").json(self.path)
 
     def todo(self, quarters: Sequence[str]) -> list[str]:
         """Quarters still to run, in time order."""

@@ -88,7 +88,8 @@ def ingest_quarter(
     # A resend keeps its stored rows but counts as loaded now, as in any later stage.
     stored = lake.bronze_facts.read().filter(this_batch).select(*facts.columns)
     stored = stored.withColumn(INGEST_TS, instant(ingest_ts))
-    return Ingested(stored, cast_filings(raw_filings, model), batch_id, version)
+    stored_filings = lake.bronze_filings.read().filter(this_batch).drop(INGEST_TS)
+    return Ingested(stored, cast_filings(stored_filings, model), batch_id, version)
 
 
 def _to_declared(df: DataFrame, declared: Sequence[str]) -> DataFrame:

@@ -7,10 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.frames import one_row
 from tidemark.model import BATCH_ID, FILED_FACTS, FactModel
 from tidemark.sources.tables import VersionedTable
 
-REGISTRY_SCHEMA = "batch_id string not null, manifest_json string not null, delta_version bigint not null"
+REGISTRY_SCHEMA = "batch_id string, manifest_json string, delta_version bigint"
 UNEVALUABLE_SCHEMA = "batch_id string, reason string"
 
 
@@ -42,9 +43,8 @@ class Lake:
 
     def register(self, record: BatchRecord) -> None:
         """Record a batch; registering it again moves its retrieval version."""
-        row = self.spark.createDataFrame(
-            [(record.batch_id, record.manifest_json, record.delta_version)], REGISTRY_SCHEMA
-        )
+        cells = (record.batch_id, record.manifest_json, record.delta_version)
+        row = one_row(self.spark, cells, REGISTRY_SCHEMA)
         self.registry.merge(row, ["batch_id"], num_source=1, source_unique=True)
 
     def lookup(self, batch_id: str) -> BatchRecord | None:

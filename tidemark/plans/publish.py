@@ -8,13 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.frames import one_row
 from tidemark.operators.audit import AuditOutcome, run_audit
 from tidemark.operators.probe import probe
 from tidemark.operators.twins import lookahead_twin, require_twin_destination
 from tidemark.plans.lake import Lake
 from tidemark.sources.tables import MissingTable, VersionedTable
 
-POINTER_SCHEMA = "name string not null, root string, version bigint"
+POINTER_SCHEMA = "name string, root string, version bigint"
 
 
 class Published:
@@ -24,7 +25,7 @@ class Published:
         self.spark, self.name, self.pointers = spark, name, VersionedTable(spark, root)
 
     def point_to(self, table: VersionedTable, version: int) -> None:
-        row = self.spark.createDataFrame([(self.name, table.root, version)], POINTER_SCHEMA)
+        row = one_row(self.spark, (self.name, table.root, version), POINTER_SCHEMA)
         self.pointers.merge(row, ["name"], num_source=1, source_unique=True)
 
     def read(self) -> DataFrame:
@@ -58,8 +59,9 @@ class PublishRecord:
             self.published,
             self.credited,
         )
-        return spark.createDataFrame(
-            [row],
+        return one_row(
+            spark,
+            row,
             "candidate string, twin string, planted bigint, twin_a1 bigint, "
             "control_passed boolean, probe_passed boolean, published boolean, credited boolean",
         )

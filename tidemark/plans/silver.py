@@ -5,21 +5,22 @@ from __future__ import annotations
 import time
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.frames import one_row
 from tidemark.model import INGEST_TS, instant
 from tidemark.operators.merge import newer, require_unique
 from tidemark.operators.quality import (
     FAIL,
+    PASS,
     UNEVALUABLE,
     Outcome,
     QualityHalt,
-    column_counters,
-    gate,
+    judge,
     missing_source_columns,
 )
-from tidemark.operators.splits import LANE, lane_counters, route
+from tidemark.operators.splits import LANE, in_scope, route
 from tidemark.plans.lake import UNEVALUABLE_SCHEMA, Lake
 from tidemark.sources.logs import RUN_LINE_FIELDS, run_line
 
@@ -38,7 +39,7 @@ class RunMetrics:
 
     def frame(self, spark: SparkSession) -> DataFrame:
         ddl = ", ".join(f"{n} {t}" for n, t in RUN_LINE_FIELDS)
-        return spark.createDataFrame([tuple(asdict(self).values())], ddl)
+        return one_row(spark, tuple(asdict(self).values()), ddl)
 
     def line(self, spark: SparkSession) -> str:
         return self.frame(spark).select(run_line()).first()[0]
@@ -49,10 +50,10 @@ def run_silver(
 ) -> RunMetrics:
     """Bring one batch into silver, or refuse it whole.
 
-    The batch is scanned three times: once to write quarantined rows while
-    counting lanes and column violations, once for key uniqueness, and once
-    for the merge.  A refused batch leaves rows in its lane and raises
-    :class:`QualityHalt`; nothing of it reaches silver.
+    Rows are counted from the scope columns alone, quarantined rows are
+    written, the gate judges the valid rows in one pass, and they are merged.
+    A refused batch leaves rows in its lane and raises :class:`QualityHalt`;
+    nothing of it reaches silver.
     """
     started = time.monotonic()
     model, contract = lake.model, lake.model.contract
@@ -61,17 +62,21 @@ def run_silver(
     if reason:
         _refuse(lake, batch_id, Outcome(UNEVALUABLE, reason))
 
+    seen = facts.agg(
+        F.count(F.lit(1)).alias("rows_in"),
+        F.count_if(~in_scope(model.scope)).alias("scoped_out"),
+    ).first()
+
     routed = route(facts, model)
-    is_valid = F.col(LANE) == "valid"
-    seen = Observation()
-    counted = routed.observe(seen, *lane_counters(), *column_counters(contract, is_valid))
-    quarantined = counted.filter(F.col(LANE) == "quarantined").drop(LANE)
-    lake.quarantine_rows.append(quarantined, label=batch_id)
-    totals = seen.get
-
-    valid = routed.filter(is_valid).drop(LANE)
-    outcome = gate(valid, contract, totals)
-    if outcome.label != "Pass":
+    quarantined = routed.filter(F.col(LANE) == "quarantined").drop(LANE)
+    lane = lake.quarantine_rows
+    before = lane.row_count()
+    lane.append(quarantined, label=batch_id)
+
+    valid = routed.filter(F.col(LANE) == "valid").drop(LANE)
+    judged = judge(valid, contract)
+    outcome = judged.outcome
+    if outcome.label != PASS:
         _refuse(lake, batch_id, outcome)
 
     require_unique(filings, [model.link])  # a repeated filing would fan out the gold join
@@ -80,7 +85,7 @@ def run_silver(
         model.fact_key,
         newer(),
         compare=[INGEST_TS],
-        num_source=totals["valid"],
+        num_source=judged.rows,
         source_unique=True,  # the gate just proved it
         label=batch_id,
     )
@@ -96,11 +101,11 @@ def run_silver(
 
     return RunMetrics(
         batch_id=batch_id,
-        rows_in=totals["rows_in"],
-        rows_out=totals["valid"],
-        scoped_out=totals["scoped_out"],
-        rejected=totals["rows_in"] - totals["scoped_out"] - totals["valid"],
-        quarantined=totals["quarantined"],
+        rows_in=seen["rows_in"],
+        rows_out=judged.rows,
+        scoped_out=seen["scoped_out"],
+        rejected=seen["rows_in"] - seen["scoped_out"] - judged.rows,
+        quarantined=lane.row_count() - before,
         gate=outcome.label,
         delta_version=version,
         wall_clock_ms=int((time.monotonic() - started) * 1000),
@@ -113,6 +118,6 @@ def _refuse(lake: Lake, batch_id: str, outcome: Outcome) -> None:
     if outcome.label == FAIL:
         lake.quarantine_detail.append(outcome.detail(spark, lake.model.contract), label=batch_id)
     else:
-        row = spark.createDataFrame([(batch_id, outcome.reason)], UNEVALUABLE_SCHEMA)
+        row = one_row(spark, (batch_id, outcome.reason), UNEVALUABLE_SCHEMA)
         lake.quarantine_unevaluable.append(row, label=batch_id)
     raise QualityHalt(outcome)

@@ -44,8 +44,11 @@ def source_digests(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     small = files.filter(F.col("length") <= IN_MEMORY_DIGEST_BYTES).select(
         "path", "length", F.sha2("content", 256).alias("sha256")
     )
-    big = files.filter(F.col("length") > IN_MEMORY_DIGEST_BYTES).select("path", "length")
-    return small.unionByName(big.mapInPandas(_stream_digest, "path string, length bigint, sha256 string"))
+    big = files.select("path", "length").filter(F.col("length") > IN_MEMORY_DIGEST_BYTES)
+    if big.isEmpty():  # a listing: no file content is read for this
+        return small
+    streamed = big.mapInPandas(_stream_digest, "path string, length bigint, sha256 string")
+    return small.unionByName(streamed)
 
 
 def _stream_digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

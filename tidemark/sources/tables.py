@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.frames import one_row
 from tidemark.operators.merge import (
     INSERT,
     NOOP,
@@ -51,6 +52,7 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._seen: list | None = None
 
     # -- log ---------------------------------------------------------------
 
@@ -63,9 +65,20 @@ class VersionedTable:
                 raise  # unreadable is not the same as absent
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
 
+    def refresh(self) -> "VersionedTable":
+        """Look at the log again.
+
+        An object keeps the log it read first or wrote last; versions published
+        elsewhere show up after a refresh.
+        """
+        self._seen = None
+        return self
+
     def _log(self) -> list:
-        # One small row per version ever published.
-        return sorted(self.commits().collect(), key=lambda r: r["version"])
+        if self._seen is None:
+            # One small row per version ever published.
+            self._seen = sorted(self.commits().collect(), key=lambda r: r["version"])
+        return self._seen
 
     def exists(self) -> bool:
         return bool(self._log())
@@ -234,8 +247,11 @@ class VersionedTable:
             rows.write.parquet(f"{path}/op={INSERT}")
         # Counted from file footers, so task retries cannot distort the metrics.
         op_only = self.spark.read.schema("op string").option("basePath", path).parquet(path)
-        counts = {r["op"]: r["count"] for r in op_only.groupBy("op").count().collect()}
-        return version, run, {INSERT: counts.get(INSERT, 0), UPDATE: counts.get(UPDATE, 0)}
+        n = op_only.agg(
+            F.count_if(F.col("op") == INSERT).alias(INSERT),
+            F.count_if(F.col("op") == UPDATE).alias(UPDATE),
+        ).first()
+        return version, run, n.asDict()
 
     def _publish(
         self, log, version, run, schema, operation, replaces, keys,
@@ -245,10 +261,8 @@ class VersionedTable:
             version, operation, replaces, run, keys, num_source, num_inserted, num_updated,
             rows, label, schema.json(), datetime.now(timezone.utc).replace(tzinfo=None),
         )
-        self.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1).write.mode("append").json(
-            f"{self.root}/commits"
-        )
-        mine = [r for r in self._log() if r["version"] == version]
+        one_row(self.spark, row, COMMIT_SCHEMA).write.mode("append").json(f"{self.root}/commits")
+        mine = [r for r in self.refresh()._log() if r["version"] == version]
         if len(mine) != 1:
             raise RuntimeError(f"two writers published version {version} of {self.root}")
         return version
