@@ -314,6 +314,30 @@ def audit_overlaps(spark, sf):
     return interval_report(bad, ORDERS, plan_audit_slices(bad, ORDERS))
 
 
+@query(
+    f"""WITH gold AS (SELECT o_orderstatus, o_orderkey, o_orderdate, o_orderdate AS valid_from,
+          coalesce(lead(o_orderdate) OVER (PARTITION BY o_orderstatus
+                   ORDER BY o_orderdate, o_orderkey), TIMESTAMP '9999-12-31')
+            + CASE WHEN o_totalprice > 400000 THEN INTERVAL 3 DAY ELSE INTERVAL 0 DAY END
+            AS valid_to FROM orders),
+    audit AS ({sql_audit("o_orderstatus", "o_orderkey", "o_orderdate")}) {_VERDICT}"""
+)
+def audit_hot_keys(spark, sf):
+    """The audit of three keys that hold all rows, run slice by slice."""
+    rows = table(spark, sf, "orders").select(*_BY_STATUS.fact_types)
+    size = max(1, rows.count() // 48)
+    plan = plan_slices(
+        rows, _BY_STATUS.natural_key, _BY_STATUS.order, rows_per_slice=size, small_table=0
+    )
+    gold = validity_intervals(rows, _BY_STATUS, plan)
+    longer = F.col("valid_to") + F.make_dt_interval(F.lit(3))
+    bad = gold.withColumn(
+        "valid_to", F.when(F.col("o_totalprice") > 400000, longer).otherwise(F.col("valid_to"))
+    )
+    slices = plan_audit_slices(bad, _BY_STATUS, rows_per_slice=size, small_table=0)
+    return interval_report(bad, _BY_STATUS, slices)
+
+
 @query(
     f"""WITH {SQL_GOLD} SELECT e.cik, e.tag, e.ddate, e.uom, e.adsh, e.version FROM gold e
         WHERE e.valid_to = e.valid_from AND NOT EXISTS (

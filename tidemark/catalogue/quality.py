@@ -25,7 +25,13 @@ from tidemark.operators.quality import (
     missing_source_columns,
     violation_frame,
 )
-from tidemark.operators.rowchecks import RowCheck, check_table, overall_verdict, split_by_check
+from tidemark.operators.rowchecks import (
+    RowCheck,
+    check_table,
+    overall_verdict,
+    run_row_checks,
+    split_by_check,
+)
 from tidemark.operators.splits import (
     LANE,
     all_filled,
@@ -358,3 +364,25 @@ def twin_dropped_column(spark, sf):
     twin = dropped_column_twin(raw_facts(spark, sf), "value")
     reason = missing_source_columns(twin, (*FILED.contract.types, *FILED.scope))
     return twin.agg(F.count("*").alias("n_rows")).select(F.lit(reason).alias("reason"), "n_rows")
+
+
+@query(
+    f"""WITH {SQL_RAW} SELECT 'precondition' AS name, 'pass' AS outcome, NULL::BIGINT AS bad,
+          NULL::BIGINT AS total
+        UNION ALL SELECT 'sub_cik_not_null', 'pass', count(*) FILTER (WHERE o_custkey IS NULL),
+          count(*) FROM orders
+        UNION ALL SELECT 'sub_adsh_not_null', 'pass', 0, count(*) FROM orders
+        UNION ALL SELECT 'sub_form_not_null_not_empty', 'fail',
+          count(*) FILTER (WHERE o_orderpriority = '5-LOW'), count(*) FROM orders
+        UNION ALL SELECT 'num_value_not_null', 'warn', count(*) FILTER (WHERE value IS NULL),
+          count(*) FROM raw
+        UNION ALL SELECT 'num_tag_not_null', 'pass', 0, count(*) FROM raw"""
+)
+def bronze_row_gate(spark, sf):
+    """The raw-file gate over both sources; low-priority filings lost their form."""
+    form = F.when(F.col("form") != "5-LOW", F.col("form")).otherwise(F.lit(""))
+    sources = {"sub": raw_filings(spark, sf).withColumn("form", form), "num": raw_facts(spark, sf)}
+    results = [
+        tuple(r[c] for c in ("name", "outcome", "bad", "total")) for r in run_row_checks(sources)
+    ]
+    return spark.createDataFrame(results, "name string, outcome string, bad bigint, total bigint")

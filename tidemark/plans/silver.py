@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.frames import one_row
-from tidemark.model import INGEST_TS, instant
+from tidemark.model import BATCH_ID, INGEST_TS, instant
 from tidemark.operators.merge import newer, require_unique
 from tidemark.operators.quality import (
     FAIL,
@@ -67,7 +67,9 @@ def run_silver(
         F.count_if(~in_scope(model.scope)).alias("scoped_out"),
     ).first()
 
-    routed = route(facts, model)
+    stamps = {BATCH_ID: F.lit(batch_id), INGEST_TS: instant(ingest_ts)}
+    unstamped = {c: v for c, v in stamps.items() if c not in facts.columns}
+    routed = route(facts.withColumns(unstamped) if unstamped else facts, model)
     quarantined = routed.filter(F.col(LANE) == "quarantined").drop(LANE)
     lane = lake.quarantine_rows
     before = lane.row_count()
