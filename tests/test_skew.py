@@ -40,7 +40,7 @@ def test_large_keys_are_cut_into_small_slices(spark):
 def test_a_planning_sample_only_steers_balance(spark):
     df = _rows(spark)
     plan = plan_slices(
-        df, ["k"], ["t", "id"], rows_per_slice=100, small_table=0, sample_rows=400, min_hits=5
+        df, ["k"], ["t", "id"], rows_per_slice=100, small_table=0, sample_rows=400, hits_per_slice=5
     )
     assert plan is not None
     plain = next_in_order(df, ["k"], ["t", "id"], "id")

@@ -61,12 +61,16 @@ def build_intervals(
 def plan_interval_slices(
     facts: DataFrame, filings: DataFrame, model: FactModel, **options
 ) -> SlicePlan | None:
-    """Slice plan for :func:`build_intervals`; joins only the planning sample."""
+    """Slice plan for :func:`build_intervals`.
+
+    Joins only the planning sample, whose size the planner fixes, so it can be
+    broadcast to the filing index instead of shuffling the index for a plan.
+    """
     return plan_slices(
         facts,
         model.natural_key,
         model.order,
-        derive=lambda sampled: attach_filings(sampled, filings, model),
+        derive=lambda sampled: attach_filings(F.broadcast(sampled), filings, model),
         **options,
     )
 

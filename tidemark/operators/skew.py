@@ -11,37 +11,42 @@ run over every row.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.model import columns
 
-SMALL_TABLE_ROWS = 2_000_000  # below this no key can hurt a task
+SMALL_TABLE_ROWS = 10_000_000  # below this no key can hurt a task
+SLICE_ROWS = (2_000_000, 50_000_000)  # least and most rows aimed at per slice
 PLAN_SAMPLE_ROWS = 400_000
-MIN_SAMPLE_HITS = 40  # sampled rows before a key's size is believed
-CUTS_PER_KEY = 512  # bound of one cut list; MIN_SAMPLE_HITS bounds the keys
+HITS_PER_SLICE = 40  # sampled rows wanted between two cuts
 
-_HASH, _CUTS, _SLICE, _NEXT = "_key_hash", "_cuts", "_slice", "_next_first"
+_HASH, _SLICE, _NEXT = "_key_hash", "_slice", "_next_first"
+_HEADS, _GROUPS, _STRIDE = "_heads", "_groups", "_stride"
 
 
 @dataclass(frozen=True)
 class SlicePlan:
-    """Cut points of the large keys.
+    """Cut points of the large keys, one row per key.
 
-    ``cuts`` has one row per large key ``(_key_hash, _cuts)``.  It comes from
-    driver values, so every task and every retry sees the same cuts, and it
-    holds at most ``PLAN_SAMPLE_ROWS / MIN_SAMPLE_HITS`` rows by construction,
-    which is what makes broadcasting it safe.  Two keys with equal hashes share
-    cuts; slices still follow the order inside each of them.
+    They are driver values, so every task and every retry sees the same cuts.
+    Cuts lie about ``rows_per_slice`` rows apart, so over all keys there are at
+    most ``total rows / rows_per_slice`` of them (about one per shuffle task);
+    that bound is what makes broadcasting them safe.  Two keys with equal
+    hashes share cuts; slices still follow the order inside each of them.
+
+    The sorted cuts of a key are kept as about sqrt(n) groups with their heads,
+    so placing a row looks at 2 * sqrt(n) cuts, not at all of them.
     """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
     cuts: DataFrame
-    n_keys: int
 
 
 def plan_slices(
@@ -53,7 +58,7 @@ def plan_slices(
     rows_per_slice: int | None = None,
     small_table: int = SMALL_TABLE_ROWS,
     sample_rows: int = PLAN_SAMPLE_ROWS,
-    min_hits: int = MIN_SAMPLE_HITS,
+    hits_per_slice: int = HITS_PER_SLICE,
 ) -> SlicePlan | None:
     """Find keys too large for one task; None when there are none.
 
@@ -63,49 +68,66 @@ def plan_slices(
     total = rows.count()  # footer counts only when ``rows`` is a table scan
     if total < small_table:
         return None
-    spark = rows.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    rows_per_slice = rows_per_slice or max(small_table // 2, total // max(tasks, 1))
-
-    fraction = min(1.0, sample_rows / total)
+    if rows_per_slice is None:
+        least, most = SLICE_ROWS
+        rows_per_slice = min(max(least, total // _shuffle_tasks(rows)), most)
+    fraction = min(1.0, max(sample_rows, hits_per_slice * total // rows_per_slice) / total)
     sampled = rows.sample(fraction, seed=17) if fraction < 1.0 else rows
     seen = (derive(sampled) if derive else sampled).select(
         F.xxhash64(*columns(keys)).alias(_HASH), F.struct(*columns(order)).alias("_o")
     )
-    hits_for_large = max(min_hits if fraction < 1.0 else 2, int(2 * rows_per_slice * fraction))
-    large = seen.groupBy(_HASH).agg(F.count("*").alias("_n")).filter(F.col("_n") > hits_for_large)
-
-    # One row in ``step`` of a large key's sorted sample becomes a cut.
-    per_slice = max(1, int(rows_per_slice * fraction))
-    step = F.greatest(F.lit(per_slice), F.ceil(F.col("_n") / F.lit(CUTS_PER_KEY))).cast("int")
-    listed = (
-        seen.join(large, _HASH)
+    step = max(1, int(rows_per_slice * fraction))  # sampled rows between two cuts
+    large = seen.groupBy(_HASH).agg(F.count("*").alias("_n")).filter(F.col("_n") > 2 * step)
+    found = large.select(_HASH).collect()  # fewer keys than there may be cuts
+    if not found:
+        return None
+
+    spark = rows.sparkSession
+    wanted = F.broadcast(spark.createDataFrame(found, f"{_HASH} bigint"))
+    cuts = (
+        seen.join(wanted, _HASH)
         .groupBy(_HASH)
-        .agg(F.sort_array(F.collect_list("_o")).alias("_all"), F.max("_n").alias("_n"))
-        .withColumn("_step", step)
-        .select(_HASH, F.expr("filter(_all, (o, i) -> i > 0 AND i % _step = 0)").alias(_CUTS))
-        .filter(F.size(_CUTS) > 0)
+        .agg(F.sort_array(F.collect_list("_o")).alias("_all"))  # of the sample only
+        .select(_HASH, F.expr(f"filter(_all, (o, i) -> i > 0 AND i % {step} = 0)").alias("_cuts"))
     )
-    found = listed.collect()  # at most sample_rows / min_hits rows of CUTS_PER_KEY cuts
-    if not found:
+    point = cuts.schema["_cuts"].dataType.elementType
+    schema = (
+        T.StructType()
+        .add(_HASH, T.LongType())
+        .add(_STRIDE, T.IntegerType())
+        .add(_HEADS, T.ArrayType(point))
+        .add(_GROUPS, T.ArrayType(T.ArrayType(point)))
+    )
+    grouped = [_grouped(r[_HASH], r["_cuts"]) for r in cuts.collect() if r["_cuts"]]
+    if not grouped:
         return None
-    cuts = spark.createDataFrame(found, listed.schema)
-    return SlicePlan(tuple(keys), tuple(order), cuts, len(found))
+    return SlicePlan(tuple(keys), tuple(order), spark.createDataFrame(grouped, schema))
+
+
+def _shuffle_tasks(df: DataFrame) -> int:
+    conf = df.sparkSession.conf
+    first = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return max(int(conf.get("spark.sql.shuffle.partitions", "200")), int(first or 1))
+
+
+def _grouped(key_hash: int, cuts: list) -> tuple:
+    stride = math.isqrt(len(cuts) - 1) + 1
+    groups = [cuts[i : i + stride] for i in range(0, len(cuts), stride)]
+    return key_hash, stride, [g[0] for g in groups], groups
 
 
 def with_slice(df: DataFrame, plan: SlicePlan) -> DataFrame:
     """Add ``_slice``: 0 for ordinary keys, else the number of cuts at or below the row."""
     here = F.struct(*columns(plan.order))
+    passed = lambda cuts: F.size(F.filter(cuts, lambda cut: cut <= here))
+    heads = passed(F.col(_HEADS))
+    inside = passed(F.element_at(_GROUPS, heads))
+    placed = F.when(heads == 0, 0).otherwise((heads - 1) * F.col(_STRIDE) + inside)
     return (
         df.withColumn(_HASH, F.xxhash64(*columns(plan.keys)))
         .join(F.broadcast(plan.cuts), _HASH, "left")
-        .withColumn(
-            _SLICE,
-            F.when(
-                F.col(_CUTS).isNotNull(),
-                F.size(F.filter(F.col(_CUTS), lambda cut: cut <= here)),
-            ).otherwise(F.lit(0)),
-        )
+        .withColumn(_SLICE, F.when(F.col(_HEADS).isNotNull(), placed).otherwise(F.lit(0)))
+        .drop(_GROUPS)
     )
 
 
@@ -132,7 +154,7 @@ def next_in_order(
     across = Window.partitionBy(*keys).orderBy(_SLICE)
     # One row per slice of a large key: bounded by the plan's cuts.
     following = (
-        sliced.filter(F.col(_CUTS).isNotNull())
+        sliced.filter(F.col(_HEADS).isNotNull())
         .groupBy(*keys, _SLICE)
         .agg(first.alias("_first"))
         .select(
