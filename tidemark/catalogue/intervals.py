@@ -57,7 +57,16 @@ def orders_gold(spark: SparkSession, sf: str) -> DataFrame:
 
 def filed_gold(spark: SparkSession, sf: str) -> DataFrame:
     facts, index = silver(spark, sf), filings(spark, sf)
-    return build_intervals(facts, index, FILED, plan_interval_slices(facts, index, FILED))
+    plan = plan_interval_slices(facts, index, FILED, at_most=_n_lines(spark, sf))
+    return build_intervals(facts, index, FILED, plan, index_rows=index.count())
+
+
+def _n_lines(spark: SparkSession, sf: str) -> int:
+    return table(spark, sf, "lineitem").count()  # from the file footer
+
+
+def _audit(gold: DataFrame, model: FactModel, at_most: int) -> DataFrame:
+    return interval_report(gold, model, plan_audit_slices(gold, model, at_most=at_most))
 
 
 def _show_orders(df: DataFrame) -> DataFrame:
@@ -284,15 +293,13 @@ _FILED_AUDIT = sql_audit(FILED_KEY, "adsh", "accepted")
 @query(f"WITH {SQL_ORDERS_GOLD}, audit AS ({_ORDERS_AUDIT}) {_VERDICT}")
 def audit_orders(spark, sf):
     """A right table: every check passes."""
-    gold = orders_gold(spark, sf)
-    return interval_report(gold, ORDERS, plan_audit_slices(gold, ORDERS))
+    return _audit(orders_gold(spark, sf), ORDERS, order_rows(spark, sf).count())
 
 
 @query(f"WITH {SQL_GOLD}, audit AS ({_FILED_AUDIT}) {_VERDICT}")
 def audit_filed(spark, sf):
     """Several versions of one fact per filing trip A2b and A5, and nothing else."""
-    gold = filed_gold(spark, sf)
-    return interval_report(gold, FILED, plan_audit_slices(gold, FILED))
+    return _audit(filed_gold(spark, sf), FILED, _n_lines(spark, sf))
 
 
 @query(
@@ -311,7 +318,7 @@ def audit_overlaps(spark, sf):
         "valid_to",
         F.when(F.col("o_orderpriority") == "1-URGENT", longer).otherwise(F.col("valid_to")),
     )
-    return interval_report(bad, ORDERS, plan_audit_slices(bad, ORDERS))
+    return _audit(bad, ORDERS, order_rows(spark, sf).count())
 
 
 @query(
@@ -379,7 +386,7 @@ def twin_lookahead_audit(spark, sf):
     gold = filed_gold(spark, sf)
     planted_rows = F.col("tag") == "R"
     twin = lookahead_twin(gold, FILED, planted_rows, years=5)
-    report = interval_report(twin, FILED, plan_audit_slices(twin, FILED))
+    report = _audit(twin, FILED, _n_lines(spark, sf))
     planted = gold.filter(planted_rows).agg(F.count("*"))
     return report.select("check", "violations", planted.scalar().alias("planted"))
 

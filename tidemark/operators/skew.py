@@ -55,6 +55,7 @@ def plan_slices(
     order: Sequence[str],
     *,
     derive: Callable[[DataFrame], DataFrame] | None = None,
+    at_most: int | None = None,
     rows_per_slice: int | None = None,
     small_table: int = SMALL_TABLE_ROWS,
     sample_rows: int = PLAN_SAMPLE_ROWS,
@@ -64,8 +65,10 @@ def plan_slices(
 
     ``derive`` builds the frame to be windowed from (sampled) ``rows``, for
     example a join with an index that has at most one match per row.
+    ``at_most`` is a known bound of the row count, such as a table's commit
+    log gives; without it the rows are counted.
     """
-    total = rows.count()  # footer counts only when ``rows`` is a table scan
+    total = rows.count() if at_most is None else at_most
     if total < small_table:
         return None
     if rows_per_slice is None:

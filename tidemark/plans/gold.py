@@ -18,8 +18,9 @@ def rebuild_gold(lake: Lake) -> int:
     """
     facts = lake.silver.read()
     filings = lake.filing_index.read().drop(INGEST_TS)
-    plan = plan_interval_slices(facts, filings, lake.model)
-    return lake.gold.overwrite(build_intervals(facts, filings, lake.model, plan))
+    plan = plan_interval_slices(facts, filings, lake.model, at_most=lake.silver.row_count())
+    n_filings = lake.filing_index.row_count()  # from the commit log
+    return lake.gold.overwrite(build_intervals(facts, filings, lake.model, plan, n_filings))
 
 
 def run_batch(
