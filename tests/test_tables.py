@@ -145,3 +145,25 @@ def test_a_merge_scans_only_keys_of_the_target(spark, tmp_path):
     plan = changes._jdf.queryExecution().executedPlan().toString()
     (read,) = [line.split("ReadSchema: ")[1] for line in plan.split("\n") if "ReadSchema" in line]
     assert "adsh" in read and "value" not in read
+
+
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_pruning_the_target_changes_no_merge(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr("tidemark.sources.tables.BROADCAST_VALUES", few)
+    t = VersionedTable(spark, str(tmp_path))
+    _merge(t, silver_rows(spark, [_row("a", "1"), _row("b", "2")]))
+    batch = silver_rows(spark, [_row("a", "9", NEW), _row("c", "3", NEW)])
+    t.merge(batch, KEYS, newer(), compare=[INGEST_TS], prune_by="adsh")
+    assert _values(t.read()) == {"a": 9.0, "b": 2.0, "c": 3.0}
+
+
+def test_compaction_keeps_rows_and_history(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path))
+    _merge(t, silver_rows(spark, [_row("a", "1"), _row("b", "2")]))
+    _merge(t, silver_rows(spark, [_row("a", "9", NEW)]))
+    plan = lambda: t.read()._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan()
+    t.compact()
+    assert "LeftAnti" not in plan()
+    assert _values(t.read()) == {"a": 9.0, "b": 2.0}
+    assert _values(t.read(0)) == {"a": 1.0, "b": 2.0}

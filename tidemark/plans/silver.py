@@ -89,6 +89,7 @@ def run_silver(
         compare=[INGEST_TS],
         num_source=judged.rows,
         source_unique=True,  # the gate just proved it
+        prune_by=model.link,
         label=batch_id,
     )
     stamped = filings.withColumn(INGEST_TS, instant(ingest_ts))
@@ -98,6 +99,7 @@ def run_silver(
         newer(),
         compare=[INGEST_TS],
         source_unique=True,
+        prune_by=model.link,
         label=batch_id,
     )
 

@@ -41,6 +41,7 @@ COMMIT_SCHEMA = (
     "num_source bigint, num_inserted bigint, num_updated bigint, rows bigint, "
     "label string, schema_json string, ts timestamp_ntz"
 )
+BROADCAST_VALUES = 1_000_000
 _LAYOUT = {"v": T.IntegerType(), "run": T.StringType(), "op": T.StringType()}
 
 
@@ -200,12 +201,15 @@ class VersionedTable:
         compare: Sequence[str] = (),
         num_source: int | None = None,
         source_unique: bool = False,
+        prune_by: str | None = None,
         label: str = "",
     ) -> int:
         """Upsert ``source`` by key; unmatched rows insert, matches update on the condition.
 
         The table keeps one row per non-NULL key: the first write checks that,
         later ones refuse a source in which several rows match one row.
+        ``prune_by`` is a key column with few values per batch: table rows with
+        other values cannot match and are left out before any shuffle.
         """
         log = self._log()
         if not log:
@@ -214,6 +218,8 @@ class VersionedTable:
             return self.overwrite(source, label)
         source = self._aligned(log, source)
         target = self._frame(log, None)
+        if prune_by is not None:
+            target = _only_values_of(source, target, prune_by)
         if not source_unique:
             require_unambiguous(source, target, keys)
         changes = classify(source, target, keys, update_when, compare).filter(
@@ -227,6 +233,10 @@ class VersionedTable:
             inserted, updated, log[-1]["rows"] + inserted, label,
         )
 
+    def compact(self) -> int:
+        """Write the current rows as one replacing version, so reads need no anti-join."""
+        return self.overwrite(self.read(), label="compact")
+
     def _aligned(self, log: list, df: DataFrame) -> DataFrame:
         if not log:
             return df
@@ -266,3 +276,15 @@ class VersionedTable:
         if len(mine) != 1:
             raise RuntimeError(f"two writers published version {version} of {self.root}")
         return version
+
+
+def _only_values_of(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
+    """Target rows whose ``column`` value the source has, found without a shuffle.
+
+    The distinct source values are counted first and broadcast only when few;
+    with many the target stays as it is and the merge join does the work.
+    """
+    values = source.select(column).distinct()
+    if values.count() > BROADCAST_VALUES:
+        return target
+    return target.join(F.broadcast(values), column, "left_semi").select(*target.columns)
