@@ -21,12 +21,13 @@ def _rows(spark, n=3000, seed=3):
     return spark.createDataFrame(out, "k string, t int, id int")
 
 
-@pytest.mark.parametrize("per_slice", [1, 7, 100, 2500])
-def test_sliced_lead_equals_plain_lead(spark, per_slice):
-    df = _rows(spark)
+@pytest.mark.parametrize("value", ["t", "id"])
+@pytest.mark.parametrize("per_slice", [1, 100, 2500])
+def test_sliced_lead_equals_plain_lead(spark, per_slice, value):
+    df = _rows(spark).withColumn("t", F.when(F.col("t") > 10, F.col("t")))
     plan = plan_slices(df, ["k"], ["t", "id"], rows_per_slice=per_slice, small_table=0)
-    plain = next_in_order(df, ["k"], ["t", "id"], "t")
-    sliced = next_in_order(df, ["k"], ["t", "id"], "t", plan)
+    plain = next_in_order(df, ["k"], ["t", "id"], value)
+    sliced = next_in_order(df, ["k"], ["t", "id"], value, plan)
     assert sorted(map(repr, plain.collect())) == sorted(map(repr, sliced.collect()))
 
 

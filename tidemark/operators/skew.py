@@ -153,7 +153,11 @@ def next_in_order(
         return df.withColumn(alias, F.lead(value).over(by_key))
 
     sliced = with_slice(df, plan)
-    first = F.min(F.struct(*columns(order), F.col(value).alias("_v"))).getField("_v")
+    if value == order[0]:  # a plain minimum; NULLs sort first, so any NULL is the first value
+        has_null = F.count_if(F.col(value).isNull()) > 0
+        first = F.when(~has_null, F.min(value))
+    else:
+        first = F.min(F.struct(*columns(order), F.col(value).alias("_v"))).getField("_v")
     across = Window.partitionBy(*keys).orderBy(_SLICE)
     # One row per slice of a large key: bounded by the plan's cuts.
     following = (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,9 @@ LEDGER_SCHEMA = (
     "code_sha string, ts timestamp_ntz"
 )
 
+# Text by which a run log shows that the gate refused the batch.
+REFUSAL_MARKS = ("DataQualityException", "DQ gate")
+
 # The run line written per batch, and the pattern that reads it.
 RUN_LINE_FORMAT = (
     "run batch_id=%s rows_in=%d rows_out=%d scoped_out=%d rejected=%d quarantined=%d "
@@ -75,5 +80,5 @@ def remaining(expected: DataFrame, ledger: DataFrame, key: str = "quarter") -> D
 
 def attempt_status(exit_code: Column, log_text: Column) -> Column:
     """ok on exit 0; halted when the log shows the gate refused; else error."""
-    refused = log_text.contains("DataQualityException") | log_text.contains("DQ gate")
+    refused = reduce(lambda a, b: a | b, [log_text.contains(m) for m in REFUSAL_MARKS])
     return F.when(exit_code == 0, "ok").when(refused, "halted").otherwise("error")
