@@ -341,7 +341,9 @@ def audit_hot_keys(spark, sf):
     bad = gold.withColumn(
         "valid_to", F.when(F.col("o_totalprice") > 400000, longer).otherwise(F.col("valid_to"))
     )
-    slices = plan_audit_slices(bad, _BY_STATUS, rows_per_slice=size, small_table=0)
+    slices = plan_audit_slices(
+        bad, _BY_STATUS, at_most=48 * size, rows_per_slice=size, small_table=0
+    )
     return interval_report(bad, _BY_STATUS, slices)
 
 
