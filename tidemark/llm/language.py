@@ -1,13 +1,15 @@
 """Language identification by compression.
 
 Each language is a raw-content zstandard dictionary made of labelled text.  A
-text belongs to the language whose dictionary makes it smallest.  Texts are
-compressed in pieces, each against the fresh dictionary, so that a long text
+text belongs to the language whose dictionary makes it smallest.  Only words
+in lower case are compressed: figures, marks and capitals say nothing about the
+language and would drown it.  Texts are compressed in pieces, each against the fresh dictionary, so that a long text
 cannot outgrow what the dictionary knows; all pieces count.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -18,17 +20,20 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import texts_of
 
 #: Bytes of one language's dictionary.
-DICTIONARY_BYTES = 65_536
+DICTIONARY_BYTES = 110_000
 #: Sampled documents of one language, on average, and characters taken from each.
-SAMPLE_DOCS, SAMPLE_CHARS = 160, 2_048
+SAMPLE_DOCS, SAMPLE_CHARS = 320, 2_048
 #: Languages that may be learned; more is an error, since the driver builds the dictionaries.
 MAX_LANGUAGES = 256
 #: Bytes compressed at once.
 PIECE = 4_096
 #: Narrower margins are rejected by ``keep_identified``.
-MIN_MARGIN = 0.01
+MIN_MARGIN = 0.002
+
+LEVEL = 6
 
 UNDETERMINED = "und"
+WORDS = re.compile(r"[^\W\d_]+")
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -36,6 +41,11 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def plain_words(text: str) -> bytes:
+    """The words of a text in lower case, one space between, as UTF-8."""
+    return " ".join(WORDS.findall(text.lower())).encode("utf-8", "replace")
+
+
 def learn(
     labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id"
 ) -> dict[str, bytes]:
@@ -50,7 +60,8 @@ def learn(
         F.col(text_col).alias("text"),
         F.xxhash64(F.col(id_col).cast("string")).alias("h"),
     ).filter("lang is not null and text is not null")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1)
+    counts = {r["lang"]: r["n"] for r in sizes.collect()}
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
     if not counts:
@@ -60,10 +71,10 @@ def learn(
         share = F.when(F.col("lang") == lang, min(1.0, SAMPLE_DOCS / n)).otherwise(share)
     spot = F.pmod("h", F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = rows.filter(spot < share).select("lang", "h", F.substring("text", 1, SAMPLE_CHARS))
-    texts: dict[str, dict[str, None]] = {lang: {} for lang in counts}
+    texts: dict[str, dict[bytes, None]] = {lang: {} for lang in counts}
     for lang, _, text in sorted(map(tuple, sample.collect())):
-        texts[lang][text] = None
-    return {k: "\n".join(v).encode()[-DICTIONARY_BYTES:] for k, v in texts.items()}
+        texts[lang][plain_words(text)] = None
+    return {k: b"\n".join(v)[-DICTIONARY_BYTES:] for k, v in texts.items()}
 
 
 def classifier(model: dict[str, bytes]) -> Callable[[str | None], tuple[str, float]]:
@@ -74,17 +85,17 @@ def classifier(model: dict[str, bytes]) -> Callable[[str | None], tuple[str, flo
         content = zstandard.ZstdCompressionDict(
             model[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT
         )
-        content.precompute_compress(level=3)
+        content.precompute_compress(level=LEVEL)
         encoders.append(
             zstandard.ZstdCompressor(
-                level=3, dict_data=content, write_content_size=False, write_dict_id=False
+                level=LEVEL, dict_data=content, write_content_size=False, write_dict_id=False
             ).compress
         )
 
     def classify(text: str | None) -> tuple[str, float]:
         if not text or not langs or not any(map(str.isalpha, text)):
             return UNDETERMINED, 0.0
-        data = text.encode("utf-8", "replace")
+        data = plain_words(text)
         pieces = [data[i : i + PIECE] for i in range(0, len(data), PIECE)]
         sizes = [sum(len(encode(x)) for x in pieces) for encode in encoders]
         ranked = sorted(zip(sizes, langs, strict=True))
