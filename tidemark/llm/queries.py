@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, exact, language, pieces, simhash
+from tidemark.llm import chat, decontaminate, exact, language, pieces, simhash, webtext
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,89 @@ def language_model(spark: SparkSession, sf: str) -> dict[str, bytes]:
     return language.learn(labelled)
 
 
+#: DuckDB: a text as the template writes it.
+_CODED = "replace(replace(replace({0}, chr(92), chr(92) || 'b'), '#', chr(92) || 'h'), '<', chr(92) || 'l')"
+
+#: The conversation that holds the template's own control strings.
+_CONTROL = r"\### Assistant: </turn> ok"
+
+
+@query(
+    rf"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{_CONTROL}' UNION ALL SELECT -7, 1, 'assistant', '{_CONTROL}'),
+t AS (
+  SELECT *, row_number() OVER c AS pos,
+    len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_\x09-\x0D ]')) + {chat.MARKS} AS n,
+    length('### : ' || ' </turn>' || chr(10))
+      + length(replace({_CODED.format("role")}, ':', chr(92) || 'c')) + length({_CODED.format("text")}) AS size
+  FROM given WINDOW c AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+o AS (
+  SELECT conv_id, role = 'system' AS sys, CASE WHEN role = 'system' THEN n ELSE 0 END AS sys_n,
+    CASE WHEN role = 'system' THEN size ELSE 0 END AS sys_size,
+    greatest({chat.BUDGET - chat.HISTORY} - CASE WHEN role = 'system' THEN n ELSE 0 END, {2 * chat.MARKS}) // 2 AS stride
+  FROM t WHERE pos = 1),
+p AS (
+  SELECT t.*, sum(n) OVER (PARTITION BY t.conv_id ORDER BY pos) - n - sys_n AS start, sys, stride, sys_size
+  FROM t JOIN o USING (conv_id)),
+w AS (
+  SELECT *, CAST(floor(start / stride) AS BIGINT) * 2 + CAST(n > stride AS BIGINT) AS win
+  FROM p WHERE NOT (sys AND pos = 1)),
+edge AS (
+  SELECT conv_id, win, lead(min(start)) OVER (PARTITION BY conv_id ORDER BY win) AS next_start
+  FROM w GROUP BY conv_id, win),
+chars AS (
+  SELECT conv_id, sum(size) + sum(CASE WHEN next_start - start <= {chat.HISTORY} THEN size ELSE 0 END) AS c
+  FROM w JOIN edge USING (conv_id, win) GROUP BY conv_id),
+heads AS (
+  SELECT o.conv_id, sys_size * greatest(count(edge.win), 1) AS c
+  FROM o LEFT JOIN edge USING (conv_id) GROUP BY o.conv_id, sys_size)
+SELECT t.conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(coalesce(any_value(chars.c), 0) + any_value(heads.c) AS BIGINT) AS formatted_chars
+FROM t LEFT JOIN chars USING (conv_id) JOIN heads USING (conv_id) GROUP BY t.conv_id
+"""
+)
+def op1_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    """Digests of what the formatted windows hold, parsed from the windows.
+
+    The contract's digests are over whole conversations, so one row here holds
+    one conversation; the windows themselves are bounded.
+    """
+    given = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.range(2).select(
+        F.lit(-7).cast(given.schema["conv_id"].dataType).alias("conv_id"),
+        F.col("id").cast(given.schema["turn"].dataType).alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(_CONTROL).alias("text"),
+    )
+    back = chat.read_back(chat.format_windows(given.unionByName(control)))
+    joined = lambda arrays: F.array_join(arrays, "")
+    lines = F.transform("new_turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    whole = back.groupBy("conv_id").agg(
+        F.sum(F.size("new_turns")).alias("n_turns"),
+        F.sort_array(
+            F.collect_list(
+                F.struct("window", joined(lines).alias("turns"), joined("targets").alias("loss"))
+            )
+        ).alias("w"),
+        F.sum("chars").alias("formatted_chars"),
+    )
+    turns = joined(F.transform("w", lambda x: x["turns"]))
+    loss = joined(F.transform("w", lambda x: x["loss"]))
+    return whole.select(
+        "conv_id",
+        "n_turns",
+        F.sha2(turns, 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.col("formatted_chars").cast("long").alias("formatted_chars"),
+    )
+
+
 @query()
 def op4_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(table(spark, sf, "documents"), language_model(spark, sf))
@@ -104,3 +187,8 @@ def op9_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"),
         "round_trip",
     )
+
+
+@query()
+def op10_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    return webtext.extract_main_text(table(spark, sf, "pages"))
