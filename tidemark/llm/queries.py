@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, exact, language, pieces, simhash, webtext
+from tidemark.llm import chat, decontaminate, exact, language, licenses, pieces, simhash
+from tidemark.llm import toxicity, webtext
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +33,11 @@ def language_model(spark: SparkSession, sf: str) -> dict[str, bytes]:
     return language.learn(labelled)
 
 
+#: DuckDB: words of a column as in the contamination contract.
+_WORDS = r"""regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
 #: DuckDB: a text as the template writes it.
 _CODED = "replace(replace(replace({0}, chr(92), chr(92) || 'b'), '#', chr(92) || 'h'), '<', chr(92) || 'l')"
 
@@ -115,6 +121,43 @@ def op1_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query()
+def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    chain = toxicity.learn_chain(docs, table(spark, sf, "labels"))
+    return toxicity.score_toxicity(docs, chain)
+
+
+_NOTICES = ", ".join(
+    "('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licenses.TEMPLATES.items()
+)
+
+
+@query(
+    f"""
+WITH notice(license, text) AS (VALUES {_NOTICES}),
+tw AS (SELECT license, {_WORDS.format("text")} AS w FROM notice),
+ts AS (
+  SELECT DISTINCT license, array_to_string(w[s : s + {licenses.SHINGLE - 1}], ' ') AS g
+  FROM (SELECT license, w, unnest(range(1, greatest(len(w) - {licenses.SHINGLE - 1}, 1) + 1)) AS s FROM tw)),
+size AS (SELECT license, count(*) AS n FROM ts GROUP BY license),
+dw AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
+ds AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s : s + {licenses.SHINGLE - 1}], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {licenses.SHINGLE - 1}, 1) + 1)) AS s
+        FROM dw WHERE len(w) > 0)),
+held AS (
+  SELECT doc_id, license FROM ds JOIN ts USING (g) JOIN size USING (license)
+  GROUP BY doc_id, license, n HAVING count(*) >= {licenses.CONTAINMENT} * n)
+SELECT d.doc_id, count(license) AS n_licenses,
+  coalesce(string_agg(license, ',' ORDER BY license), '') AS licenses
+FROM documents d LEFT JOIN held USING (doc_id) GROUP BY d.doc_id
+"""
+)
+def op3_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf, "documents"))
+
+
 @query()
 def op4_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(table(spark, sf, "documents"), language_model(spark, sf))
@@ -126,11 +169,6 @@ def op5_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
-#: DuckDB: words of a column as in the contamination contract.
-_WORDS = r"""regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
-
-
 @query(
     f"""
 WITH dw AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
