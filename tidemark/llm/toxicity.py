@@ -23,11 +23,14 @@ from tidemark.llm.common import texts_of
 TRAIN_DOCS, TRAIN_CHARS = 4_000, 12_000
 #: Hashed features; lengths of word beginnings that are features beside the word.
 DIMENSIONS = 1 << 20
-BEGINNINGS = (5,)
+BEGINNINGS = (3, 4)
+#: Features of fewer documents or of a larger share of them are not learned.
+LEAST_DOCS, LARGEST_SHARE = 2, 0.1
 FOLDS = 3
 #: Weight of the absolute-value penalty, and training steps.
-PENALTY, STEPS = 0.001, 150
-THRESHOLD = 0.5
+PENALTY, STEPS = 0.001, 200
+#: Probability from which a document is toxic; low, since the penalty shrinks all scores.
+THRESHOLD = 0.2
 #: Word scores a worker remembers.
 REMEMBERED = 500_000
 
@@ -57,10 +60,13 @@ def fit_logistic(
     Proximal gradient steps with momentum; the penalty on features sets most
     weights to zero, so that long texts do not add up noise.
     """
-    lengths = np.array([len(r) for r in rows], dtype=np.int64)
+    n = len(rows)
+    owner = np.repeat(np.arange(n), [len(r) for r in rows])
     used, at = np.unique(np.concatenate(rows), return_inverse=True)
-    owner = np.repeat(np.arange(len(rows)), lengths)
-    n, k = len(rows), len(used)
+    in_docs = np.bincount(np.unique(at * n + owner) // n, minlength=len(used))
+    good = (in_docs >= LEAST_DOCS) & (in_docs <= max(LEAST_DOCS, LARGEST_SHARE * n))
+    owner, at, used = owner[good[at]], (np.cumsum(good) - 1)[at[good[at]]], used[good]
+    lengths, k = np.bincount(owner, minlength=n), len(used)
     w, dense, bias = np.zeros(k), np.zeros(extra.shape[1]), 0.0
     ahead = (w, dense, bias)
     # each coordinate's curvature is bounded by a quarter of its products with row sums
