@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import chat, decontaminate, exact, language, licenses, pieces, simhash
-from tidemark.llm import toxicity, webtext
+from tidemark.llm import substrings, toxicity, webtext
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,6 +169,39 @@ def op5_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+@query(
+    """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+p AS (
+  SELECT doc_id, s, substr(x, 2 * s + 1, 100) AS g
+  FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2 - 49)) AS s FROM d)),
+h AS (
+  SELECT doc_id, s FROM p JOIN (SELECT g, min(doc_id) AS f FROM p GROUP BY g) USING (g)
+  WHERE doc_id > f),
+e AS (SELECT doc_id, s, CAST(s - coalesce(lag(s) OVER w, -99) > 50 AS INT) AS new FROM h
+      WINDOW w AS (PARTITION BY doc_id ORDER BY s)),
+r AS (
+  SELECT doc_id, min(s) AS b, max(s) + 50 AS e
+  FROM (SELECT doc_id, s, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS k FROM e)
+  GROUP BY doc_id, k),
+t AS (SELECT doc_id, sum(e - b) AS n, count(*) AS k FROM r GROUP BY doc_id),
+keep AS (
+  SELECT doc_id, b, lead(b) OVER (PARTITION BY doc_id ORDER BY b, e) AS nb, e
+  FROM (SELECT doc_id, 0 AS b, 0 AS e FROM d UNION ALL SELECT doc_id, b, e FROM r)),
+kept AS (
+  SELECT doc_id, string_agg(substr(x, 2 * e + 1, 2 * (coalesce(nb, length(x) // 2) - e)), ''
+    ORDER BY b, e) AS y
+  FROM keep JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes,
+  CAST(coalesce(t.n, 0) AS BIGINT) AS n_removed, CAST(coalesce(t.k, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(y)) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id) JOIN kept USING (doc_id)
+"""
+)
+def op6_repeated_substrings(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.find_repeats(table(spark, sf, "documents")).drop("spans")
+
+
 @query(
     f"""
 WITH dw AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
