@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,17 +32,11 @@ def texts_of(batch: pa.RecordBatch, column: int) -> Iterator[str | None]:
     return (x.as_py() for x in batch.column(column))
 
 
-def map_batches(
-    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str
-) -> DataFrame:
-    """Apply a batch function made once per task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = make()
-        for batch in batches:
-            yield step(batch)
-
-    return df.mapInArrow(run, schema)
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has such a column."""
+    while name.lower() in map(str.lower, df.columns):
+        name += "_"
+    return name
 
 
 def keep_once(docs: DataFrame, kept: DataFrame, id_col: str, mark: Column, label: str) -> DataFrame:
@@ -51,13 +45,14 @@ def keep_once(docs: DataFrame, kept: DataFrame, id_col: str, mark: Column, label
     ``mark`` is the expression over ``docs`` that ``kept`` was made with; id and
     mark together name a row up to repetition, and of repeated rows one stays.
     """
-    names = kept.groupBy(F.col("id").alias("_id"), F.col("mark").alias("_mark"))
-    names = staged(names.agg(F.count(F.lit(1)).alias("_n")), label)
+    key, same, count = (fresh(docs, x) for x in ("_id", "_mark", "_n"))
+    names = kept.groupBy(F.col("id").alias(key), F.col("mark").alias(same))
+    names = staged(names.agg(F.count(F.lit(1)).alias(count)), label)
     own = [docs[c] for c in docs.columns]
     joined = docs.join(
-        names.hint("shuffle_hash"), docs[id_col].eqNullSafe(F.col("_id")) & (mark == F.col("_mark"))
+        names.hint("shuffle_hash"), docs[id_col].eqNullSafe(F.col(key)) & (mark == F.col(same))
     )
-    if names.filter("_n > 1").isEmpty():
+    if names.filter(F.col(count) > 1).isEmpty():
         return joined.select(*own)
-    repeated = joined.filter("_n > 1").dropDuplicates(["_id", "_mark"]).select(*own)
-    return joined.filter("_n = 1").select(*own).unionAll(repeated)
+    repeated = joined.filter(F.col(count) > 1).dropDuplicates([key, same]).select(*own)
+    return joined.filter(F.col(count) == 1).select(*own).unionAll(repeated)
