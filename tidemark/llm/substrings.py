@@ -41,7 +41,7 @@ REACH = LENGTH - HALF + 1
 #: Bytes of text in a block, and of the blocks in a bucket, on average.
 BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
 #: Names that one owner holds, on average; fixes the number of owners, not the result.
-OWNER_NAMES = 4_000_000
+OWNER_NAMES = 1_500_000
 #: Bits of the names that are exchanged for runs and for windows.
 RUN_BITS, WINDOW_BITS = 48, 62
 #: Stands for a null id: before all others.
@@ -187,10 +187,15 @@ def _flags(names_sorted: np.ndarray, bits: int, owners: int, replies: dict[int,
     return np.concatenate(parts).astype(bool) if parts else np.zeros(0, bool)
 
 
+def _lists(pdf: pd.DataFrame):
+    """The lists of names that an owner got, one after the other."""
+    for sent in pdf[["n", "width", "unary", "rest"]].itertuples(index=False):
+        yield golomb.decode(*sent)
+
+
 def _decoded(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """All names of an owner and the row of ``pdf`` that each came with."""
-    lists = [golomb.decode(*x) for x in pdf[["n", "width", "unary", "rest"]].itertuples(index=False)]
-    return np.concatenate(lists), np.repeat(np.arange(len(lists)), pdf["n"])
+    return np.concatenate(list(_lists(pdf))), np.repeat(np.arange(len(pdf)), pdf["n"])
 
 
 def _column(pdf: pd.DataFrame, name: str, kind) -> np.ndarray:
@@ -263,10 +268,10 @@ def _first_round(blocks: DataFrame, owners: int) -> DataFrame:
             )
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-        listed, row = _decoded(pdf)
-        _, inverse, counts = np.unique(listed, return_inverse=True, return_counts=True)
-        again = np.split(counts[inverse] > 1, np.flatnonzero(np.diff(row)) + 1)
-        bits = [np.packbits(x).tobytes() for x in again]
+        everything = np.sort(np.concatenate(list(_lists(pdf))))
+        common = np.unique(everything[1:][everything[1:] == everything[:-1]])
+        del everything
+        bits = [np.packbits(np.isin(x, common)).tobytes() for x in _lists(pdf)]
         return pd.DataFrame({"src": pdf["src"], "owner": pdf["owner"], "bits": bits})
 
     messages = blocks.mapInArrow(send, MESSAGE)
