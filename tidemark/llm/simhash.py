@@ -27,7 +27,7 @@ SEED = 42
 #: Fingerprints with at most this many differing bits are linked.
 RADIUS = 2
 #: Fingerprints that a shard is meant to store, and those sampled to fit the shards.
-SHARD_ROWS, SAMPLE = 20_000, 8_192
+SHARD_ROWS, SAMPLE = 4_000, 8_192
 #: Sampled fingerprints behind each shard boundary, at least.
 LEAST_SAMPLE = 16
 #: Leaves of at most so many stored fingerprints are compared outright.
