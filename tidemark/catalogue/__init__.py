@@ -4,7 +4,7 @@ Every query reads whole tables.  The SQL twin states the same result in plain
 SQL, written from the operator's meaning rather than from its plan.
 """
 
-from tidemark.catalogue import hashes, intervals, jobs, merges, quality, verify  # noqa: F401
+from tidemark.catalogue import hashes, intervals, jobs, merges, quality, refusals, verify  # noqa: F401
 from tidemark.catalogue.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -137,10 +137,13 @@ def event_props_field(spark, sf):
     return table(spark, sf, "events").groupBy("event_type").agg(F.sum(k).alias("k_sum"))
 
 
-_TABLES = ("customer", "events", "lineitem", "orders", "part", "documents")
+_TABLES = tuple(
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations".split()
+)
 _SQL_TYPE = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
   WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
-  WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END"""
+  WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>' END"""
 
 
 @query(
@@ -165,11 +168,17 @@ def schema_fingerprints(spark, sf):
     return out
 
 
-@query()
+@query(
+    """SELECT CAST(n_nationkey AS VARCHAR) AS nation, CAST(strlen(n_name) + 1 AS BIGINT) AS length,
+       sha256(n_name || chr(10)) AS sha256 FROM nation"""
+)
 def source_digest(spark, sf):
-    """SHA-256 of the bytes of the stored orders and lineitem files."""
-    digests = source_digests(spark, [f"{sf}/orders.parquet", f"{sf}/lineitem.parquet"])
-    return digests.withColumn("path", F.regexp_extract("path", r"([^/]+)$", 1))
+    """SHA-256 of the bytes of files that hold one nation's name each."""
+    folder = scratch_folder(spark, "nations")
+    nations = table(spark, sf, "nation").select("n_name", "n_nationkey")
+    nations.write.partitionBy("n_nationkey").text(folder)
+    nation = F.regexp_extract("path", r"n_nationkey=(\d+)/", 1)
+    return source_digests(spark, folder).select(nation.alias("nation"), "length", "sha256")
 
 
 @query(
@@ -192,10 +201,13 @@ def table_fingerprint(spark, sf):
 def tsv_scan(spark, sf):
     """Orders written tab-separated, read back by declared names, all text.
 
-    The file has more columns than declared, and one declared column is absent.
+    The files have more columns than declared, in different orders, and one
+    declared column is absent.
     """
-    folder = scratch_folder(spark, "tsv")
-    raw_filings(spark, sf).write.option("header", True).option("sep", "\t").csv(folder)
+    folder, rows = scratch_folder(spark, "tsv"), raw_filings(spark, sf)
+    urgent = F.col("form") == "1-URGENT"
+    for part in (rows.filter(urgent), rows.filter(~urgent).select(*reversed(rows.columns))):
+        part.write.mode("append").option("header", True).option("sep", "\t").csv(folder)
     return scan_declared(spark, folder, ("adsh", "cik", "form", "accepted", "instance"))
 
 

@@ -41,7 +41,7 @@ def interval_counts(
 ) -> DataFrame:
     """One row with the violation count of each table check.
 
-    * lookahead: valid before known
+    * lookahead: valid before known, or either instant missing
     * inverted: ends before it starts (an empty interval is legal)
     * orphan_empty: empty interval with no non-empty interval of another filing
       starting at the same instant for the same key
@@ -58,12 +58,13 @@ def interval_counts(
         n.alias("n"),
         F.count_if(end == start).alias("empty"),
         F.count_if(end > start).alias("full"),
-        F.count_if(start < F.col(model.known_at)).alias("lookahead"),
+        F.count_if(F.coalesce(start < F.col(model.known_at), F.lit(True))).alias("lookahead"),
         F.count_if(end < start).alias("inverted"),
         F.count_if(end >= instant(OPEN_FLOOR)).alias("open"),
         F.max(F.when(end > start, end)).alias("full_end"),
     )
-    is_winner = F.col("full") > 0
+    # a missing filing is no other filing: it never wins and never has a sibling
+    is_winner = (F.col("full") > 0) & F.col(filing).isNotNull()
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
     per_start = (
         per_filing.groupBy(*key, "valid_from")
@@ -78,6 +79,7 @@ def interval_counts(
             F.sum(F.col("n") - 1).alias("duplicate_facts"),
             F.count_if(is_winner).alias("winners"),
             F.sum(F.when(is_winner, F.col("empty")).otherwise(0)).alias("winner_empty"),
+            F.sum(F.when(F.col(filing).isNull(), F.col("empty")).otherwise(0)).alias("lost_empty"),
         )
         .withColumn(
             "orphan_empty",
@@ -85,8 +87,8 @@ def interval_counts(
             # of another filing; with two or more winners none do.  A key with
             # a NULL in it equals no other row's key.
             F.when((F.col("winners") == 0) | no_key, F.col("empty"))
-            .when(F.col("winners") == 1, F.col("winner_empty"))
-            .otherwise(0),
+            .when(F.col("winners") == 1, F.col("winner_empty") + F.col("lost_empty"))
+            .otherwise(F.col("lost_empty")),
         )
     )
     # Neighbours are compared among starts of the same kind, so an interval is

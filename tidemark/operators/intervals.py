@@ -11,24 +11,14 @@ from tidemark.model import OPEN_END, FactModel, instant
 from tidemark.operators.skew import SlicePlan, next_in_order, plan_slices
 
 
-BROADCAST_ROWS = 1_000_000  # about 100 MB of three-column index rows
-
-
-def attach_filings(
-    facts: DataFrame, filings: DataFrame, model: FactModel, index_rows: int | None = None
-) -> DataFrame:
+def attach_filings(facts: DataFrame, filings: DataFrame, model: FactModel) -> DataFrame:
     """Facts with the filing's entity and acceptance time; orphan facts drop out.
 
     The filing index is one row per link value, so the join never fans out.
-    ``index_rows`` is its counted size: a small index is broadcast and saves
-    the facts a shuffle.  A larger one is the build side of a hash join; being
-    unique on the link it spreads evenly over the tasks, while a filing with
-    very many facts is split by adaptive execution.  Without a count the choice
-    is left to Spark.
+    Spark picks the join from measured sizes; a filing with very many facts is
+    split by adaptive execution.
     """
     index = filings.select(*model.filing_types)
-    if index_rows is not None:
-        index = index.hint("broadcast" if index_rows <= BROADCAST_ROWS else "shuffle_hash")
     from_filing = [c for c in model.natural_key + (model.known_at,) if c in model.filing_types]
     from_fact = [
         c
@@ -66,10 +56,9 @@ def build_intervals(
     filings: DataFrame,
     model: FactModel,
     plan: SlicePlan | None = None,
-    index_rows: int | None = None,
 ) -> DataFrame:
     """Join facts to the filing index and derive validity intervals."""
-    return validity_intervals(attach_filings(facts, filings, model, index_rows), model, plan)
+    return validity_intervals(attach_filings(facts, filings, model), model, plan)
 
 
 def plan_interval_slices(

@@ -35,9 +35,9 @@ class Outcome:
         rows = [(contract.name, v.constraint, v.target, v.count) for v in self.violations]
         return spark.createDataFrame(rows, DETAIL_SCHEMA)
 
-    def message(self, limit: int = 50) -> str:
-        head = [f"{v.constraint}({v.target})={v.count}" for v in self.violations[:limit]]
-        return "; ".join(head)
+    def message(self) -> str:
+        """All violations in one line; there are as many as rules."""
+        return "; ".join(f"{v.constraint}({v.target})={v.count}" for v in self.violations)
 
 
 class QualityHalt(RuntimeError):

@@ -51,9 +51,12 @@ def backfill(
     """Run every quarter that is not yet ok; returns the ledger.
 
     A refused or failed quarter costs only itself: it is recorded and skipped,
-    because quarters are independent up to silver.
+    because quarters are independent up to silver.  Gold is rebuilt when a
+    quarter got through, or when the last rebuild failed; a rebuild that fails
+    is recorded too.
     """
     ledger, spark = Ledger(lake), lake.spark
+    rebuild = bool(ledger.todo(["_gold_rebuild"]))
     for quarter in ledger.todo(quarters):
         started = time.monotonic()
         ingest_ts = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
@@ -62,16 +65,21 @@ def backfill(
             got = ingest_quarter(lake, source_root, quarter, code_version, ingest_ts)
             run = run_silver(lake, got.facts, got.filings, got.batch_id, ingest_ts)
             status, code, line = "ok", 0, run.line(spark)
+            rebuild = True
         except QualityHalt as halt:
             status, code, line = "halted", 1, str(halt)
         except Exception as e:
-            status, code, line = "error", 1, f"{type(e).__name__}: {e}"[:2000]
+            status, code, line = "error", 1, f"{type(e).__name__}: {e}"
         wall = round(time.monotonic() - started, 1)
         ledger.record(quarter, status, code, wall, line, code_version)
-    if lake.silver.exists():
+    if rebuild and lake.silver.exists():
         started = time.monotonic()
-        version = rebuild_gold(lake)
+        try:
+            version = rebuild_gold(lake)
+            status, code = "ok", 0
+            line = f"gold_rebuild rows={lake.gold.row_count()} delta_version={version}"
+        except Exception as e:
+            status, code, line = "error", 1, f"{type(e).__name__}: {e}"
         wall = round(time.monotonic() - started, 1)
-        line = f"gold_rebuild rows={lake.gold.row_count()} delta_version={version}"
-        ledger.record("_gold_rebuild", "ok", 0, wall, line, code_version)
+        ledger.record("_gold_rebuild", status, code, wall, line, code_version)
     return ledger.read().filter(~F.col("quarter").startswith("_"))

@@ -89,7 +89,10 @@ def ingest_quarter(
     stored = lake.bronze_facts.read().filter(this_batch).select(*facts.columns)
     stored = stored.withColumn(INGEST_TS, instant(ingest_ts))
     stored_filings = lake.bronze_filings.read().filter(this_batch).drop(INGEST_TS)
-    return Ingested(stored, cast_filings(stored_filings, model), batch_id, version)
+    # a column the file lacks stays absent, so that the next stage can refuse the batch
+    absent = [c for c in model.filing_types if c not in raw_filings.columns]
+    typed_filings = cast_filings(stored_filings, model).drop(*absent)
+    return Ingested(stored, typed_filings, batch_id, version)
 
 
 def _to_declared(df: DataFrame, declared: Sequence[str]) -> DataFrame:

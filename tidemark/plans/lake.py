@@ -33,8 +33,9 @@ class Lake:
         self.filing_index = self._table("silver_filings")
         self.gold = self._table("gold")
         self.registry = self._table("registry")
-        # Three lanes because their rows have three shapes.
+        # Four lanes because their rows have four shapes.
         self.quarantine_rows = self._table("quarantine/rows")
+        self.quarantine_filings = self._table("quarantine/filings")
         self.quarantine_detail = self._table("quarantine/detail")
         self.quarantine_unevaluable = self._table("quarantine/unevaluable")
 

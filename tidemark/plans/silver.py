@@ -9,18 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.frames import one_row
-from tidemark.model import BATCH_ID, INGEST_TS, instant
-from tidemark.operators.merge import newer, require_unique
+from tidemark.model import BATCH_ID, INGEST_TS, Contract, instant
+from tidemark.operators.merge import newer
 from tidemark.operators.quality import (
     FAIL,
     PASS,
     UNEVALUABLE,
     Outcome,
     QualityHalt,
+    Violation,
+    duplicate_group_count,
     judge,
     missing_source_columns,
 )
-from tidemark.operators.splits import LANE, in_scope, route
+from tidemark.operators.splits import LANE, in_scope, route, split_valid
 from tidemark.plans.lake import UNEVALUABLE_SCHEMA, Lake
 from tidemark.sources.logs import RUN_LINE_FIELDS, run_line
 
@@ -53,12 +55,15 @@ def run_silver(
     Rows are counted from the scope columns alone, quarantined rows are
     written, the gate judges the valid rows in one pass, and they are merged.
     A refused batch leaves rows in its lane and raises :class:`QualityHalt`;
-    nothing of it reaches silver.
+    nothing of it reaches silver.  Filings without a link, an entity or a time
+    are quarantined in a lane of their own; their facts stay in silver and out
+    of gold, as those of any unknown filing.  Repeated filings refuse the batch.
     """
     started = time.monotonic()
     model, contract = lake.model, lake.model.contract
 
     reason = missing_source_columns(facts, (*contract.types, *model.scope))
+    reason = reason or missing_source_columns(filings, tuple(model.filing_types))
     if reason:
         _refuse(lake, batch_id, Outcome(UNEVALUABLE, reason))
 
@@ -81,7 +86,14 @@ def run_silver(
     if outcome.label != PASS:
         _refuse(lake, batch_id, outcome)
 
-    require_unique(filings, [model.link])  # a repeated filing would fan out the gold join
+    filings, unusable = split_valid(filings, tuple(model.filing_types))
+    repeated = duplicate_group_count(filings, [model.link]).first()["violations"]
+    if repeated:  # a repeated filing would fan out the gold join
+        broken = Outcome(FAIL, violations=(Violation("uniqueness", model.link, repeated),))
+        _refuse(lake, batch_id, broken, Contract(name=f"filings-{model.name}"))
+    lake.quarantine_filings.append(
+        unusable.withColumn(BATCH_ID, F.lit(batch_id)), label=batch_id
+    )
     version = lake.silver.merge(
         valid,
         model.fact_key,
@@ -116,11 +128,14 @@ def run_silver(
     )
 
 
-def _refuse(lake: Lake, batch_id: str, outcome: Outcome) -> None:
+def _refuse(
+    lake: Lake, batch_id: str, outcome: Outcome, contract: Contract | None = None
+) -> None:
     """Write the outcome to its lane, then stop the batch."""
     spark = lake.spark
     if outcome.label == FAIL:
-        lake.quarantine_detail.append(outcome.detail(spark, lake.model.contract), label=batch_id)
+        detail = outcome.detail(spark, contract or lake.model.contract)
+        lake.quarantine_detail.append(detail, label=batch_id)
     else:
         row = one_row(spark, (batch_id, outcome.reason), UNEVALUABLE_SCHEMA)
         lake.quarantine_unevaluable.append(row, label=batch_id)

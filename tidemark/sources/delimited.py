@@ -2,65 +2,52 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-IN_MEMORY_DIGEST_BYTES = 256 << 20
-_BLOCK = 8 << 20
-
 
 def scan_declared(
     spark: SparkSession, path: str | list[str], declared: Sequence[str], sep: str = "\t"
 ) -> DataFrame:
-    """All-text scan of the declared columns that the header names, in declared order.
+    """All-text scan of the declared columns that the headers name, in declared order.
 
-    No inference.  Undeclared columns are dropped; absent ones are left out so
-    that the source precondition can report them.
+    No inference.  Every file is read by the names in its own header, so part
+    files may order their columns differently.  Undeclared columns are dropped;
+    a column that any file lacks is left out, so that the source precondition
+    can report it.
     """
-    raw = (
-        spark.read.option("header", True).option("sep", sep).option("inferSchema", False).csv(path)
-    )
-    return raw.select(*[c for c in declared if c in raw.columns])
+    parts = _by_header(spark, path, sep, infer=False)
+    present = [c for c in declared if all(c in p.columns for p in parts)]
+    return reduce(DataFrame.unionByName, [p.select(*present) for p in parts])
 
 
 def scan_profiled(spark: SparkSession, path: str | list[str], sep: str = "\t") -> DataFrame:
     """Scan with inferred types, for profiling checks on raw files only."""
-    return (
-        spark.read.option("header", True).option("sep", sep).option("inferSchema", True).csv(path)
+    parts = _by_header(spark, path, sep, infer=True)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _by_header(spark: SparkSession, path, sep: str, infer: bool) -> list[DataFrame]:
+    """One scan for each distinct header line; Spark checks every file against its scan's."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("n")
     )
+    first = lines.groupBy("path").agg(F.min_by("value", "n").alias("header"))
+    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    found = [r["paths"] for r in groups.orderBy("paths").collect()]  # one entry per file
+    reader = spark.read.option("header", True).option("sep", sep).option("inferSchema", infer)
+    reader = reader.option("enforceSchema", infer)
+    return [reader.csv(paths) for paths in found] or [reader.csv(path)]
 
 
 def source_digests(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``(path, length, sha256)`` of the raw bytes of every file under ``paths``.
 
-    Ordinary files are hashed inside Spark.  A file too big for one row is
-    streamed block by block in its task, so size is no limit.
+    Files are hashed inside Spark, each as one row; Spark refuses a file of
+    2 GB or more, which has to be delivered in parts.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-    small = files.filter(F.col("length") <= IN_MEMORY_DIGEST_BYTES).select(
-        "path", "length", F.sha2("content", 256).alias("sha256")
-    )
-    big = files.select("path", "length").filter(F.col("length") > IN_MEMORY_DIGEST_BYTES)
-    if big.isEmpty():  # a listing: no file content is read for this
-        return small
-    streamed = big.mapInPandas(_stream_digest, "path string, length bigint, sha256 string")
-    return small.unionByName(streamed)
-
-
-def _stream_digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
-    for batch in batches:
-        found = []
-        for path in batch["path"]:
-            filesystem, inner = fs.FileSystem.from_uri(path)
-            digest = hashlib.sha256()
-            with filesystem.open_input_stream(inner) as stream:
-                while block := stream.read(_BLOCK):
-                    digest.update(block)
-            found.append(digest.hexdigest())
-        yield batch.assign(sha256=found)
+    return files.select("path", "length", F.sha2("content", 256).alias("sha256"))

@@ -3,14 +3,15 @@
 Layout under ``root``::
 
     data/v=<n>/run=<id>/op=<insert|update>/*.parquet
-    commits/*.json                       one row per published version
+    commits/<n>.json                     one row per published version
 
 A version either replaces the table or adds a part to it, so appending or
 merging a batch writes the batch, not the table.  Rows written as ``update``
 supersede older rows with the same key; readers drop those with an anti-join,
 which is planned only if some version in range has updates.  A part counts
-once its commit row is there; folders of a failed write are never read.  One
-writer per table at a time is assumed and checked after each commit.
+once its commit file is there; folders of a failed write are never read.  The
+commit file of a version is created exclusively, so of two writers the later
+one is refused and leaves nothing that can be read.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +43,6 @@ COMMIT_SCHEMA = (
     "num_source bigint, num_inserted bigint, num_updated bigint, rows bigint, "
     "label string, schema_json string, ts timestamp_ntz"
 )
-BROADCAST_VALUES = 1_000_000
 _LAYOUT = {"v": T.IntegerType(), "run": T.StringType(), "op": T.StringType()}
 
 
@@ -99,13 +100,6 @@ class VersionedTable:
         """The table as of ``version`` (latest when omitted)."""
         return self._frame(self._log(), version)
 
-    def read_part(self, version: int) -> DataFrame:
-        """Only the rows that ``version`` wrote."""
-        row = [r for r in self._log() if r["version"] == version]
-        if not row:
-            raise MissingTable(f"{self.root} has no version {version}")
-        return self._scan(row).drop(*_LAYOUT)
-
     def _frame(self, log: list, version: int | None) -> DataFrame:
         log = [r for r in log if version is None or r["version"] <= version]
         if not log or (version is not None and log[-1]["version"] != version):
@@ -217,6 +211,9 @@ class VersionedTable:
                 require_unique(source.dropna(subset=list(keys)), keys)
             return self.overwrite(source, label)
         source = self._aligned(log, source)
+        others = {r["keys"] for r in log if r["num_updated"]} - {",".join(keys)}
+        if others:
+            raise ValueError(f"{self.root} was merged on {others}, not on {tuple(keys)}")
         target = self._frame(log, None)
         if prune_by is not None:
             target = _only_values_of(source, target, prune_by)
@@ -233,6 +230,12 @@ class VersionedTable:
             inserted, updated, log[-1]["rows"] + inserted, label,
         )
 
+    def has_updates(self) -> bool:
+        """Whether reads of the latest version have superseded rows to drop."""
+        log = self._log()
+        start = max((i for i, r in enumerate(log) if r["replaces"]), default=0)
+        return any(r["num_updated"] for r in log[start:] if not r["replaces"])
+
     def compact(self) -> int:
         """Write the current rows as one replacing version, so reads need no anti-join."""
         return self.overwrite(self.read(), label="compact")
@@ -271,20 +274,37 @@ class VersionedTable:
             version, operation, replaces, run, keys, num_source, num_inserted, num_updated,
             rows, label, schema.json(), datetime.now(timezone.utc).replace(tzinfo=None),
         )
-        one_row(self.spark, row, COMMIT_SCHEMA).write.mode("append").json(f"{self.root}/commits")
-        mine = [r for r in self.refresh()._log() if r["version"] == version]
-        if len(mine) != 1:
-            raise RuntimeError(f"two writers published version {version} of {self.root}")
+        line = one_row(self.spark, row, COMMIT_SCHEMA).select(F.to_json(F.struct("*"))).first()[0]
+        path = f"{self.root}/commits/{version:012d}.json"
+        if not create_file(self.spark, path, line):
+            raise RuntimeError(f"another writer published version {version} of {self.root}")
+        self.refresh()
         return version
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless it exists; False if it does.
+
+    Exclusive on stores that create files atomically, such as HDFS and local
+    disks; plain object stores need a committer that is.
+    """
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        out = store.create(target, False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in str(e.java_exception):
+            return False
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
 def _only_values_of(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
-    """Target rows whose ``column`` value the source has, found without a shuffle.
+    """Target rows whose ``column`` value the source has.
 
-    The distinct source values are counted first and broadcast only when few;
-    with many the target stays as it is and the merge join does the work.
+    Spark broadcasts the values where their measured size allows it.
     """
     values = source.select(column).distinct()
-    if values.count() > BROADCAST_VALUES:
-        return target
-    return target.join(F.broadcast(values), column, "left_semi").select(*target.columns)
+    return target.join(values, column, "left_semi").select(*target.columns)
