@@ -198,6 +198,13 @@ def _decoded(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(list(_lists(pdf))), np.repeat(np.arange(len(pdf)), pdf["n"])
 
 
+def _among(found: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    """Which values stand in a sorted list."""
+    if not len(listed):
+        return np.zeros(len(found), bool)
+    return listed[np.minimum(np.searchsorted(listed, found), len(listed) - 1)] == found
+
+
 def _column(pdf: pd.DataFrame, name: str, kind) -> np.ndarray:
     return np.concatenate([np.frombuffer(x, kind) for x in pdf[name]])
 
@@ -271,7 +278,7 @@ def _first_round(blocks: DataFrame, owners: int) -> DataFrame:
         everything = np.sort(np.concatenate(list(_lists(pdf))))
         common = np.unique(everything[1:][everything[1:] == everything[:-1]])
         del everything
-        bits = [np.packbits(np.isin(x, common)).tobytes() for x in _lists(pdf)]
+        bits = [np.packbits(_among(x, common)).tobytes() for x in _lists(pdf)]
         return pd.DataFrame({"src": pdf["src"], "owner": pdf["owner"], "bits": bits})
 
     messages = blocks.mapInArrow(send, MESSAGE)
@@ -290,7 +297,7 @@ def _second_round(blocks: DataFrame, again: DataFrame, owners: int) -> DataFrame
             common = listed[_flags(listed, RUN_BITS, owners, bits)]
             order, start = block.groups()
             first = order[start]
-            first = first[np.isin(block.name[first], common)]
+            first = first[_among(block.name[first], common)]
             name, whole, doc = block.name[first], block.whole[first], block.doc[first]
 
             def extra(lo, hi, first=first, whole=whole, doc=doc, block=block):
