@@ -161,7 +161,9 @@ def scan_licenses(
         lambda x: x.isNotNull(),
     )
     nothing = F.array().cast("array<string>")
-    rows = rows.select("doc_id", F.when(candidate, held).otherwise(nothing).alias("found"))
+    rows = rows.select("doc_id", F.when(candidate, shingles(F.col("w"))).alias("s"))
+    found = F.when(F.col("s").isNotNull(), held).otherwise(nothing)
+    rows = rows.select("doc_id", found.alias("found"))
     return rows.select(
         "doc_id",
         F.size("found").cast("long").alias("n_licenses"),
@@ -170,8 +172,8 @@ def scan_licenses(
 
 
 def _verified(template: dict) -> Column:
-    """The template's name where enough of its shingles stand in the document, else null."""
+    """The template's name where enough of its shingles stand among a document's, else null."""
     texts = F.array(*[F.lit(s) for s in template["shingles"]])
-    there = F.size(F.array_intersect(texts, shingles(F.col("w"))))
+    there = F.size(F.array_intersect(texts, F.col("s")))
     enough = there >= CONTAINMENT * len(template["shingles"])
     return F.when(enough, F.lit(template["license"]))
