@@ -227,7 +227,7 @@ def _list_of_names(block: Block) -> np.ndarray:
     order = np.lexsort((block.doc_id, block.name))
     name, doc_id = block.name[order], block.doc_id[order]
     start = np.flatnonzero(np.r_[True, name[1:] != name[:-1]][: len(name)])
-    end = np.r_[start[1:], len(name)] - 1
+    end = np.r_[start[1:], len(name)][: len(start)] - 1
     return np.repeat(name[start], 1 + (doc_id[end] != doc_id[start]))
 
 
