@@ -28,7 +28,8 @@ def probe(
         return False, f"consumer path unreadable: {e}"
     if len(rows) == 1 and rows[0][0] is not None and float(rows[0][0]) == float(expect):
         return True, f"as_of({at}) -> value={rows[0][0]} {model.link}={rows[0][1]}"
-    return False, f"as_of({at}) -> {len(rows)} row(s), expected exactly one == {expect}"
+    seen = "at least 2 rows" if len(rows) > 1 else f"{len(rows)} row(s)"
+    return False, f"as_of({at}) -> {seen}, expected exactly one == {expect}"
 
 
 def probe_all(gold: DataFrame, expected: DataFrame, model: FactModel, at: str | Column) -> DataFrame:

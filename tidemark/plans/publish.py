@@ -80,7 +80,7 @@ def write_audit_publish(
     """Publish the lake's current gold after it earned it.
 
     The same audit must pass on the candidate and fail on a twin with exactly
-    the planted rows; the consumer probe must fail before the publish and pass
+    the planted rows, all other checks unchanged; the consumer probe must fail before the publish and pass
     after it.  An unevaluable or red candidate is never published.
     """
     require_twin_destination(twin_root)
@@ -98,7 +98,10 @@ def write_audit_publish(
     red = run_audit(twin.read(), model, registry)
 
     control, _ = probe(_open(published), model, key, at, expect)
-    earned = green.verdict == "GREEN" and red.verdict == "RED" and red.count("A1") == planted
+    # the planted defect must show, and nothing but it
+    others = lambda o: [(r.check, r.verdict, r.violations) for r in o.results if r.check[:2] != "A1"]
+    earned = green.verdict == "GREEN" and red.verdict == "RED"
+    earned = earned and red.count("A1") == planted and others(green) == others(red)
     if earned:
         published.point_to(lake.gold, version)
     after, _ = probe(_open(published), model, key, at, expect)
