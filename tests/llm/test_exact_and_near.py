@@ -148,3 +148,24 @@ def test_clashing_columns_survive(clashing):
     assert simhash.keep_first(clashing).columns == clashing.columns
 
 
+
+FAR = [
+    "alpha beta gamma delta epsilon zeta eta theta",
+    "one two three four five six seven eight nine",
+    "the quick brown fox jumps over the lazy dog",
+]
+
+
+def kept_texts(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return sorted((r.doc_id or 0, r.text) for r in simhash.keep_first(docs).collect())
+
+
+def test_components_without_an_id_keep_one_each(spark):
+    rows = [(None, t) for t in FAR] + [(None, FAR[0])]
+    assert kept_texts(spark, rows) == sorted((0, t) for t in FAR)
+
+
+def test_components_with_the_same_smallest_id_keep_one_each(spark):
+    rows = [(1, FAR[0]), (1, FAR[1]), (2, FAR[1]), (3, FAR[2]), (3, FAR[2])]
+    assert kept_texts(spark, rows) == sorted([(1, FAR[0]), (1, FAR[1]), (3, FAR[2])])

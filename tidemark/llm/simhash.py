@@ -235,6 +235,20 @@ def near_duplicates(
     smallest doc_id reachable over links; null ids count only where a component
     has no other.  Rows that repeat an id are documents of their own.
     """
+    return _in_components(docs, id_col, text_col).select(
+        F.col("id").alias("doc_id"),
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        "component_id",
+        F.col("mark").alias("text_hash"),
+    )
+
+
+def _in_components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: ``id, mark, fp, root, component_id``.
+
+    ``root`` is a fingerprint of the component, so unlike ``component_id`` no
+    two components share it.
+    """
     rows = staged(fingerprints(docs, id_col, text_col), "simhash")
     distinct = staged(rows.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
     links = connected_components(close_links(distinct))
@@ -243,26 +257,26 @@ def near_duplicates(
     )
     labelled = staged(labelled, "simhash-roots")
     smallest = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = labelled.join(smallest, "root").select("fp", "component_id")
-    return rows.join(classes, "fp").select(
-        F.col("id").alias("doc_id"),
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "component_id",
-        F.col("mark").alias("text_hash"),
-    )
+    classes = labelled.join(smallest, "root").select("fp", "root", "component_id")
+    return rows.join(classes, "fp").select("id", "mark", "fp", "root", "component_id")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The document with the smallest id of each component, with all its columns.
 
-    Where several rows have that id, the one with the smallest text hash stays.
+    Where several rows have that id, the one with the smallest text hash stays,
+    and of rows that repeat both, one.  A null id is chosen only where a
+    component has no other.
     """
-    found = near_duplicates(docs, id_col, text_col)
-    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = first.select("component_id", F.col("text_hash").alias("mark"))
+    first = _in_components(docs, id_col, text_col)
+    first = first.filter(F.col("id").eqNullSafe(F.col("component_id")))
+    same = first.groupBy("root", "id", "mark").agg(F.count(F.lit(1)).alias("n"))
+    first = same.groupBy("root").agg(F.min(F.struct("mark", "id", "n")).alias("r"))
+    # named twice where rows repeat, so that one of them goes
+    first = first.select("r.*", F.explode(F.sequence(F.lit(1), F.least("r.n", F.lit(2)))))
     return keep_once(
         docs,
-        first.groupBy(F.col("component_id").alias("id")).agg(F.min("mark").alias("mark")),
+        first.select("id", "mark"),
         id_col,
         F.xxhash64(F.coalesce(docs[text_col], F.lit(""))),
         "simhash-kept",
