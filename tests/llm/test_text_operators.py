@@ -2,6 +2,7 @@ import itertools
 import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -179,6 +180,25 @@ def test_toxicity_of_awkward_rows(spark, awkward, clashing, no_docs):
     assert toxicity.score_toxicity(no_docs, none).count() == 0
 
 
+def test_toxicity_of_a_large_toxic_group():
+    """A word of a third of all rows, all of them toxic, is learned; one of all labels is not."""
+    r = random.Random(5)
+    texts, y = [], []
+    for i in range(600):
+        words = {f"{r.choice('bcdfg')}{r.choice('aeiou')}{r.randrange(400)}x" for _ in range(30)}
+        words = {"".join(chr(97 + int(c)) if c.isdigit() else c for c in w) for w in words}
+        texts.append(words | ({"slur"} if i % 3 == 0 else set()) | ({"often"} if i % 2 else set()))
+        y.append(float(i % 3 == 0))
+    rows = [np.array(sorted(f for w in t for f in toxicity.features_of(w))) for t in texts]
+    none = np.zeros((len(rows), 0))
+    model = toxicity.fit_logistic(rows, none, np.array(y))
+    weights = model[0]
+    assert sum(weights[f] for f in toxicity.features_of("slur")) > 1
+    assert not any(weights[f] for f in toxicity.features_of("often"))
+    toxic = toxicity.predict(model, rows, none) >= toxicity.THRESHOLD
+    assert toxic.tolist() == [v == 1 for v in y]
+
+
 # -- licenses ---------------------------------------------------------------------
 
 

@@ -24,8 +24,11 @@ TRAIN_DOCS, TRAIN_CHARS = 4_000, 12_000
 #: Hashed features; lengths of word beginnings that are features beside the word.
 DIMENSIONS = 1 << 20
 BEGINNINGS = (3, 4)
-#: Features of fewer documents or of a larger share of them are not learned.
-LEAST_DOCS, LARGEST_SHARE = 2, 0.1
+#: Features of fewer documents are not learned.
+LEAST_DOCS = 2
+#: Features of a larger share of the documents are learned if their frequencies with
+#: and without the label are at least so many standard errors apart.
+COMMON_SHARE, APART = 0.1, 5
 FOLDS = 3
 #: Weight of the absolute-value penalty, and training steps.
 PENALTY, STEPS = 0.001, 200
@@ -63,8 +66,12 @@ def fit_logistic(
     n = len(rows)
     owner = np.repeat(np.arange(n), [len(r) for r in rows])
     used, at = np.unique(np.concatenate(rows), return_inverse=True)
-    in_docs = np.bincount(np.unique(at * n + owner) // n, minlength=len(used))
-    good = (in_docs >= LEAST_DOCS) & (in_docs <= max(LEAST_DOCS, LARGEST_SHARE * n))
+    feature, doc = np.divmod(np.unique(at * n + owner), n)
+    in_docs = np.bincount(feature, minlength=len(used))
+    labelled, rate = np.bincount(feature, y[doc], minlength=len(used)), y.mean()
+    error = np.sqrt(in_docs * (1 - in_docs / n) * rate * (1 - rate))
+    telling = np.abs(labelled - in_docs * rate) > APART * error
+    good = (in_docs >= LEAST_DOCS) & ((in_docs <= max(LEAST_DOCS, COMMON_SHARE * n)) | telling)
     owner, at, used = owner[good[at]], (np.cumsum(good) - 1)[at[good[at]]], used[good]
     lengths, k = np.bincount(owner, minlength=n), len(used)
     w, dense, bias = np.zeros(k), np.zeros(extra.shape[1]), 0.0
