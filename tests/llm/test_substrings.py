@@ -59,3 +59,35 @@ def test_awkward_rows(awkward, clashing, no_docs):
     long = {r.doc_id: r for r in found if r.doc_id in (7, 8)}
     assert long[7].n_removed == 0 and long[8].n_removed == long[8].n_bytes - 1
     assert substrings.find_repeats(no_docs).count() == 0
+
+
+def templated():
+    """Texts of 50 bytes that differ in the bytes at 16 and 24 alone."""
+    text = "entry of the ledger number 0 and then the rest: ok"
+    return [text[:16] + a + text[17:24] + b + text[25:] for a in "0123456789" for b in "0123456789"]
+
+
+def test_names_of_two_changed_bytes_eight_apart():
+    made_ = [substrings.names(t.encode()) for t in templated()]
+    assert len({int(full[0]) for _, full in made_}) == 100
+    assert len({int(half[0]) for half, _ in made_}) == 100
+    at = np.zeros(1, np.int64)
+    assert len({int(substrings.checks(t.encode(), at)[0]) for t in templated()}) == 100
+
+
+def test_two_changed_bytes_eight_apart_remove_nothing(spark):
+    rows = list(enumerate(templated()))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = substrings.find_repeats(docs).drop("spans").collect()
+    assert sorted(str(tuple(r)) for r in found) == plain(rows)
+    assert not any(r.n_removed for r in found)
+
+
+def test_clashing_window_names_are_settled_by_the_second_hash(spark, monkeypatch):
+    """With names of windows of very few bits only the second hash tells them apart."""
+    monkeypatch.setattr(substrings, "WINDOW_BITS", 3)
+    monkeypatch.setattr(substrings, "BLOCK_BYTES", 3000)
+    rows = made(4)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = substrings.find_repeats(docs).drop("spans").collect()
+    assert sorted(str(tuple(r)) for r in found) == plain(rows)

@@ -50,24 +50,46 @@ NO_ID = -(1 << 63)
 MESSAGE = "src long, owner int, n int, width int, unary binary, rest binary"
 
 
-def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """64-bit names of pairs of names."""
-    x = a * np.uint64(0x9E3779B97F4A7C15)
-    x ^= b * np.uint64(0xC2B2AE3D27D4EB4F)
-    x ^= x >> np.uint64(29)
+def _mix(x: np.ndarray) -> np.ndarray:
+    """Every bit of the result hangs on every bit of ``x``, one to one; works in place."""
+    x ^= x >> np.uint64(30)
     x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(32)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
     return x
 
 
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """64-bit names of pairs of mixed names."""
+    x = a * np.uint64(0x9E3779B97F4A7C15)
+    x ^= b
+    return _mix(x)
+
+
+def _words(data: bytes) -> np.ndarray:
+    """The 8 bytes at every position, as numbers."""
+    return np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
+
+
 def names(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Names of all 25-byte and of all 50-byte strings of a text of 50 bytes or more."""
-    eight = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
+    # raw bytes differ in few bits: mixed one by one, or two changes could cancel
+    eight = _mix(_words(data) + np.uint64(0x9E3779B97F4A7C15))
     sixteen = _pair(eight[:-8], eight[8:])
     half = _pair(sixteen[: len(data) - HALF + 1], sixteen[HALF - 16 :])
     return half, _pair(half[:-HALF], half[HALF:])
 
 
+def checks(data: bytes, at: np.ndarray) -> np.ndarray:
+    """A second hash of the 50-byte strings at some positions, made without their names."""
+    words, x = _words(data), np.full(len(at), 0xD6E8FEB86659FD93, np.uint64)
+    for k in (*range(0, LENGTH - 8, 8), LENGTH - 8):
+        x += words[at + k]
+        x = _mix(x * np.uint64(0xC2B2AE3D27D4EB4F))
+    return x
+
+
 def runs(half: np.ndarray, full: np.ndarray) -> tuple[np.ndarray, ...]:
     """First window, last window, smallest 25-byte name, and name of the bytes of each run."""
     least, width = half, 1
@@ -113,16 +135,31 @@ class Block:
         new = np.r_[True, (name[1:] != name[:-1]) | (whole[1:] != whole[:-1])]
         return order, np.flatnonzero(new[: len(order)])
 
-    def windows(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Name, text and place of every window of the chosen runs."""
+    def checks(self, chosen: np.ndarray) -> np.ndarray:
+        """Second hashes of the bytes of some runs."""
+        out = np.zeros(len(chosen), np.uint64)
+        order = np.argsort(self.doc[chosen], kind="stable")
+        doc = self.doc[chosen][order]
+        for k in np.unique(doc):
+            own = order[slice(*np.searchsorted(doc, (k, k + 1)))]
+            first, last = self.first[chosen[own]], self.last[chosen[own]]
+            both = checks(self.texts[k], first) * np.uint64(0x9E3779B97F4A7C15)
+            both ^= checks(self.texts[k], last)
+            out[own] = _mix(both + (last - first).astype(np.uint64))
+        return out
+
+    def windows(self, chosen: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Name, second hash, text and place of every window of the chosen runs."""
         count = self.last[chosen] - self.first[chosen] + 1
         owner = np.repeat(chosen, count)
         at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + self.first[owner]
         doc, full = self.doc[owner], np.zeros(len(owner), np.uint64)
+        check = np.zeros(len(owner), np.uint64)
         for k in np.unique(doc):
             own = slice(*np.searchsorted(doc, (k, k + 1)))
             full[own] = names(self.texts[k])[1][at[own]]
-        return (full >> np.uint64(64 - WINDOW_BITS)).astype(np.int64), doc, at
+            check[own] = checks(self.texts[k], at[own])
+        return (full >> np.uint64(64 - WINDOW_BITS)).astype(np.int64), check, doc, at
 
 
 def pack(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -239,7 +276,9 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     maximal removed runs as pairs of 64-bit byte positions.  Null counts as
     empty; texts under 50 bytes lose nothing; rows that repeat an id do not
     count as smaller than each other; a null id is smaller than any other.
-    Strings are compared by 48 + 64 bits of names in runs and by 62 in windows.
+    Strings are compared by hashes, not byte by byte: in runs by 48 + 64 bits of
+    names, in windows by 62; between blocks, and for windows also inside one,
+    by 64 bits of a second hash beside them.
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
@@ -299,24 +338,29 @@ def _second_round(blocks: DataFrame, again: DataFrame, owners: int) -> DataFrame
             first = order[start]
             first = first[_among(block.name[first], common)]
             name, whole, doc = block.name[first], block.whole[first], block.doc[first]
+            check = block.checks(first)
 
-            def extra(lo, hi, first=first, whole=whole, doc=doc, block=block):
+            def extra(lo, hi, first=first, whole=whole, check=check, doc=doc, block=block):
                 part = slice(lo, hi)
                 docs, ids = _used_ids(block.ids, doc[part])
-                return whole[part].tobytes(), first[part].astype(np.int32).tobytes(), docs, ids
+                runs_ = first[part].astype(np.int32).tobytes()
+                return whole[part].tobytes(), check[part].tobytes(), runs_, docs, ids
 
             out.extend(_messages(row["block"], name, RUN_BITS, owners, extra))
-        columns = [c.split()[0] for c in MESSAGE.split(", ")] + ["whole", "run", "doc", "ids"]
+        columns = [c.split()[0] for c in MESSAGE.split(", ")]
+        columns += ["whole", "check", "run", "doc", "ids"]
         return pd.DataFrame(out, columns=columns)
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
         name, row = _decoded(pdf)
         whole, run = _column(pdf, "whole", np.uint64), _column(pdf, "run", np.int32)
+        check = _column(pdf, "check", np.uint64)
         ids = _ids(pdf, row, _column(pdf, "doc", np.int32))
-        order = np.lexsort((ids, whole, name))
+        order = np.lexsort((ids, check, whole, name))
         s_name, s_whole, s_ids = name[order], whole[order], ids[order]
         new_name = np.r_[True, s_name[1:] != s_name[:-1]]
         new = new_name | np.r_[True, s_whole[1:] != s_whole[:-1]]
+        new[1:] |= check[order][1:] != check[order][:-1]
         start = np.flatnonzero(new)
         later = s_ids > s_ids[start][np.cumsum(new) - 1]
         kinds = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_name))
@@ -331,7 +375,7 @@ def _second_round(blocks: DataFrame, again: DataFrame, owners: int) -> DataFrame
                 out.append((pdf["src"].iloc[k], kind, np.sort(part).tobytes()))
         return pd.DataFrame(out, columns=["src", "kind", "runs"])
 
-    schema = MESSAGE + ", whole binary, run binary, doc binary, ids binary"
+    schema = MESSAGE + ", whole binary, check binary, run binary, doc binary, ids binary"
     grouped = blocks.groupBy("block").cogroup(again.groupBy("src"))
     messages = grouped.applyInPandas(send, schema)
     return messages.groupBy("owner").applyInPandas(answer, "src long, kind int, runs binary")
@@ -344,12 +388,25 @@ def _marked(replies: pd.DataFrame, kind: int) -> np.ndarray:
 
 
 def _window_list(block: Block, chosen: np.ndarray):
-    """Distinct window names of the chosen runs, sorted, each with its first text by id."""
-    name, doc, _ = block.windows(chosen)
-    order = np.lexsort((block.ids[doc], name))
-    sorted_names = name[order]
-    start = np.flatnonzero(np.r_[True, sorted_names[1:] != sorted_names[:-1]][: len(order)])
-    return sorted_names[start], doc[order[start]]
+    """Distinct windows of the chosen runs: sorted names, second hashes, first text by id."""
+    name, check, doc, _ = block.windows(chosen)
+    order = np.lexsort((block.ids[doc], check, name))
+    start = np.flatnonzero(_changes(name[order], check[order]))
+    return name[order[start]], check[order[start]], doc[order[start]]
+
+
+def _changes(name: np.ndarray, check: np.ndarray) -> np.ndarray:
+    """Where a sorted list of names and second hashes has a new string."""
+    new = (name[1:] != name[:-1]) | (check[1:] != check[:-1])
+    return np.r_[True, new][: len(name)]
+
+
+def _places(listed: np.ndarray, checked: np.ndarray, name: np.ndarray, check: np.ndarray):
+    """Where strings stand in a list that holds them all."""
+    at = np.searchsorted(listed, name)
+    while (other := checked[at] != check).any():
+        at[other] += 1
+    return at
 
 
 def _third_round(blocks: DataFrame, marks: DataFrame, owners: int) -> DataFrame:
@@ -360,20 +417,21 @@ def _third_round(blocks: DataFrame, marks: DataFrame, owners: int) -> DataFrame:
         chosen = _marked(replies, 1)
         for row in own.to_dict("records") if len(chosen) else ():
             block = Block(row)
-            listed, doc = _window_list(block, chosen)
+            listed, check, doc = _window_list(block, chosen)
 
-            def extra(lo, hi, doc=doc, block=block):
-                return _used_ids(block.ids, doc[lo:hi])
+            def extra(lo, hi, check=check, doc=doc, block=block):
+                return check[lo:hi].tobytes(), *_used_ids(block.ids, doc[lo:hi])
 
             out.extend(_messages(row["block"], listed, WINDOW_BITS, owners, extra))
-        columns = [c.split()[0] for c in MESSAGE.split(", ")] + ["doc", "ids"]
+        columns = [c.split()[0] for c in MESSAGE.split(", ")] + ["check", "doc", "ids"]
         return pd.DataFrame(out, columns=columns)
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
         name, row = _decoded(pdf)
         ids = _ids(pdf, row, _column(pdf, "doc", np.int32))
-        order = np.lexsort((ids, name))
-        new = np.r_[True, name[order][1:] != name[order][:-1]]
+        check = _column(pdf, "check", np.uint64)
+        order = np.lexsort((ids, check, name))
+        new = _changes(name[order], check[order])
         later = np.zeros(len(name), bool)
         later[order] = ids[order] > ids[order][np.flatnonzero(new)][np.cumsum(new) - 1]
         parts = np.split(later, np.flatnonzero(np.diff(row)) + 1)
@@ -381,7 +439,7 @@ def _third_round(blocks: DataFrame, marks: DataFrame, owners: int) -> DataFrame:
         return pd.DataFrame({"src": pdf["src"], "kind": 2, "owner": pdf["owner"], "runs": bits})
 
     grouped = blocks.groupBy("block").cogroup(marks.groupBy("src"))
-    messages = grouped.applyInPandas(send, MESSAGE + ", doc binary, ids binary")
+    messages = grouped.applyInPandas(send, MESSAGE + ", check binary, doc binary, ids binary")
     replies = messages.groupBy("owner").applyInPandas(
         answer, "src long, kind int, owner int, runs binary"
     )
@@ -429,7 +487,7 @@ def _repeated(block: Block, replies: pd.DataFrame, owners: int):
     chosen = _marked(replies, 1)
     if not len(chosen):
         return doc, at, end
-    listed, owner_doc = _window_list(block, chosen)
+    listed, checked, owner_doc = _window_list(block, chosen)
     bits = replies[replies["kind"] == 2]
     bits = dict(zip(bits["owner"], bits["runs"], strict=True))
     later = _flags(listed, WINDOW_BITS, owners, bits)
@@ -437,8 +495,8 @@ def _repeated(block: Block, replies: pd.DataFrame, owners: int):
     same = np.zeros(len(start), bool)
     same[group[chosen]] = True
     equal = np.flatnonzero(same[group] & ~gone)
-    name, w_doc, w_at = block.windows(equal)
-    k = np.searchsorted(listed, name)
+    name, check, w_doc, w_at = block.windows(equal)
+    k = _places(listed, checked, name, check)
     out = later[k] | (block.ids[w_doc] > block.ids[owner_doc[k]])
     return (
         np.r_[doc, w_doc[out]],
