@@ -91,6 +91,33 @@ def test_contamination_in_several_passes(spark, sf, monkeypatch):
     assert 0 < len(clean) < len(once)
 
 
+def test_one_portion_of_the_benchmark_is_shared_at_a_time(spark, sf, monkeypatch):
+    """Also in the stage that drops; a document that each portion hits a little goes."""
+    sc, live, most = type(spark.sparkContext), [], []
+    share = sc.broadcast
+
+    def counted(self, value):
+        out = share(self, value)
+        live.append(value)
+        most.append(len(live))
+        end = out.destroy
+        out.destroy = lambda *a: (live.pop(), end(*a))
+        return out
+
+    monkeypatch.setattr(sc, "broadcast", counted)
+    monkeypatch.setattr(decontaminate, "PASS_BYTES", 20)
+    items = [(i, f"w{i}a w{i}b") for i in range(12)]
+    text = " ".join(f"w{i}a w{i}b" + " x" * 30 for i in range(12))
+    docs = spark.createDataFrame([(1, text), (2, text + " x" * 300)], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert ids(decontaminate.drop_contaminated(docs, bench)) == [2]
+    assert len(most) > 3 and max(most) == 1
+    live.clear(), most.clear()
+    found = {r.doc_id: r for r in decontaminate.find_contamination(docs, bench).collect()}
+    assert (found[1].n_hit, found[1].contaminated, found[2].contaminated) == (24, True, False)
+    assert len(most) > 3 and max(most) == 1
+
+
 def test_contamination_of_awkward_rows(spark, awkward, clashing, no_docs):
     bench = "item_id long, text string"
     items = [(1, "one"), (2, None), (3, ""), (None, "zeta eta"), (1, "one"), (4, "alpha gamma")]

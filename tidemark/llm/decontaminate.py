@@ -9,14 +9,15 @@ compared word by word.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import staged, texts_of
+from tidemark.llm.common import fresh, staged, texts_of
 
 WINDOW = 13
 #: A document is contaminated when at least one word in so many is hit.
@@ -89,16 +90,19 @@ def matchers(items: Iterable[tuple[str, str]], window: int = WINDOW) -> list[Mat
     return [Matcher(m, found) for m, found in sorted(by_class.items())]
 
 
-def _passes(benchmark: DataFrame) -> Iterable[list[tuple[str, str]]]:
-    """The benchmark in portions of about ``PASS_BYTES`` of text."""
+def _passes(benchmark: DataFrame) -> tuple[int, Callable[[int], list[tuple[str, str]]]]:
+    """How many portions of about ``PASS_BYTES`` the benchmark has, and a reader of each."""
     rows = benchmark.filter("text is not null").select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text"
     )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, -(-size // PASS_BYTES))
-    for k in range(count):
-        portion = rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == k)
-        yield [tuple(r) for r in portion.distinct().collect()]
+
+    def portion(k: int) -> list[tuple[str, str]]:
+        own = rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == k)
+        return [tuple(r) for r in own.distinct().collect()]
+
+    return count, portion
 
 
 def merged(spans: np.ndarray) -> np.ndarray:
@@ -131,12 +135,14 @@ def find_contamination(
     id_type = state.schema["doc_id"].dataType.simpleString()
     columns = [c.split()[0] for c in SCHEMA.split(", ")]
     sc = docs.sparkSession.sparkContext
-    portions = list(_passes(benchmark)) if docs.columns else []
-    for k, items in enumerate(portions):
-        last = k == len(portions) - 1
-        state = _search(state, sc.broadcast(items), window, k > 0, last, id_type)
+    count, portion = _passes(benchmark)
+    for k in range(count):
+        last = k == count - 1
+        items = sc.broadcast(portion(k))
+        state = _search(state, items, window, k > 0, last, id_type)
         if not last:
             state = staged(state, "decontaminate-pass")
+            items.destroy()
     return state.select(*columns)
 
 
@@ -190,22 +196,52 @@ def drop_contaminated(
 ) -> DataFrame:
     """The documents that are not contaminated, with all their columns.
 
-    Portions of the benchmark are searched for one after the other; what one
-    portion finds counts for all, so that a document hit a little by each goes.
+    Portions of the benchmark are searched for one after the other, each in a
+    pass of its own; what one portion finds counts for all, so that a document
+    hit a little by each goes.
     """
-    portions = list(_passes(benchmark))
+    state, spans = docs, fresh(docs, "_spans")
     sc = docs.sparkSession.sparkContext
-    shared = [sc.broadcast(x) for x in portions]
-    at = docs.columns.index(text_col)
+    count, portion = _passes(benchmark)
+    for k in range(count):
+        last = k == count - 1
+        items = sc.broadcast(portion(k))
+        state = _sift(state, items, docs.columns.index(text_col), spans, window, k > 0, last)
+        if not last:
+            state = staged(state, "decontaminate-sift")
+            items.destroy()
+    return state
+
+
+def _sift(state: DataFrame, items, at: int, spans: str, window: int, resumed: bool, last: bool):
+    """Adds a portion's hits to the column ``spans``; the last pass judges and takes it away."""
+    schema = T.StructType([f for f in state.schema if f.name != spans])
+    own = len(schema)
+    if not last:
+        schema = schema.add(spans, T.BinaryType())
 
     def run(batches):
-        tables = [m for items in shared for m in matchers(items.value, window)]
+        tables = matchers(items.value, window)
         for batch in batches:
-            clean = []
-            for text in texts_of(batch, at):
+            out = []
+            for row, text in enumerate(texts_of(batch, at)):
                 words = words_of(text)
-                spans = [(s, e) for m in tables for s, e, _ in m.find(words)]
-                clean.append(not _verdict(len(words), spans, set())[4] if spans else True)
-            yield batch.filter(pa.array(clean, pa.bool_()))
+                hits = [(s, e) for m in tables for s, e, _ in m.find(words)]
+                if resumed:
+                    old = np.frombuffer(batch.column(own)[row].as_py(), np.int32)
+                    hits += old.reshape(-1, 2).tolist()
+                if last:
+                    out.append(not _verdict(len(words), hits, set())[4] if hits else True)
+                else:
+                    found = merged(np.array(hits, dtype=np.int32).reshape(-1, 2))
+                    out.append(found.astype(np.int32).tobytes())
+            given = pa.RecordBatch.from_arrays(batch.columns[:own], batch.schema.names[:own])
+            if last:
+                yield given.filter(pa.array(out, pa.bool_()))
+            else:
+                names = [*batch.schema.names[:own], spans]
+                yield pa.RecordBatch.from_arrays(
+                    [*given.columns, pa.array(out, pa.binary())], names
+                )
 
-    return docs.mapInArrow(run, docs.schema)
+    return state.mapInArrow(run, schema)
