@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, exact, language, licenses, pieces, simhash
+from tidemark.llm import chat, decontaminate, exact, language, licenses, packing, pieces, simhash
 from tidemark.llm import substrings, toxicity, webtext
 from tidemark.llm.common import table
 
@@ -263,3 +263,17 @@ def op9_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op10_main_text(spark: SparkSession, sf: str) -> DataFrame:
     return webtext.extract_main_text(table(spark, sf, "pages"))
+
+
+@query()
+def op12_pack_documents(spark: SparkSession, sf: str) -> DataFrame:
+    packed = packing.pack_documents(table(spark, sf, "documents"))
+    return packed.select(
+        "doc_id",
+        "start",
+        F.col("length").cast("long").alias("length"),
+        "ids_crc32",
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
