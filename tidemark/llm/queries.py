@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, exact, language, licenses, packing, pieces, simhash
+from tidemark.llm import alignment, chat, decontaminate, exact, language, licenses, packing, pieces, simhash
 from tidemark.llm import substrings, toxicity, webtext
 from tidemark.llm.common import table
 
@@ -277,3 +277,8 @@ def op12_pack_documents(spark: SparkSession, sf: str) -> DataFrame:
         "sequence_id",
         "offset",
     )
+
+
+@query()
+def op11_align_tokenizers(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.align_corpus(table(spark, sf, "documents")).documents
