@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import alignment, chat, decontaminate, exact, language, licenses, packing, pieces, simhash
+from tidemark.llm import alignment, chat, decontaminate, exact, language, licenses, packing, pieces, prefixes, simhash
 from tidemark.llm import substrings, toxicity, webtext
 from tidemark.llm.common import table
 
@@ -282,3 +282,50 @@ def op12_pack_documents(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op11_align_tokenizers(spark: SparkSession, sf: str) -> DataFrame:
     return alignment.align_corpus(table(spark, sf, "documents")).documents
+
+
+#: DuckDB: the CRC-32 of a number's decimal digits, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+  string_split(CAST({0} AS VARCHAR), ''), lambda ch: CAST([unicode(ch), -1, -1, -1, -1, -1, -1, -1, -1] AS BIGINT[])))),
+  lambda x, v: CASE WHEN v >= 0 THEN xor(x, v) WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END))"""
+
+
+@query(
+    f"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id
+      ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+k AS (
+  SELECT c, c - c % 100 AS base, {_CRC32.format("c")} % 6 AS h FROM (SELECT DISTINCT c FROM t)),
+size AS (SELECT c, count(*) AS n FROM t GROUP BY c),
+r AS (
+  SELECT k.c, p AS d, role, text FROM k JOIN t ON t.c = base AND p <= h
+  UNION ALL
+  SELECT k.c, p - h + least(h, coalesce(size.n, 0)), role, text
+  FROM k JOIN t USING (c) LEFT JOIN size ON size.c = base WHERE p > h),
+m AS (
+  SELECT c, d, length(text) AS n, md5(string_agg(
+    concat(length(role), ':', length(text), ':', role, text), '') OVER (PARTITION BY c ORDER BY d)) AS key
+  FROM r UNION ALL SELECT c, 0, 0, '' FROM k),
+node AS (SELECT key, d, min(c) AS conv_id, count(*) AS n_convs, any_value(n) AS n FROM m GROUP BY key, d),
+edge AS (SELECT DISTINCT m.key, up.key AS parent FROM m JOIN m up ON m.c = up.c AND up.d = m.d - 1),
+kids AS (SELECT parent AS key, count(*) AS n_children FROM edge GROUP BY parent),
+under AS (SELECT DISTINCT m.key, low.key AS lower FROM m JOIN m low ON m.c = low.c AND low.d >= m.d),
+sums AS (
+  SELECT under.key, count(*) FILTER (n_children IS NULL) AS n_leaves,
+    sum((n_convs - 1) * n) AS saved_tokens
+  FROM under JOIN node ON node.key = lower LEFT JOIN kids ON kids.key = lower GROUP BY under.key),
+ends AS (
+  SELECT key, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids
+  FROM (SELECT c, max_by(key, d) AS key FROM m GROUP BY c) GROUP BY key)
+SELECT node.conv_id, CAST(node.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, node.n_convs,
+  coalesce(n_children, 0) AS n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+  sha256(coalesce(ids, '')) AS ends_sha256
+FROM node JOIN sums USING (key) LEFT JOIN kids USING (key) LEFT JOIN ends USING (key)
+LEFT JOIN edge USING (key) LEFT JOIN node up ON up.key = edge.parent
+"""
+)
+def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefixes.prefix_trie(table(spark, sf, "conversations"))
