@@ -26,7 +26,7 @@ def pair():
 def spelled(pair, text):
     """Tokens of both sides with their bytes, or None."""
     a, b = pair
-    values, names = alignment._byte_values(), {i: t for t, i in a.get_vocab().items()}
+    values, names = units._byte_values(), {i: t for t, i in a.get_vocab().items()}
     left = [(i, bytes(values[c] for c in names[i])) for i in a.encode(" " + text, add_special_tokens=False).ids]
     right = []
     for i in b.encode(text):

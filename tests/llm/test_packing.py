@@ -90,17 +90,26 @@ def test_binary_lengths_add_up(n, k):
     assert len(set(rest)) == len(rest) and all(x & (x - 1) == 0 for x in found)
 
 
-SHARED = units.load_byte_bpe(open(units.BYTE_BPE_PATH, encoding="utf-8").read(), False)
-TEXT = st.text(st.sampled_from("ab'sZ9 \n\t 　é▁漢\x1c.,<|"), max_size=40)
+DATA = open(units.BYTE_BPE_PATH, encoding="utf-8").read()
+BPE = {special: units.ByteBpe(DATA, special) for special in (False, True)}
+TEXT = st.text(st.sampled_from("ab'sZ9 \n\t\u3000\u00a0é▁漢\x1c.,<|ß½²"), max_size=40)
 
 
+@pytest.mark.parametrize("special", [False, True])
 @given(TEXT)
-def test_units_encode_like_the_whole(text):
-    shared = SHARED
+def test_units_encode_like_the_whole(special, text):
+    bpe, text = BPE[special], text.replace("<", "<|endoftext|>")
     parts = units.UNIT.findall(text)
     assert "".join(parts) == text
-    coded = [i for p in parts for i in shared.encode(p, add_special_tokens=False).ids]
-    assert coded == shared.encode(text, add_special_tokens=False).ids
+    coded = [i for ids in bpe.encode(parts) for i in ids.tolist()]
+    assert coded == bpe.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_latin_letters_are_encoded_alike_by_both_libraries():
+    words = [f"{a}{chr(c)}{b}" for c in range(0x250) for a in ("", " ", "x", " x1") for b in ("", "y", " ")]
+    bpe = BPE[True]
+    want = [c.ids for c in bpe.tokenizer.encode_batch(words, add_special_tokens=False)]
+    assert [bpe.quick.encode_ordinary(w) for w in words] == want
 
 
 def test_slices_end_at_units(monkeypatch):

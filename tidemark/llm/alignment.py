@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import staged, texts_of
-from tidemark.llm.units import BYTE_BPE_PATH, UnitMemory, known_units, load_byte_bpe
+from tidemark.llm.units import BYTE_BPE_PATH, ByteBpe, UnitMemory, known_units
 
 PIECE_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 WORD_MARK = "▁"
@@ -94,24 +94,12 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 # -- units -------------------------------------------------------------------
 
 
-def _byte_values() -> dict[str, int]:
-    """Byte-level BPE shows every byte as one character: printable ones as themselves."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in shown]
-    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-
-
 class UnitAligner:
     """Both tokenizations of text units and the links between their tokens."""
 
     def __init__(self, byte_bpe: str, piece_model: bytes):
-        self.a = load_byte_bpe(byte_bpe, special_as_text=True)
+        self.a = ByteBpe(byte_bpe, special_as_text=True)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
-        values = _byte_values()
-        vocabulary = self.a.get_vocab(with_added_tokens=False)
-        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
-        for token, i in vocabulary.items():
-            self.bytes_a[i] = bytes(map(values.__getitem__, token))
         self.bytes_b = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
@@ -121,9 +109,8 @@ class UnitAligner:
             self.bytes_b.append(own or piece.replace(WORD_MARK, " ").encode())
         # a unit is encoded behind a word that it cannot join, as inside a text
         self.lead = "a"
-        if len(self.b.encode(self.lead)) != 1 or max(map(len, (self.bytes_a, self.bytes_b))) > 1 << LOW:
+        if len(self.b.encode(self.lead)) != 1 or max(map(len, (self.a.bytes, self.bytes_b))) > 1 << LOW:
             raise ValueError("the vocabularies do not fit")
-        self.size_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.size_b = np.array([len(x) for x in self.bytes_b], np.int64)
         self.clear()
         self.memory = UnitMemory(self.learn)
@@ -139,25 +126,25 @@ class UnitAligner:
         if not memory:
             self.clear()
         first = len(self.groups)
-        codes_a = [x.ids for x in self.a.encode_batch_fast(new, add_special_tokens=False)]
+        codes_a = self.a.encode(new)
         codes_b = [x[1:] for x in self.b.encode([self.lead + u for u in new], num_threads=1)]
         whole = []
         for k, (unit, a, b) in enumerate(zip(new, codes_a, codes_b, strict=True)):
             memory[unit] = first + k
             raw = unit.encode()
-            same = raw == b"".join([self.bytes_a[i] for i in a])
+            same = raw == b"".join([self.a.bytes[i] for i in a.tolist()])
             whole.append(same and raw == b"".join([self.bytes_b[i] for i in b]))
-        a, b = ([i for c in codes for i in c] for codes in (codes_a, codes_b))
-        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        a = np.concatenate(codes_a).astype(np.int64)
+        b = np.array([i for c in codes_b for i in c], np.int64)
         of_a = np.repeat(np.arange(len(new)), [len(c) for c in codes_a])
         of_b = np.repeat(np.arange(len(new)), [len(c) for c in codes_b])
         good = np.array(whole, bool)
         a, of_a, b, of_b = a[good[of_a]], of_a[good[of_a]], b[good[of_b]], of_b[good[of_b]]
-        end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        end_a, end_b = np.cumsum(self.a.sizes[a]), np.cumsum(self.size_b[b])
         start_b = end_b - self.size_b[b]
         # tokens of the first side under each token of the second
         lo = np.searchsorted(end_a, start_b, "right")
-        hi = np.searchsorted(end_a - self.size_a[a], end_b, "left")
+        hi = np.searchsorted(end_a - self.a.sizes[a], end_b, "left")
         count = hi - lo
         at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         linked = np.repeat(b << LOW, count) | a[np.repeat(lo, count) + at]

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import texts_of
-from tidemark.llm.units import BYTE_BPE_PATH, UnitMemory, known_units, load_byte_bpe
+from tidemark.llm.units import BYTE_BPE_PATH, ByteBpe, UnitMemory, known_units
 
 #: Tokens of the longest sequence, a power of two.
 LONGEST = 1024
@@ -40,12 +40,11 @@ def _encoder(data: str) -> UnitMemory:
     """Packed ids of units, made once per worker."""
     key = hashlib.sha256(data.encode()).digest()
     if key not in _ENCODERS:
-        tokenizer = load_byte_bpe(data, special_as_text=False)
+        bpe = ByteBpe(data, special_as_text=False)
 
         def learn(memory, new):
-            found = tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            for unit, code in zip(new, found, strict=True):
-                memory[unit] = np.array(code.ids, "<u4").tobytes()
+            for unit, ids in zip(new, bpe.encode(new), strict=True):
+                memory[unit] = ids.astype("<u4", copy=False).tobytes()
 
         _ENCODERS.clear()
         _ENCODERS[key] = UnitMemory(learn)
