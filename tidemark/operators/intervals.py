@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.model import OPEN_END, FactModel, instant
 from tidemark.operators.skew import SlicePlan, next_in_order, plan_slices
+from tidemark.sources.tables import VersionedTable
 
 
 def attach_filings(facts: DataFrame, filings: DataFrame, model: FactModel) -> DataFrame:
@@ -104,15 +105,18 @@ def as_of_ranked(
 
 
 def as_of(
-    gold: DataFrame, at: str | Column, mask_future: bool = False, **key_values
+    gold: DataFrame | VersionedTable, at: str | Column, mask_future: bool = False, **key_values
 ) -> DataFrame:
     """Rows valid at ``at``: a plain filter on stored intervals, no shuffle.
 
     ``key_values`` narrow the read to given key columns; all predicates reach
-    the file scan.  ``mask_future`` reports intervals that close after ``at``
+    the file scan.  Given the stored table instead of a frame, a wanted entity
+    also narrows the scan to the one folder that can hold it.  ``mask_future`` reports intervals that close after ``at``
     as open, so the answer carries nothing learned later.
     """
     at = instant(at) if isinstance(at, str) else at
+    if isinstance(gold, VersionedTable):
+        gold = gold.read(near=key_values)
     visible = gold.filter((F.col("valid_from") <= at) & (F.col("valid_to") > at))
     for name, wanted in key_values.items():
         visible = visible.filter(F.col(name) == F.lit(wanted))

@@ -2,26 +2,98 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.model import INGEST_TS
-from tidemark.operators.intervals import build_intervals, plan_interval_slices
+from tidemark.operators.intervals import build_intervals, plan_interval_slices, validity_intervals
+from tidemark.operators.skew import plan_slices
 from tidemark.plans.lake import Lake
 from tidemark.plans.silver import RunMetrics, run_silver
+from tidemark.session import scratch_folder
 
 
-def rebuild_gold(lake: Lake) -> int:
-    """Rebuild gold from all of silver and the accumulated filing index.
+def rebuild_gold(lake: Lake, full: bool = False) -> int:
+    """Bring gold up to silver and the accumulated filing index; returns its version.
 
-    Never from one batch's filings: that would drop the facts of every earlier
-    filing.  Returns the new gold version.
+    Gold follows from all filings, never from one batch's: that would drop the
+    facts of every earlier filing.  When gold's own commit says which versions
+    it was built from, only the natural keys of facts and filings that changed
+    since are computed again, and only the folders of their entities are read
+    and replaced.  Otherwise, or with ``full``, everything is computed.
     """
-    if lake.silver.has_updates():  # once, instead of an anti-join at every later read
-        lake.silver.compact()
+    built = json.dumps(
+        {"silver": lake.silver.latest_version(), "filings": lake.filing_index.latest_version()}
+    )
+    changes = None if full else _changes(lake)
+    if changes is not None:
+        return _splice(lake, changes, built)
     facts = lake.silver.read()
     filings = lake.filing_index.read().drop(INGEST_TS)
     plan = plan_interval_slices(facts, filings, lake.model, at_most=lake.silver.row_count())
-    return lake.gold.overwrite(build_intervals(facts, filings, lake.model, plan))
+    return lake.gold.overwrite(build_intervals(facts, filings, lake.model, plan), built)
+
+
+def _changes(lake: Lake) -> DataFrame | None:
+    """Changed facts with their filings of then and now; None if a full rebuild is due.
+
+    Columns: fact key and value, ``now`` and ``before`` (the filing's columns as
+    a struct, null if there was none).
+    """
+    gold, model = lake.gold, lake.model
+    if not gold.exists() or gold.split_by is None or not set(model.fact_key) <= set(model.gold_columns):
+        return None
+    try:
+        built = json.loads(gold.label())
+        silver, filings = built["silver"], built["filings"]
+    except (ValueError, KeyError, TypeError):
+        return None
+    facts, index = lake.silver.changed_since(silver), lake.filing_index.changed_since(filings)
+    if facts is None or index is None:
+        return None
+    link = model.link
+    names = list(dict.fromkeys((*model.fact_key, model.value)))
+    links = index.select(link)
+    # facts of a filing that came or changed count as changed, whenever they were loaded
+    touched = lake.silver.read().join(links, link, "left_semi").select(*names)
+    others = facts.join(links, link, "left_anti").select(*names)
+    entry = F.struct(*[c for c in model.filing_types if c != link])
+    now = lake.filing_index.read().select(link, entry.alias("now"))
+    before = lake.filing_index.read(filings).select(link, entry.alias("before"))
+    return touched.unionAll(others).join(now, link, "left").join(before, link, "left")
+
+
+def _splice(lake: Lake, changes: DataFrame, built: str) -> int:
+    """Gold with the natural keys of ``changes`` computed again; other folders stay."""
+    spark, gold, model = lake.spark, lake.gold, lake.model
+    path = scratch_folder(spark, "gold-changes")
+    changes.write.parquet(path)
+    changes = spark.read.schema(changes.schema).parquet(path)
+
+    def at(filing: str) -> DataFrame:
+        """Changed facts as rows of gold, under the filings of one time."""
+        own = {c: F.col(f"{filing}.{c}") for c in model.filing_types if c != model.link}
+        known = changes.filter(F.col(filing).isNotNull()).withColumns(own)
+        return known.select(*dict.fromkeys((*model.natural_key, model.value, *model.order)))
+
+    keys = at("now").unionAll(at("before")).select(*model.natural_key).distinct()
+    folder = gold.folder_of(F.col(model.natural_key[0])).alias("f")
+    folders = sorted(r["f"] for r in keys.select(folder).distinct().collect())  # at most one per folder
+    if not folders:
+        return gold.relabel(built)
+    kept = gold.read(folders=folders).join(changes.select(*model.fact_key), list(model.fact_key), "left_anti")
+    same_key = F.lit(True)
+    for c in model.natural_key:
+        same_key = same_key & F.col(f"g.{c}").eqNullSafe(F.col(f"k.{c}"))
+    known = lambda how: kept.alias("g").join(keys.alias("k"), same_key, how)
+    names = list(dict.fromkeys((*model.natural_key, model.value, *model.order)))
+    again = known("left_semi").select(*names).unionAll(at("now").select(*names))
+    bound = gold.row_count() + lake.silver.row_count()
+    plan = plan_slices(again, model.natural_key, model.order, at_most=bound)
+    fresh = validity_intervals(again, model, plan)
+    return gold.replace_folders(known("left_anti").unionByName(fresh), folders, built)
 
 
 def run_batch(

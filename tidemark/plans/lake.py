@@ -29,9 +29,10 @@ class Lake:
         self.spark, self.root, self.model = spark, root.rstrip("/"), model
         self.bronze_facts = self._table("bronze/facts")
         self.bronze_filings = self._table("bronze/filings")
-        self.silver = self._table("silver")
-        self.filing_index = self._table("silver_filings")
-        self.gold = self._table("gold")
+        # merges meet their keys where they lie, and one entity's gold lies in one folder
+        self.silver = self._table("silver", keyed=model.fact_key)
+        self.filing_index = self._table("silver_filings", keyed=(model.link,))
+        self.gold = self._table("gold", split_by=model.natural_key[0])
         self.registry = self._table("registry")
         # Four lanes because their rows have four shapes.
         self.quarantine_rows = self._table("quarantine/rows")
@@ -39,8 +40,8 @@ class Lake:
         self.quarantine_detail = self._table("quarantine/detail")
         self.quarantine_unevaluable = self._table("quarantine/unevaluable")
 
-    def _table(self, name: str) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/{name}")
+    def _table(self, name: str, **layout) -> VersionedTable:
+        return VersionedTable(self.spark, f"{self.root}/{name}", **layout)
 
     def register(self, record: BatchRecord) -> None:
         """Record a batch; registering it again moves its retrieval version."""

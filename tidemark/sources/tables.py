@@ -2,9 +2,14 @@
 
 Layout under ``root``::
 
-    data/v=<n>/run=<id>/op=<insert|update>/*.parquet
+    data/v=<n>/run=<id>/op=<insert|update>[/b=<k>]/*.parquet
     commits/<n>.json                     one row per published version
 
+A table may be *keyed*: its files are Spark buckets of a key, so merges on that
+key and reads that drop superseded rows move none of its rows.  Or it may be
+*split* by an entity column: rows lie in folders by the column's hash, so a
+read of one entity opens one folder, and a version may replace some folders.
+
 A version either replaces the table or adds a part to it, so appending or
 merging a batch writes the batch, not the table.  Rows written as ``update``
 supersede older rows with the same key; readers drop those with an anti-join,
@@ -16,9 +21,10 @@ one is refused and leaves nothing that can be read.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from py4j.protocol import Py4JJavaError
@@ -41,9 +47,13 @@ from tidemark.operators.merge import (
 COMMIT_SCHEMA = (
     "version bigint, operation string, replaces boolean, run string, keys string, "
     "num_source bigint, num_inserted bigint, num_updated bigint, rows bigint, "
-    "label string, schema_json string, ts timestamp_ntz"
+    "label string, schema_json string, ts timestamp_ntz, layout string, folders array<int>"
 )
 _LAYOUT = {"v": T.IntegerType(), "run": T.StringType(), "op": T.StringType()}
+#: The folder number of a row in a split table.
+FOLDER = "b"
+#: Key values of a batch up to which a merge looks only at table rows that have one of them.
+PRUNE_VALUES = 100_000
 
 
 class MissingTable(LookupError):
@@ -51,11 +61,36 @@ class MissingTable(LookupError):
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str):
+    """One table; ``keyed`` or ``split_by`` (not both) say how its files lie.
+
+    The number of buckets or folders is fixed by the first version and kept in
+    the log; by default it is the session's number of shuffle partitions.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        keyed: Sequence[str] = (),
+        split_by: str | None = None,
+        buckets: int | None = None,
+    ):
+        if keyed and split_by:
+            raise ValueError("a table is keyed or split, not both")
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keyed, self.split_by, self._buckets = tuple(keyed), split_by, buckets
         self._seen: list | None = None
 
+    def buckets(self) -> int:
+        """Buckets or folders of the table."""
+        self._log()  # an existing table says how it lies
+        return self._buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+    def folder_of(self, value: Column) -> Column:
+        """The folder in which rows with this value of the split column lie."""
+        return F.pmod(F.hash(value), F.lit(self.buckets()))
+
     # -- log ---------------------------------------------------------------
 
     def commits(self) -> DataFrame:
@@ -80,6 +115,10 @@ class VersionedTable:
         if self._seen is None:
             # One small row per version ever published.
             self._seen = sorted(self.commits().collect(), key=lambda r: r["version"])
+            if self._seen:
+                layout = json.loads(self._seen[0]["layout"] or "{}")
+                self.keyed = tuple(layout.get("keyed", ()))
+                self.split_by, self._buckets = layout.get("split_by"), layout.get("buckets")
         return self._seen
 
     def exists(self) -> bool:
@@ -94,20 +133,59 @@ class VersionedTable:
         log = self._log()
         return log[-1]["rows"] if log else 0
 
+    def label(self) -> str | None:
+        """The label that the latest version was published with."""
+        log = self._log()
+        return log[-1]["label"] if log else None
+
     # -- reads -------------------------------------------------------------
 
-    def read(self, version: int | None = None) -> DataFrame:
-        """The table as of ``version`` (latest when omitted)."""
-        return self._frame(self._log(), version)
+    def read(
+        self,
+        version: int | None = None,
+        folders: Sequence[int] | None = None,
+        near: Mapping[str, object] | None = None,
+    ) -> DataFrame:
+        """The table as of ``version`` (latest when omitted).
+
+        ``folders`` narrows a split table to some folders; ``near`` names
+        columns with their wanted values, and if the split column is one of
+        them, only its folder is listed and read.
+        """
+        log = self._log()
+        only = F.lit(True)
+        if folders is not None:
+            only = F.col(FOLDER).isin(list(folders))
+        elif log and near and self.split_by in near:
+            kind = T.StructType.fromJson(json.loads(log[-1]["schema_json"]))[self.split_by].dataType
+            only = F.col(FOLDER) == self.folder_of(F.lit(near[self.split_by]).cast(kind))
+        return self._frame(log, version, only)
+
+    def changed_since(self, version: int) -> DataFrame | None:
+        """Current rows that were written after ``version``; None if it cannot be told.
+
+        Needs the log to hold that version with no replacing version after it.
+        """
+        log = self._log()
+        later = [r for r in log if r["version"] > version]
+        if len(later) == len(log) or any(r["replaces"] for r in later):
+            return None
+        if not later:
+            return self._frame(log, None).limit(0)
+        return self._current(later, [r for r in later if r["num_updated"]])
 
-    def _frame(self, log: list, version: int | None) -> DataFrame:
+    def _frame(self, log: list, version: int | None, only: Column | None = None) -> DataFrame:
         log = [r for r in log if version is None or r["version"] <= version]
         if not log or (version is not None and log[-1]["version"] != version):
             raise MissingTable(f"no committed version {version or ''} under {self.root}")
         start = max(i for i, r in enumerate(log) if r["replaces"])
         live = log[start:]
-        rows = self._scan(live)
         updating = [r for r in live if r["num_updated"] and not r["replaces"]]
+        return self._current(live, updating, only)
+
+    def _current(self, live: list, updating: list, only: Column | None = None) -> DataFrame:
+        """Rows of some versions without those that an update among them superseded."""
+        rows = self._scan(live, only)
         if updating:
             keys = updating[-1]["keys"].split(",")
             newest = (
@@ -122,15 +200,46 @@ class VersionedTable:
             rows = rows.alias("l").join(newest.alias("r"), same, "left_anti")
         return rows.drop(*_LAYOUT)
 
-    def _scan(self, log: list) -> DataFrame:
-        schema = T.StructType.fromJson(json.loads(log[-1]["schema_json"]))
+    def _scan(self, log: list, only: Column | None = None) -> DataFrame:
+        plain = T.StructType.fromJson(json.loads(log[-1]["schema_json"]))
+        schema = T.StructType(list(plain.fields))
         for name, kind in _LAYOUT.items():
             schema = schema.add(name, kind)
-        paths = [self._part(r["version"], r["run"]) for r in log if r["num_inserted"] or r["num_updated"]]
-        if not paths:
+        parts = [r for r in log if r["num_inserted"] or r["num_updated"]]
+        if not parts:
             return self.spark.createDataFrame([], schema)
+        if self.keyed:
+            return self.spark.table(self._bucketed(plain)).filter(
+                F.col("run").isin([r["run"] for r in parts])
+            )
+        if self.split_by:
+            schema = schema.add(FOLDER, T.IntegerType())
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/data")
-        return reader.parquet(*paths)
+        rows = reader.parquet(*[self._part(r["version"], r["run"]) for r in parts])
+        if not self.split_by:
+            return rows
+        taken: set[int] = set()  # folders that a later version replaced
+        live = F.lit(False)
+        for r in reversed(log):
+            own = F.col("run") == r["run"]
+            live = live | (own & ~F.col(FOLDER).isin(sorted(taken)) if taken else own)
+            taken.update(r["folders"] or ())
+        rows = rows.filter(live)
+        return (rows if only is None else rows.filter(only)).drop(FOLDER)
+
+    def _bucketed(self, schema: T.StructType) -> str:
+        """The session's bucketed table over this folder; made when it is not there yet."""
+        name = "tidemark_" + hashlib.md5(self.root.encode()).hexdigest()[:20]
+        if not self.spark.catalog.tableExists(name):
+            columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields]
+            columns += ["v int", "run string", "op string"]
+            key = ", ".join(f"`{k}`" for k in self.keyed)
+            place = f"{self.root}/data".replace("'", "\\'")
+            self.spark.sql(
+                f"CREATE TABLE {name} ({', '.join(columns)}) USING parquet PARTITIONED BY (v, run, op) "
+                f"CLUSTERED BY ({key}) INTO {self.buckets()} BUCKETS LOCATION '{place}'"
+            )
+        return name
 
     def _part(self, version: int, run: str) -> str:
         return f"{self.root}/data/v={version}/run={run}"
@@ -144,6 +253,27 @@ class VersionedTable:
         n = counts[INSERT]
         return self._publish(log, version, run, df.schema, "WRITE", True, "", n, n, 0, n, label)
 
+    def replace_folders(self, df: DataFrame, folders: Sequence[int], label: str = "") -> int:
+        """Publish ``df`` as all rows of some folders of a split table; the others stay."""
+        log = self._log()
+        aligned = self._aligned(log, df)
+        gone = self._frame(log, None, F.col(FOLDER).isin(list(folders))).count()
+        version, run, counts = self._write_part(log, aligned)
+        n = counts[INSERT]
+        return self._publish(
+            log, version, run, aligned.schema, "REPLACE", False, "", n, n, 0,
+            log[-1]["rows"] - gone + n, label, list(folders),
+        )
+
+    def relabel(self, label: str) -> int:
+        """Publish the same rows under another label."""
+        last = self._log()[-1]
+        schema = T.StructType.fromJson(json.loads(last["schema_json"]))
+        run = "r" + uuid.uuid4().hex[:12]
+        return self._publish(
+            self._log(), last["version"] + 1, run, schema, "LABEL", False, "", 0, 0, 0, last["rows"], label
+        )
+
     def append(self, df: DataFrame, label: str = "", skip_empty: bool = True) -> int | None:
         """Add ``df`` as a part; a rerun adds it again.  None when there was nothing to add."""
         log = self._log()
@@ -216,7 +346,7 @@ class VersionedTable:
             raise ValueError(f"{self.root} was merged on {others}, not on {tuple(keys)}")
         target = self._frame(log, None)
         if prune_by is not None:
-            target = _only_values_of(source, target, prune_by)
+            target = _only_values_of(source, target, prune_by, moves=not self.keyed)
         if not source_unique:
             require_unambiguous(source, target, keys)
         changes = classify(source, target, keys, update_when, compare).filter(
@@ -254,25 +384,55 @@ class VersionedTable:
         version = log[-1]["version"] + 1 if log else 0
         run = "r" + uuid.uuid4().hex[:12]
         path = self._part(version, run)
-        if "op" in rows.columns:
+        if self.keyed:
+            self._write_buckets(rows, version, run)
+        elif self.split_by:
+            placed = rows.withColumn(FOLDER, self.folder_of(F.col(self.split_by)))
+            # Spark splits a folder that is too large for one task and joins small ones
+            placed = placed.hint("rebalance", FOLDER).sortWithinPartitions(FOLDER, *self._sorted_by(rows))
+            placed.write.partitionBy(FOLDER).parquet(f"{path}/op={INSERT}")
+        elif "op" in rows.columns:
             rows.write.partitionBy("op").parquet(path)
         else:  # one folder: keeps the row order the plan produced
             rows.write.parquet(f"{path}/op={INSERT}")
         # Counted from file footers, so task retries cannot distort the metrics.
-        op_only = self.spark.read.schema("op string").option("basePath", path).parquet(path)
+        try:
+            op_only = self.spark.read.schema("op string").option("basePath", path).parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return version, run, {INSERT: 0, UPDATE: 0}  # no bucket had a row
         n = op_only.agg(
             F.count_if(F.col("op") == INSERT).alias(INSERT),
             F.count_if(F.col("op") == UPDATE).alias(UPDATE),
         ).first()
         return version, run, n.asDict()
 
+    def _sorted_by(self, rows: DataFrame) -> list[str]:
+        """The split column first: point reads then skip row groups too."""
+        return [self.split_by, *[c for c in rows.columns if c != self.split_by][:3]]
+
+    def _write_buckets(self, rows: DataFrame, version: int, run: str) -> None:
+        op = F.col("op") if "op" in rows.columns else F.lit(INSERT)
+        plain = rows.drop("op")
+        place = {"v": F.lit(version), "run": F.lit(run), "op": op}
+        # one file per bucket; keys are unique, so no bucket is much larger than the others
+        dealt = rows.withColumns(place).repartition(self.buckets(), *self.keyed)
+        name = self._bucketed(plain.schema)
+        dealt.select(*plain.columns, *place).write.insertInto(name)
+        self.spark.catalog.refreshTable(name)
+
     def _publish(
         self, log, version, run, schema, operation, replaces, keys,
-        num_source, num_inserted, num_updated, rows, label,
+        num_source, num_inserted, num_updated, rows, label, folders=None,
     ) -> int:
+        layout = {"keyed": self.keyed, "split_by": self.split_by}
+        layout = {k: v for k, v in layout.items() if v}
+        layout = json.dumps(layout | {"buckets": self.buckets()}) if layout else None
         row = (
             version, operation, replaces, run, keys, num_source, num_inserted, num_updated,
             rows, label, schema.json(), datetime.now(timezone.utc).replace(tzinfo=None),
+            layout, folders,
         )
         line = one_row(self.spark, row, COMMIT_SCHEMA).select(F.to_json(F.struct("*"))).first()[0]
         path = f"{self.root}/commits/{version:012d}.json"
@@ -301,10 +461,15 @@ def create_file(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
-def _only_values_of(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
+def _only_values_of(source: DataFrame, target: DataFrame, column: str, moves: bool) -> DataFrame:
     """Target rows whose ``column`` value the source has.
 
-    Spark broadcasts the values where their measured size allows it.
+    Few values are broadcast; of many, a target that would have to move is
+    narrowed by a join, and one whose join moves nothing is left as it is.
     """
     values = source.select(column).distinct()
+    if values.limit(PRUNE_VALUES + 1).count() <= PRUNE_VALUES:
+        values = F.broadcast(values)
+    elif not moves:
+        return target
     return target.join(values, column, "left_semi").select(*target.columns)
