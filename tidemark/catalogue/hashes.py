@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from tidemark.catalogue.base import (
@@ -36,7 +38,15 @@ from tidemark.sources.logs import (
     run_line,
 )
 
-_ORDER_TEXT = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+_ORDER_TEXT = (
+    "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
+)
+_PRICED = "(SELECT * REPLACE (CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice) FROM orders)"
+
+
+def _priced(spark, sf):
+    """Orders with an exact price, which has one text form."""
+    return table(spark, sf, "orders").withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)"))
 
 
 def _sql_row_hash(columns) -> str:
@@ -49,9 +59,9 @@ _PLAIN = "sha256(concat(" + ", ".join(
 ) + "))"
 
 
-@query(f"SELECT o_orderkey, {_sql_row_hash(_ORDER_TEXT)} AS row_hash FROM orders")
+@query(f"SELECT o_orderkey, {_sql_row_hash(_ORDER_TEXT)} AS row_hash FROM {_PRICED}")
 def row_hash_orders(spark, sf):
-    return table(spark, sf, "orders").select("o_orderkey", row_hash(_ORDER_TEXT).alias("row_hash"))
+    return _priced(spark, sf).select("o_orderkey", row_hash(_ORDER_TEXT).alias("row_hash"))
 
 
 @query(
@@ -68,10 +78,10 @@ def row_hash_plain(spark, sf):
 @query(
     f"""SELECT o_orderkey, '2024-01-01 00:00:00' AS _ingest_ts, 'orders' AS _source_file,
         'b-' || year(o_orderdate) AS _batch_id, {_sql_row_hash(_ORDER_TEXT)} AS _src_row_hash
-        FROM orders"""
+        FROM {_PRICED}"""
 )
 def audit_columns(spark, sf):
-    rows = table(spark, sf, "orders").select(*_ORDER_TEXT)
+    rows = _priced(spark, sf).select(*_ORDER_TEXT)
     batch = F.concat(F.lit("b-"), text(F.year("o_orderdate")))
     stamped = with_audit_columns(rows, batch, "orders", "2024-01-01 00:00:00")
     return stamped.select(
@@ -168,27 +178,38 @@ def schema_fingerprints(spark, sf):
     return out
 
 
+_LINE = "concat_ws(chr(9), o_orderkey, o_custkey, o_orderstatus, o_orderpriority) || chr(10)"
+
+
 @query(
-    """SELECT CAST(n_nationkey AS VARCHAR) AS nation, CAST(strlen(n_name) + 1 AS BIGINT) AS length,
-       sha256(n_name || chr(10)) AS sha256 FROM nation"""
+    f"""SELECT strftime(o_orderdate, '%Y-%m-%d') AS day,
+          CAST(sum(strlen({_LINE})) AS BIGINT) AS length,
+          sha256(string_agg({_LINE}, '' ORDER BY o_orderkey)) AS sha256
+        FROM orders GROUP BY 1"""
 )
 def source_digest(spark, sf):
-    """SHA-256 of the bytes of files that hold one nation's name each."""
-    folder = scratch_folder(spark, "nations")
-    nations = table(spark, sf, "nation").select("n_name", "n_nationkey")
-    nations.write.partitionBy("n_nationkey").text(folder)
-    nation = F.regexp_extract("path", r"n_nationkey=(\d+)/", 1)
-    return source_digests(spark, folder).select(nation.alias("nation"), "length", "sha256")
+    """SHA-256 of the bytes of text files that hold one day's orders each, in order."""
+    folder = scratch_folder(spark, "days")
+    cells = [text(c) for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")]
+    rows = table(spark, sf, "orders").select(
+        F.concat_ws("\t", *cells).alias("value"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+        "o_orderkey",
+    )
+    dealt = rows.repartition("day").sortWithinPartitions("day", "o_orderkey")
+    dealt.drop("o_orderkey").write.partitionBy("day").text(folder)
+    day = F.regexp_extract("path", r"day=([^/]+)/", 1)
+    return source_digests(spark, folder).select(day.alias("day"), "length", "sha256")
 
 
 @query(
     """SELECT count(*) AS n_rows, CAST(sum(h) AS VARCHAR) AS content_hash FROM (
        SELECT CAST(('0x' || substr("""
     + _sql_row_hash(_ORDER_TEXT)
-    + """, 1, 15))::BIGINT AS HUGEINT) AS h FROM orders)"""
+    + f""", 1, 15))::BIGINT AS HUGEINT) AS h FROM {_PRICED})"""
 )
 def table_fingerprint(spark, sf):
-    return content_fingerprint(table(spark, sf, "orders").select(*_ORDER_TEXT))
+    return content_fingerprint(_priced(spark, sf).select(*_ORDER_TEXT))
 
 
 # -- sources ------------------------------------------------------------------
@@ -204,28 +225,28 @@ def tsv_scan(spark, sf):
     The files have more columns than declared, in different orders, and one
     declared column is absent.
     """
-    folder, rows = scratch_folder(spark, "tsv"), raw_filings(spark, sf)
+    folder, rows = scratch_folder(spark, "tsv parts [50%]"), raw_filings(spark, sf)
     urgent = F.col("form") == "1-URGENT"
     for part in (rows.filter(urgent), rows.filter(~urgent).select(*reversed(rows.columns))):
         part.write.mode("append").option("header", True).option("sep", "\t").csv(folder)
-    return scan_declared(spark, folder, ("adsh", "cik", "form", "accepted", "instance"))
+    return scan_declared(spark, re.sub(r"([\[\]])", r"\\\1", folder), ("adsh", "cik", "form", "accepted", "instance"))
 
 
 @query(
     """SELECT count(*) AS n_rows, CAST(sum(o_custkey) AS BIGINT) AS cik_sum,
-       'bigint,int' AS numeric_types FROM orders"""
+       'int,bigint,string,string,int,int,string,int,timestamp_ntz' AS types FROM orders"""
 )
 def tsv_profiled_scan(spark, sf):
-    """Inferred types for profiling: ``fy`` reads as a number, not as text."""
+    """Types from one pass over the text: ``fy`` reads as a number, not as text."""
     folder = scratch_folder(spark, "tsv")
     wide = raw_filings(spark, sf).withColumn("cik", F.concat(F.lit("1000000000000"), "cik"))
     wide.write.option("header", True).option("sep", "\t").csv(folder)
     got = scan_profiled(spark, folder)
-    kinds = ",".join(got.schema[c].dataType.simpleString() for c in ("cik", "fy"))
+    kinds = ",".join(f.dataType.simpleString() for f in got.schema)
     back = F.substring(text("cik"), 14, 20).cast("bigint")
     return got.agg(
         F.count("*").alias("n_rows"), F.sum(back).alias("cik_sum")
-    ).withColumn("numeric_types", F.lit(kinds))
+    ).withColumn("types", F.lit(kinds))
 
 
 # -- ledger, run lines, listing ------------------------------------------------

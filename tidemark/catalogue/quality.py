@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidemark.catalogue.base import (
@@ -22,7 +23,6 @@ from tidemark.operators.quality import (
     duplicate_groups,
     excess_row_count,
     gate,
-    missing_source_columns,
     violation_frame,
 )
 from tidemark.operators.rowchecks import (
@@ -31,6 +31,7 @@ from tidemark.operators.rowchecks import (
     overall_verdict,
     run_row_checks,
     split_by_check,
+    worst,
 )
 from tidemark.operators.splits import (
     LANE,
@@ -41,7 +42,7 @@ from tidemark.operators.splits import (
     split_scope,
     split_valid,
 )
-from tidemark.operators.twins import dropped_column_twin, null_twin
+from tidemark.operators.twins import null_twin
 
 _SCOPED = "segments IS NULL AND coreg IS NULL"
 
@@ -341,29 +342,65 @@ def row_check_split(spark, sf):
     return both.select("o_orderkey", "side")
 
 
+_PLANTED = 25
+_CUSTOMER_CHECKS = (
+    RowCheck("customer_name_filled", "customer", "c_name"),
+    RowCheck("customer_segment_filled", "customer", "c_mktsegment", "is_not_null_and_not_empty"),
+)
+
+
 @query(
-    """SELECT count(*) AS n_rows, CAST(25 AS BIGINT) AS planted_nulls,
-       count(*) FILTER (WHERE c_name IS NULL) AS nulls_before FROM customer"""
+    f"""WITH n AS (SELECT count(*) AS total, count(c_name) - {_PLANTED} AS names,
+          count(*) FILTER (WHERE c_mktsegment <> '') AS segments FROM customer)
+        SELECT 'customer_name_filled' AS name, CASE WHEN names < total THEN 'fail' ELSE 'pass' END AS outcome,
+          total, names AS good, total - names AS bad FROM n
+        UNION ALL SELECT 'customer_segment_filled', CASE WHEN segments < total THEN 'fail' ELSE 'pass' END,
+          total, segments, total - segments FROM n"""
 )
 def twin_null_count(spark, sf):
-    """Exactly 25 seeded rows lose a value; the matching check must report 25."""
-    customers = table(spark, sf, "customer")
-    twin = null_twin(customers, "c_name", 25, seed=11, key=["c_custkey"])
-    before = customers.agg(F.count_if(F.col("c_name").isNull()))
-    return twin.agg(
-        F.count("*").alias("n_rows"), F.count_if(F.col("c_name").isNull()).alias("planted_nulls")
-    ).select("n_rows", "planted_nulls", before.scalar().alias("nulls_before"))
+    """Seeded rows lose a value: the matching check must report them, and no other check."""
+    twin = null_twin(table(spark, sf, "customer"), "c_name", _PLANTED, seed=11, key=["c_custkey"])
+    return check_table(twin, "customer", _CUSTOMER_CHECKS).select("name", "outcome", "total", "good", "bad")
 
 
 @query(
-    f"""WITH {SQL_RAW} SELECT 'missing source column(s): value' AS reason, count(*) AS n_rows
-        FROM raw"""
+    f"""WITH {SQL_RAW}, n AS (SELECT (SELECT count(*) FROM raw) AS num, (SELECT count(*) FROM orders) AS sub)
+        SELECT kind, outcome, detail, CASE outcome WHEN 'pass' THEN 1 ELSE 2 END AS exit_code FROM n, (
+          SELECT 'whole' AS kind, 'pass' AS outcome,
+            'sub readable (' || sub || ' rows), num readable (' || num || ' rows)' AS detail FROM n
+          UNION ALL VALUES ('absent', 'unevaluable', 'missing data: [''num'']'),
+            ('unreadable', 'unevaluable', 'num unreadable'),
+            ('narrow', 'unevaluable', 'sub missing columns: [''form'']'))
+        UNION ALL SELECT 'empty', 'unevaluable', 'num has zero rows -- nothing to gate', 2 FROM n
+          WHERE num > 0"""
 )
-def twin_dropped_column(spark, sf):
-    """A source without ``value`` is unevaluable before any cast can hide it."""
-    twin = dropped_column_twin(raw_facts(spark, sf), "value")
-    reason = missing_source_columns(twin, (*FILED.contract.types, *FILED.scope))
-    return twin.agg(F.count("*").alias("n_rows")).select(F.lit(reason).alias("reason"), "n_rows")
+def bronze_gate_preconditions(spark, sf):
+    """The raw-file gate on sources that are whole, absent, unreadable, too narrow or empty.
+
+    The whole ones pass the precondition and fail a check: their filings of low
+    priority lost the form.
+    """
+    form = F.when(F.col("form") != "5-LOW", F.col("form")).otherwise(F.lit(""))
+    sub, num = raw_filings(spark, sf).withColumn("form", form), raw_facts(spark, sf)
+    try:
+        gone = spark.read.parquet(f"{sf}/no-such-table.parquet")
+    except AnalysisException as e:
+        gone = e
+    cases = {
+        "whole": {"sub": sub, "num": num},
+        "absent": {"sub": sub},
+        "unreadable": {"sub": sub, "num": gone},
+        "narrow": {"sub": sub.drop("form"), "num": num},
+        "empty": {"sub": sub, "num": num.filter("adsh is null")},
+    }
+    rows = []
+    for kind, sources in cases.items():
+        results = run_row_checks(sources)
+        detail = results[0]["detail"]
+        detail = detail.split(":")[0] if kind == "unreadable" else detail
+        code = worst([r["outcome"] for r in results])[1]
+        rows.append((kind, results[0]["outcome"], detail, code))
+    return spark.createDataFrame(rows, "kind string, outcome string, detail string, exit_code int")
 
 
 @query(

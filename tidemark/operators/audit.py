@@ -9,10 +9,11 @@ folded, input instead, so no task ever holds a whole key.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import json_field
@@ -37,10 +38,18 @@ def plan_audit_slices(gold: DataFrame, model: FactModel, **options) -> SlicePlan
 
 
 def interval_counts(
-    gold: DataFrame, model: FactModel, plan: SlicePlan | None = None
+    gold: DataFrame,
+    model: FactModel,
+    plan: SlicePlan | None = None,
+    constant: Sequence[str] = (),
 ) -> DataFrame:
     """One row with the violation count of each table check.
 
+    ``constant`` names key columns that hold one value in the whole frame, such
+    as a literal.  Spark takes literals out of a grouping, which would then no
+    longer fit a partitioning by them, so they are left out of the key; the
+    counts are NULL if a column turns out not to be constant.
+
     * lookahead: valid before known, or either instant missing
     * inverted: ends before it starts (an empty interval is legal)
     * orphan_empty: empty interval with no non-empty interval of another filing
@@ -49,7 +58,7 @@ def interval_counts(
     * not_one_open: keys that do not have exactly one open interval
     * duplicate_facts: rows beyond the first per key, start and filing
     """
-    key, filing = list(model.natural_key), model.link
+    key, filing = [k for k in model.natural_key if k not in constant], model.link
     start, end = F.col("valid_from"), F.col("valid_to")
     rows = gold if plan else gold.repartition(*columns(key))
     n = F.count(F.lit(1))
@@ -62,6 +71,7 @@ def interval_counts(
         F.count_if(end < start).alias("inverted"),
         F.count_if(end >= instant(OPEN_FLOOR)).alias("open"),
         F.max(F.when(end > start, end)).alias("full_end"),
+        *_extremes(constant),
     )
     # a missing filing is no other filing: it never wins and never has a sibling
     is_winner = (F.col("full") > 0) & F.col(filing).isNotNull()
@@ -80,6 +90,7 @@ def interval_counts(
             F.count_if(is_winner).alias("winners"),
             F.sum(F.when(is_winner, F.col("empty")).otherwise(0)).alias("winner_empty"),
             F.sum(F.when(F.col(filing).isNull(), F.col("empty")).otherwise(0)).alias("lost_empty"),
+            *_carried(constant),
         )
         .withColumn(
             "orphan_empty",
@@ -104,17 +115,36 @@ def interval_counts(
         .agg(
             *[F.sum(c).alias(c) for c in ("lookahead", "inverted", "orphan_empty", "open")],
             *[F.sum(c).alias(c) for c in ("overlapping", "duplicate_facts", "_rows")],
+            *_carried(constant),
         )
     )
     total = [
         F.coalesce(F.sum(c), F.lit(0)).alias(c)
         for c in ("lookahead", "inverted", "orphan_empty", "overlapping", "duplicate_facts")
     ]
-    return per_key.agg(
+    counts = per_key.agg(
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("n_rows"),
         *total,
         F.count_if(F.col("open") != 1).alias("not_one_open"),
+        *_carried(constant),
     )
+    if not constant:
+        return counts
+    steady = reduce(lambda a, b: a & b, [F.col(f"_low_{c}").eqNullSafe(F.col(f"_high_{c}")) for c in constant])
+    names = [c for c in counts.columns if not c.startswith(("_low_", "_high_"))]
+    return counts.select(*[F.when(steady, F.col(c)).alias(c) for c in names])
+
+
+def _extremes(constant: Sequence[str]) -> list[Column]:
+    """Least and greatest of each column as text; a NULL beside a value differs from it."""
+    shown = {c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in constant}
+    low = [F.min(x).alias(f"_low_{c}") for c, x in shown.items()]
+    return low + [F.max(x).alias(f"_high_{c}") for c, x in shown.items()]
+
+
+def _carried(constant: Sequence[str]) -> list[Column]:
+    low = [F.min(f"_low_{c}").alias(f"_low_{c}") for c in constant]
+    return low + [F.max(f"_high_{c}").alias(f"_high_{c}") for c in constant]
 
 
 def orphan_empty_rows(gold: DataFrame, model: FactModel) -> DataFrame:
@@ -138,13 +168,16 @@ def orphan_empty_rows(gold: DataFrame, model: FactModel) -> DataFrame:
 
 
 def interval_report(
-    gold: DataFrame, model: FactModel, plan: SlicePlan | None = None
+    gold: DataFrame,
+    model: FactModel,
+    plan: SlicePlan | None = None,
+    constant: Sequence[str] = (),
 ) -> DataFrame:
     """``(check, verdict, violations)`` per table check, computed lazily.
 
     An empty table is unevaluable: nothing was audited.
     """
-    counts = interval_counts(gold, model, plan)
+    counts = interval_counts(gold, model, plan, constant)
     rows = F.array(
         *[
             F.struct(F.lit(name).alias("check"), F.col(c).alias("violations"))
@@ -152,7 +185,7 @@ def interval_report(
         ]
     )
     verdict = (
-        F.when(F.col("n_rows") == 0, "UNEVALUABLE")
+        F.when(F.coalesce(F.col("n_rows"), F.lit(0)) == 0, "UNEVALUABLE")
         .when(F.col("violations") == 0, "PASS")
         .otherwise("FAIL")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,12 +27,19 @@ def probe(
         rows = as_of(gold, at, **key).select(model.value, model.link).limit(2).collect()
     except Exception as e:
         return False, f"consumer path unreadable: {e}"
-    if len(rows) == 1 and rows[0][0] is not None and float(rows[0][0]) == float(expect):
+    if len(rows) == 1 and rows[0][0] is not None and _same(rows[0][0], expect):
         return True, f"as_of({at}) -> value={rows[0][0]} {model.link}={rows[0][1]}"
     seen = "at least 2 rows" if len(rows) > 1 else f"{len(rows)} row(s)"
     return False, f"as_of({at}) -> {seen}, expected exactly one == {expect}"
 
 
+def _same(found, expect) -> bool:
+    """Equality without a detour through floats: decimals differ in their last digit too."""
+    if isinstance(found, Decimal):
+        return found == Decimal(str(expect))
+    return found == type(found)(expect)
+
+
 def probe_all(gold: DataFrame, expected: DataFrame, model: FactModel, at: str | Column) -> DataFrame:
     """Many probes as one join: per expected row, rows found and whether it passes.
 

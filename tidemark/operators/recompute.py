@@ -48,6 +48,25 @@ def key_collisions(bronze: DataFrame, model: FactModel) -> DataFrame:
     )
 
 
+def bronze_metrics(bronze: DataFrame, model: FactModel) -> DataFrame:
+    """``rows_in``, ``scoped_out`` and ``key_collisions`` per batch from one scan.
+
+    Rows are folded by batch and fact key, the other counters carried along,
+    and the keys by batch; a batch's rows are never in one place.
+    """
+    usable = in_scope(model.scope) & all_filled(model.row_required)
+    per_key = bronze.groupBy(BATCH_ID, *model.fact_key).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(~in_scope(model.scope)).alias("_out"),
+        F.count_if(usable).alias("_usable"),
+    )
+    return per_key.groupBy(BATCH_ID).agg(
+        F.sum("_n").alias("rows_in"),
+        F.sum("_out").alias("scoped_out"),
+        F.sum(F.greatest(F.col("_usable") - 1, F.lit(0))).alias("key_collisions"),
+    )
+
+
 def run_slices(lane: DataFrame) -> DataFrame:
     """Rows per batch and run of an append lane; a rerun adds an equal slice."""
     return lane.groupBy(BATCH_ID, INGEST_TS).agg(F.count(F.lit(1)).alias("n"))
@@ -76,11 +95,14 @@ def metrics_table(
     unevaluable: DataFrame,
     silver_commits: DataFrame,
     model: FactModel,
+    logs: DataFrame | None = None,
 ) -> DataFrame:
     """One row per registered quarter, every number counted from the tables.
 
     ``silver_commits`` are commit rows whose ``label`` is the batch id;
-    batches without a row somewhere count as zero there.
+    batches without a row somewhere count as zero there.  ``logs`` holds the
+    last run line of each quarter; it adds ``wall_clock_s``, which no table
+    knows (zero without a line).
     """
     commits = (
         silver_commits.filter(F.col("operation").isin("WRITE", "MERGE"))
@@ -96,9 +118,8 @@ def metrics_table(
     by_batch = {BATCH_ID: "batch_id"}
     spine = registry_spine(registry)
     for part in (
-        bronze_counts(bronze, model).withColumnsRenamed(by_batch),
+        bronze_metrics(bronze, model).withColumnsRenamed(by_batch),
         first_slice(run_slices(quarantine_rows)).withColumnsRenamed(by_batch),
-        key_collisions(bronze, model).withColumnsRenamed(by_batch),
         commits,
         uneval,
     ):
@@ -107,20 +128,30 @@ def metrics_table(
     counted = [
         (zero if c == "q_detail" else F.coalesce(F.col(c), zero)).alias(c) for c in METRIC_COLUMNS
     ]
+    clock = []
+    if logs is not None:
+        spine = spine.join(logs.select("quarter", "wall_clock_ms"), "quarter", "left")
+        seconds = F.round(F.coalesce("wall_clock_ms", zero) / 1000).cast("bigint")
+        clock = [seconds.alias("wall_clock_s")]
     return spine.select(
         "quarter",
         "batch_id",
         *counted,
         F.coalesce("unequal_slices", F.lit(False)).alias("unequal_slices"),
+        *clock,
     )
 
 
 def with_totals(metrics: DataFrame, key: str = "quarter", columns: Sequence[str] = METRIC_COLUMNS) -> DataFrame:
-    """The table by key with a ``total`` row, ready for a sorted report."""
-    sums = metrics.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in columns])
-    return metrics.select(key, *columns).unionByName(
-        sums.select(F.lit("total").alias(key), *columns)
-    )
+    """The table with a ``total`` row, ready for a sorted report; no rows give no total.
+
+    A rollup over whole rows, so the table is evaluated once.
+    """
+    row = F.struct(key, *[c for c in metrics.columns if c != key])
+    sums = [F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in columns]
+    rolled = metrics.withColumn("_row", row).rollup("_row").agg(F.grouping("_row").alias("_all"), *sums)
+    label = F.when(F.col("_all") == 1, "total").otherwise(F.col(f"_row.{key}"))
+    return rolled.select(label.alias(key), *columns)
 
 
 def conservation_findings(metrics: DataFrame, statuses: DataFrame) -> DataFrame:

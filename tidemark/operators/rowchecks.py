@@ -130,6 +130,10 @@ def worst(outcomes: Sequence[str]) -> tuple[str, int]:
     return top, EXIT_CODE[top]
 
 
+def _total(rows: list[dict]) -> int:
+    return max((r["total"] or 0 for r in rows), default=0)
+
+
 def run_row_checks(
     tables: Mapping[str, DataFrame | Exception],
     checks: Sequence[RowCheck] = FILED_CHECKS,
@@ -167,5 +171,5 @@ def run_row_checks(
     for t, rows in results:
         if any(r["total"] == 0 for r in rows):
             return [precondition("unevaluable", f"{t} has zero rows -- nothing to gate")]
-    counts = ", ".join(f"{t} readable" for t, _ in results)
+    counts = ", ".join(f"{t} readable ({_total(rows)} rows)" for t, rows in results)
     return [precondition("pass", counts)] + [r for _, rows in results for r in rows]

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Types that a profiled column may have, the narrowest first; text fits always.
+PROFILE_TYPES = ("int", "bigint", "double", "timestamp_ntz", "boolean")
+
 
 def scan_declared(
     spark: SparkSession, path: str | list[str], declared: Sequence[str], sep: str = "\t"
@@ -19,28 +25,68 @@ def scan_declared(
     a column that any file lacks is left out, so that the source precondition
     can report it.
     """
-    parts = _by_header(spark, path, sep, infer=False)
+    parts = _by_header(spark, path, sep)
     present = [c for c in declared if all(c in p.columns for p in parts)]
     return reduce(DataFrame.unionByName, [p.select(*present) for p in parts])
 
 
 def scan_profiled(spark: SparkSession, path: str | list[str], sep: str = "\t") -> DataFrame:
-    """Scan with inferred types, for profiling checks on raw files only."""
-    parts = _by_header(spark, path, sep, infer=True)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-
-def _by_header(spark: SparkSession, path, sep: str, infer: bool) -> list[DataFrame]:
-    """One scan for each distinct header line; Spark checks every file against its scan's."""
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("n")
-    )
-    first = lines.groupBy("path").agg(F.min_by("value", "n").alias("header"))
-    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    found = [r["paths"] for r in groups.orderBy("paths").collect()]  # one entry per file
-    reader = spark.read.option("header", True).option("sep", sep).option("inferSchema", infer)
-    reader = reader.option("enforceSchema", infer)
-    return [reader.csv(paths) for paths in found] or [reader.csv(path)]
+    """Scan with inferred types, for profiling checks on raw files only.
+
+    One aggregate over the text profiles all columns; the narrowest type that
+    every filled cell has is then cast to.  A column without a filled cell
+    stays text.
+    """
+    parts = _by_header(spark, path, sep)
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    kinds = profile_types(rows)
+    return rows.select(*[F.col(f"`{c}`").try_cast(kinds[c]).alias(c) for c in rows.columns])
+
+
+def profile_types(rows: DataFrame, types: Sequence[str] = PROFILE_TYPES) -> dict[str, str]:
+    """The narrowest of ``types`` for every text column, ``string`` if none fits."""
+
+    def misses(column: str, kind: str) -> Column:
+        cell = F.col(f"`{column}`")
+        return F.count_if(cell.isNotNull() & cell.try_cast(kind).isNull())
+
+    tests = [misses(c, t).alias(f"m{i}_{t}") for i, c in enumerate(rows.columns) for t in types]
+    filled = [F.count(f"`{c}`").alias(f"n{i}") for i, c in enumerate(rows.columns)]
+    seen = rows.agg(*tests, *filled).first()  # one row
+    found = {}
+    for i, c in enumerate(rows.columns):
+        fits = [t for t in types if seen[f"m{i}_{t}"] == 0] if seen[f"n{i}"] else []
+        found[c] = fits[0] if fits else "string"
+    return found
+
+
+def _by_header(spark: SparkSession, path, sep: str) -> list[DataFrame]:
+    """One scan for each distinct header line; Spark checks every file against its scan's.
+
+    Only the first line of a file is looked at beforehand, so files are read once.
+    """
+    groups: dict[str, list[str]] = defaultdict(list)
+    for file in spark.read.text(path).inputFiles():  # a listing; URIs, encoded
+        header = first_line(spark, file)
+        if header is not None:
+            groups[header].append(re.sub(r"([{}\[\]*?\\])", r"\\\1", unquote(file)))
+    reader = spark.read.option("header", True).option("sep", sep).option("enforceSchema", False)
+    return [reader.csv(files) for _, files in sorted(groups.items())] or [reader.csv(path)]
+
+
+def first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a file given by its URI; None if it is empty."""
+    hadoop = spark._jvm.org.apache.hadoop
+    conf = spark._jsc.hadoopConfiguration()
+    where = hadoop.fs.Path(spark._jvm.java.net.URI(file))
+    stream = where.getFileSystem(conf).open(where)
+    codec = hadoop.io.compress.CompressionCodecFactory(conf).getCodec(where)
+    stream = codec.createInputStream(stream) if codec is not None else stream
+    reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
 
 
 def source_digests(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.frames import one_row
+
 LEDGER_SCHEMA = (
     "quarter string, status string, exit int, wall_s double, log_line string, "
     "code_sha string, ts timestamp_ntz"
@@ -58,7 +60,43 @@ def parse_run_lines(lines: DataFrame, text: str = "value") -> DataFrame:
 
 
 def scan_run_logs(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return parse_run_lines(spark.read.text(paths))
+    """Run lines of log files: ``quarter, attempt`` from the path, the fields, and ``place``.
+
+    Files (or folders of part files) are named ``backfill-<quarter>.log`` and
+    may lie in folders ``attempt=<n>``; without one the attempt is 0.  ``place``
+    orders the lines of a quarter: by attempt, then by file age, then as they
+    stand in the file.
+    """
+    path = F.col("_metadata.file_path")
+    attempt = F.regexp_extract(path, r"/attempt=(\d+)/", 1).try_cast("bigint")
+    lines = spark.read.text(paths).select(
+        "value",
+        F.regexp_extract(path, r"backfill-([^/]+)\.log", 1).alias("quarter"),
+        F.coalesce(attempt, F.lit(0).cast("bigint")).alias("attempt"),
+        F.struct(
+            F.col("_metadata.file_modification_time").alias("written"),
+            path.alias("path"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"),
+        ).alias("place"),
+    )
+    return parse_run_lines(lines.filter("quarter <> ''"))
+
+
+def last_run_lines(logs: DataFrame, ledger: DataFrame) -> DataFrame:
+    """The last run line of every quarter whose last attempt on record went through.
+
+    A later attempt that was refused or failed leaves its quarter without one.
+    """
+    ok = latest_attempts(ledger).filter("status = 'ok'").select("quarter")
+    last = latest_attempts(logs, order=("attempt", "place"))
+    return last.join(ok, "quarter", "left_semi").drop("attempt", "place")
+
+
+def write_run_log(spark: SparkSession, root: str, quarter: str, attempt: int, text: str) -> None:
+    """The log file of one attempt, where :func:`scan_run_logs` finds it."""
+    folder = f"{root}/attempt={attempt}/backfill-{quarter}.log"
+    one_row(spark, (text,), "value string").write.mode("append").text(folder)
 
 
 def scan_ledger(spark: SparkSession, paths: str | list[str]) -> DataFrame:
