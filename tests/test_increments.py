@@ -10,6 +10,7 @@ from tidemark.catalogue import jobs
 from tidemark.model import FILED_FACTS, INGEST_TS
 from tidemark.operators.intervals import as_of
 from tidemark.operators.merge import classify, newer
+from tidemark.operators.quality import QualityHalt
 from tidemark.plans.gold import rebuild_gold, run_batch
 from tidemark.sources.tables import VersionedTable
 
@@ -78,12 +79,35 @@ def test_a_filing_that_comes_later_brings_its_facts(spark, sf):
     none = facts.limit(0)
     again = facts.limit(1).withColumn(INGEST_TS, F.lit(NEW).cast("timestamp_ntz"))
     assert none.isEmpty()
-    run_batch(lake, again, filings, "b2", NEW)
+    run_batch(lake, again, filings, "b2", NEW, share=1.0)
     found = rows_of(lake.gold.read())
     rebuild_gold(lake, full=True)
     assert rows_of(lake.gold.read()) == found
 
 
+def test_a_batch_is_read_twice_and_refused_before_it_shows(spark, sf, monkeypatch):
+    lake = jobs._lake(spark)
+    facts, filings = jobs._frames(spark, sf)
+    written = []
+    part = VersionedTable._write_part
+    monkeypatch.setattr(
+        VersionedTable,
+        "_write_part",
+        lambda t, log, rows: (written.append((t.root, plan_of(rows))), part(t, log, rows))[1],
+    )
+    run_batch(lake, facts, filings, "b1", OLD)
+    scans = [p.count("lineitem") for root, p in written if root.endswith(("silver", "quarantine/rows"))]
+    assert scans == [1, 1]
+    twice_sent = facts.filter("tag = 'A'").unionByName(facts.filter("tag = 'A'"))
+    before = rows_of(lake.silver.read())
+    with pytest.raises(QualityHalt, match="uniqueness"):
+        run_batch(lake, twice_sent.withColumn(INGEST_TS, F.lit(NEW).cast("timestamp_ntz")), filings, "b2", NEW)
+    assert lake.silver.refresh().latest_version() == 0 and rows_of(lake.silver.read()) == before
+    (detail,) = lake.quarantine_detail.read().collect()
+    valid = facts.filter("tag = 'A' and segments is null and coreg is null and value is not null").count()
+    assert (detail["constraint"], detail["violations"]) == ("uniqueness", valid)
+
+
 def test_gold_is_rebuilt_whole_when_the_log_cannot_tell(spark, twice):
     twice.silver.compact()
     assert twice.silver.changed_since(0) is None

@@ -240,7 +240,7 @@ def _second_delivery(spark, sf) -> Lake:
     batch = facts.join(later, "adsh", "left_semi").unionByName(corrected.withColumn("value", raised))
     at = "2024-02-01 00:00:00"
     batch = batch.withColumns({BATCH_ID: F.lit("b2"), INGEST_TS: instant(at)})
-    run_batch(lake, batch, third.withColumn("cik", moved), "b2", at)
+    run_batch(lake, batch, third.withColumn("cik", moved), "b2", at, share=1.0)
     return lake
 
 

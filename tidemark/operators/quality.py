@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -164,10 +164,28 @@ def judge(batch: DataFrame, contract: Contract) -> Judged:
         return Judged(Outcome(UNEVALUABLE, f"analyzer error: {type(e).__name__}: {e}"))
     if counted["rows"] == 0:
         return Judged(Outcome(UNEVALUABLE, "empty batch where rows expected"))
-    found = [Violation(kind, t, counted[f"{kind}:{t}"]) for kind, t in _rules(contract)]
+    return Judged(outcome_of(counted, contract), counted["rows"])
+
+
+def outcome_of(counted: Mapping[str, int], contract: Contract) -> Outcome:
+    """Pass or Fail from the violation count of every rule."""
+    found = [Violation(kind, t, counted[f"{kind}:{t}"] or 0) for kind, t in _rules(contract)]
     violated = tuple(v for v in found if v.count)
-    outcome = Outcome(FAIL, violations=violated) if violated else Outcome(PASS)
-    return Judged(outcome, counted["rows"])
+    return Outcome(FAIL, violations=violated) if violated else Outcome(PASS)
+
+
+def counters(contract: Contract, nth: Column) -> list[Column]:
+    """The gate as plain aggregates, to be observed while a batch is written.
+
+    ``nth`` numbers the rows of each unique key: every key that is not unique
+    has exactly one second row.
+    """
+    rules = {f"completeness:{c}": F.col(c).isNull() for c in contract.complete}
+    rules |= {f"non-negative:{c}": F.col(c) < 0 for c in contract.non_negative}
+    if contract.unique:
+        rules[_unique_rule(contract)] = nth == 2
+    found = [F.count(F.lit(1)).alias("rows")]
+    return found + [F.count_if(broken).alias(name) for name, broken in rules.items()]
 
 
 def gate(batch: DataFrame, contract: Contract) -> Outcome:

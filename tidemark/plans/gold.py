@@ -15,19 +15,25 @@ from tidemark.plans.silver import RunMetrics, run_silver
 from tidemark.session import scratch_folder
 
 
-def rebuild_gold(lake: Lake, full: bool = False) -> int:
+#: Share of silver's rows up to which changes are spliced into gold; beyond it gold is
+#: computed whole, with the same rows as result.
+INCREMENT_SHARE = 0.1
+
+
+def rebuild_gold(lake: Lake, full: bool = False, share: float = INCREMENT_SHARE) -> int:
     """Bring gold up to silver and the accumulated filing index; returns its version.
 
     Gold follows from all filings, never from one batch's: that would drop the
     facts of every earlier filing.  When gold's own commit says which versions
     it was built from, only the natural keys of facts and filings that changed
     since are computed again, and only the folders of their entities are read
-    and replaced.  Otherwise, or with ``full``, everything is computed.
+    and replaced.  Otherwise, with ``full``, or if more than ``share`` of
+    silver's rows are new, everything is computed.
     """
     built = json.dumps(
         {"silver": lake.silver.latest_version(), "filings": lake.filing_index.latest_version()}
     )
-    changes = None if full else _changes(lake)
+    changes = None if full else _changes(lake, share)
     if changes is not None:
         return _splice(lake, changes, built)
     facts = lake.silver.read()
@@ -36,7 +42,7 @@ def rebuild_gold(lake: Lake, full: bool = False) -> int:
     return lake.gold.overwrite(build_intervals(facts, filings, lake.model, plan), built)
 
 
-def _changes(lake: Lake) -> DataFrame | None:
+def _changes(lake: Lake, share: float) -> DataFrame | None:
     """Changed facts with their filings of then and now; None if a full rebuild is due.
 
     Columns: fact key and value, ``now`` and ``before`` (the filing's columns as
@@ -53,6 +59,8 @@ def _changes(lake: Lake) -> DataFrame | None:
     facts, index = lake.silver.changed_since(silver), lake.filing_index.changed_since(filings)
     if facts is None or index is None:
         return None
+    if lake.silver.rows_since(silver) > share * lake.silver.row_count():
+        return None  # one pass over everything costs less than finding what changed
     link = model.link
     names = list(dict.fromkeys((*model.fact_key, model.value)))
     links = index.select(link)
@@ -97,9 +105,14 @@ def _splice(lake: Lake, changes: DataFrame, built: str) -> int:
 
 
 def run_batch(
-    lake: Lake, facts: DataFrame, filings: DataFrame, batch_id: str, ingest_ts: str
+    lake: Lake,
+    facts: DataFrame,
+    filings: DataFrame,
+    batch_id: str,
+    ingest_ts: str,
+    share: float = INCREMENT_SHARE,
 ) -> RunMetrics:
     """One batch from frames through silver to a rebuilt gold."""
     metrics = run_silver(lake, facts, filings, batch_id, ingest_ts)
-    rebuild_gold(lake)
+    rebuild_gold(lake, share=share)
     return metrics

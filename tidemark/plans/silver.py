@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.frames import one_row
@@ -18,11 +18,13 @@ from tidemark.operators.quality import (
     Outcome,
     QualityHalt,
     Violation,
+    counters,
     duplicate_group_count,
-    judge,
     missing_source_columns,
+    outcome_of,
+    type_mismatches,
 )
-from tidemark.operators.splits import LANE, in_scope, route, split_valid
+from tidemark.operators.splits import LANE, lane_counters, route, split_valid
 from tidemark.plans.lake import UNEVALUABLE_SCHEMA, Lake
 from tidemark.sources.logs import RUN_LINE_FIELDS, run_line
 
@@ -52,10 +54,11 @@ def run_silver(
 ) -> RunMetrics:
     """Bring one batch into silver, or refuse it whole.
 
-    Rows are counted from the scope columns alone, quarantined rows are
-    written, the gate judges the valid rows in one pass, and they are merged.
-    A refused batch leaves rows in its lane and raises :class:`QualityHalt`;
-    nothing of it reaches silver.  Filings without a link, an entity or a time
+    The batch is read twice.  Rows are counted while the quarantined ones are
+    written; the gate's counts are observed while the valid ones are written,
+    and only a version that passes is published.  A refused batch leaves rows
+    in its lane and raises :class:`QualityHalt`; nothing of it can be read from
+    silver.  Filings without a link, an entity or a time
     are quarantined in a lane of their own; their facts stay in silver and out
     of gold, as those of any unknown filing.  Repeated filings refuse the batch.
     """
@@ -67,43 +70,47 @@ def run_silver(
     if reason:
         _refuse(lake, batch_id, Outcome(UNEVALUABLE, reason))
 
-    seen = facts.agg(
-        F.count(F.lit(1)).alias("rows_in"),
-        F.count_if(~in_scope(model.scope)).alias("scoped_out"),
-    ).first()
-
     stamps = {BATCH_ID: F.lit(batch_id), INGEST_TS: instant(ingest_ts)}
     unstamped = {c: v for c, v in stamps.items() if c not in facts.columns}
     routed = route(facts.withColumns(unstamped) if unstamped else facts, model)
-    quarantined = routed.filter(F.col(LANE) == "quarantined").drop(LANE)
+    seen = Observation()
+    counted = routed.observe(seen, *lane_counters())
     lane = lake.quarantine_rows
     before = lane.row_count()
-    lane.append(quarantined, label=batch_id)
+    lane.append(counted.filter(F.col(LANE) == "quarantined").drop(LANE), label=batch_id)
+    seen = seen.get
 
     valid = routed.filter(F.col(LANE) == "valid").drop(LANE)
-    judged = judge(valid, contract)
-    outcome = judged.outcome
-    if outcome.label != PASS:
-        _refuse(lake, batch_id, outcome)
+    reason = type_mismatches(valid.schema, contract.types)
+    if not reason and not seen["valid"]:
+        reason = "empty batch where rows expected"
+    if reason:
+        _refuse(lake, batch_id, Outcome(UNEVALUABLE, reason))
 
     filings, unusable = split_valid(filings, tuple(model.filing_types))
     repeated = duplicate_group_count(filings, [model.link]).first()["violations"]
     if repeated:  # a repeated filing would fan out the gold join
         broken = Outcome(FAIL, violations=(Violation("uniqueness", model.link, repeated),))
         _refuse(lake, batch_id, broken, Contract(name=f"filings-{model.name}"))
-    lake.quarantine_filings.append(
-        unusable.withColumn(BATCH_ID, F.lit(batch_id)), label=batch_id
-    )
+    unusable = unusable.withColumn(BATCH_ID, F.lit(batch_id))
+
+    def accept(counts: dict) -> None:
+        outcome = outcome_of(counts, contract)
+        if outcome.label != PASS:
+            _refuse(lake, batch_id, outcome)
+
     version = lake.silver.merge(
         valid,
         model.fact_key,
         newer(),
         compare=[INGEST_TS],
-        num_source=judged.rows,
-        source_unique=True,  # the gate just proved it
+        source_unique=True,  # or the gate refuses it
         prune_by=model.link,
         label=batch_id,
+        watch=lambda nth: counters(contract, nth),
+        accept=accept,
     )
+    lake.quarantine_filings.append(unusable, label=batch_id)
     stamped = filings.withColumn(INGEST_TS, instant(ingest_ts))
     lake.filing_index.merge(
         stamped,
@@ -118,11 +125,11 @@ def run_silver(
     return RunMetrics(
         batch_id=batch_id,
         rows_in=seen["rows_in"],
-        rows_out=judged.rows,
+        rows_out=seen["valid"],
         scoped_out=seen["scoped_out"],
-        rejected=seen["rows_in"] - seen["scoped_out"] - judged.rows,
+        rejected=seen["rows_in"] - seen["scoped_out"] - seen["valid"],
         quarantined=lane.row_count() - before,
-        gate=outcome.label,
+        gate=PASS,
         delta_version=version,
         wall_clock_ms=int((time.monotonic() - started) * 1000),
     )

@@ -24,12 +24,12 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,6 +52,7 @@ COMMIT_SCHEMA = (
 _LAYOUT = {"v": T.IntegerType(), "run": T.StringType(), "op": T.StringType()}
 #: The folder number of a row in a split table.
 FOLDER = "b"
+_NTH = "_nth_of_key"
 #: Key values of a batch up to which a merge looks only at table rows that have one of them.
 PRUNE_VALUES = 100_000
 
@@ -174,6 +175,11 @@ class VersionedTable:
             return self._frame(log, None).limit(0)
         return self._current(later, [r for r in later if r["num_updated"]])
 
+    def rows_since(self, version: int) -> int:
+        """Rows written after ``version``, from the log alone."""
+        later = [r for r in self._log() if r["version"] > version]
+        return sum(r["num_inserted"] + r["num_updated"] for r in later)
+
     def _frame(self, log: list, version: int | None, only: Column | None = None) -> DataFrame:
         log = [r for r in log if version is None or r["version"] <= version]
         if not log or (version is not None and log[-1]["version"] != version):
@@ -327,6 +333,8 @@ class VersionedTable:
         source_unique: bool = False,
         prune_by: str | None = None,
         label: str = "",
+        watch: Callable[[Column], Sequence[Column]] | None = None,
+        accept: Callable[[dict], None] | None = None,
     ) -> int:
         """Upsert ``source`` by key; unmatched rows insert, matches update on the condition.
 
@@ -334,9 +342,23 @@ class VersionedTable:
         later ones refuse a source in which several rows match one row.
         ``prune_by`` is a key column with few values per batch: table rows with
         other values cannot match and are left out before any shuffle.
+
+        ``watch`` gives aggregates over the source rows, told the number of a
+        row among those with its key; they are observed while the rows are
+        written.  ``accept`` gets their values and may raise: the version is
+        then not published, and what was written is never read.
         """
         log = self._log()
+        seen = Observation() if watch else None
         if not log:
+            if watch:
+                watched = self._numbered(source, keys)
+                watched = watched.observe(seen, *watch(F.col(_NTH))).drop(_NTH)
+                part = self._write_part(log, watched)
+                accept(seen.get)
+                version, run, counts = part
+                n = counts[INSERT]
+                return self._publish(log, version, run, source.schema, "WRITE", True, "", n, n, 0, n, label)
             if not source_unique:
                 require_unique(source.dropna(subset=list(keys)), keys)
             return self.overwrite(source, label)
@@ -349,10 +371,15 @@ class VersionedTable:
             target = _only_values_of(source, target, prune_by, moves=not self.keyed)
         if not source_unique:
             require_unambiguous(source, target, keys)
-        changes = classify(source, target, keys, update_when, compare).filter(
-            F.col("op") != NOOP
-        )
-        version, run, counts = self._write_part(log, changes)
+        if watch:
+            source = self._numbered(source, keys)
+        changes = classify(source, target, keys, update_when, compare)
+        if watch:
+            changes = changes.observe(seen, *watch(F.col(_NTH))).drop(_NTH)
+        version, run, counts = self._write_part(log, changes.filter(F.col("op") != NOOP))
+        if watch:
+            accept(seen.get)
+            num_source = seen.get["rows"] if num_source is None else num_source
         inserted, updated = counts[INSERT], counts[UPDATE]
         return self._publish(
             log, version, run, source.schema, "MERGE", False, ",".join(keys),
@@ -360,6 +387,13 @@ class VersionedTable:
             inserted, updated, log[-1]["rows"] + inserted, label,
         )
 
+    def _numbered(self, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """Source rows numbered within their key, dealt as the table's buckets are."""
+        if self.keyed:
+            source = source.repartition(self.buckets(), *self.keyed)
+        each = Window.partitionBy(*keys).orderBy(*keys)
+        return source.withColumn(_NTH, F.row_number().over(each))
+
     def has_updates(self) -> bool:
         """Whether reads of the latest version have superseded rows to drop."""
         log = self._log()
