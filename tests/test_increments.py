@@ -7,7 +7,7 @@ from helpers import silver_rows
 from pyspark.sql import functions as F
 
 from tidemark.catalogue import jobs
-from tidemark.model import FILED_FACTS, INGEST_TS
+from tidemark.model import BATCH_ID, FILED_FACTS, INGEST_TS
 from tidemark.operators.intervals import as_of
 from tidemark.operators.merge import classify, newer
 from tidemark.operators.quality import QualityHalt
@@ -96,6 +96,7 @@ def test_a_batch_is_read_twice_and_refused_before_it_shows(spark, sf, monkeypatc
         lambda t, log, rows: (written.append((t.root, plan_of(rows))), part(t, log, rows))[1],
     )
     run_batch(lake, facts, filings, "b1", OLD)
+    assert lake.silver.read().columns == [*FILED_FACTS.fact_types, INGEST_TS, BATCH_ID]
     scans = [p.count("lineitem") for root, p in written if root.endswith(("silver", "quarantine/rows"))]
     assert scans == [1, 1]
     twice_sent = facts.filter("tag = 'A'").unionByName(facts.filter("tag = 'A'"))
@@ -103,6 +104,11 @@ def test_a_batch_is_read_twice_and_refused_before_it_shows(spark, sf, monkeypatc
     with pytest.raises(QualityHalt, match="uniqueness"):
         run_batch(lake, twice_sent.withColumn(INGEST_TS, F.lit(NEW).cast("timestamp_ntz")), filings, "b2", NEW)
     assert lake.silver.refresh().latest_version() == 0 and rows_of(lake.silver.read()) == before
+    for at in ("2024-03-01 00:00:00", "2024-04-01 00:00:00"):  # and later batches merge as before
+        again = facts.filter("tag = 'A'").withColumn(INGEST_TS, F.lit(at).cast("timestamp_ntz"))
+        run_batch(lake, again, filings, "b3", at)
+    assert lake.silver.latest_version() == 2 and lake.silver.row_count() == len(before)
+    assert rows_of(lake.silver.read(0)) == before
     (detail,) = lake.quarantine_detail.read().collect()
     valid = facts.filter("tag = 'A' and segments is null and coreg is null and value is not null").count()
     assert (detail["constraint"], detail["violations"]) == ("uniqueness", valid)

@@ -17,7 +17,7 @@ from tidemark.session import scratch_folder
 
 #: Share of silver's rows up to which changes are spliced into gold; beyond it gold is
 #: computed whole, with the same rows as result.
-INCREMENT_SHARE = 0.1
+INCREMENT_SHARE = 0.01
 
 
 def rebuild_gold(lake: Lake, full: bool = False, share: float = INCREMENT_SHARE) -> int:

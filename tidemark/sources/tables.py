@@ -371,6 +371,7 @@ class VersionedTable:
             target = _only_values_of(source, target, prune_by, moves=not self.keyed)
         if not source_unique:
             require_unambiguous(source, target, keys)
+        schema = source.schema
         if watch:
             source = self._numbered(source, keys)
         changes = classify(source, target, keys, update_when, compare)
@@ -382,7 +383,7 @@ class VersionedTable:
             num_source = seen.get["rows"] if num_source is None else num_source
         inserted, updated = counts[INSERT], counts[UPDATE]
         return self._publish(
-            log, version, run, source.schema, "MERGE", False, ",".join(keys),
+            log, version, run, schema, "MERGE", False, ",".join(keys),
             source.count() if num_source is None else num_source,
             inserted, updated, log[-1]["rows"] + inserted, label,
         )
