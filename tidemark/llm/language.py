@@ -21,8 +21,10 @@ from tidemark.llm.common import texts_of
 
 #: Bytes of one language's dictionary.
 DICTIONARY_BYTES = 110_000
-#: Sampled documents of one language, on average, and characters taken from each.
-SAMPLE_DOCS, SAMPLE_CHARS = 320, 2_048
+#: Sampled texts of one language, on average, and characters taken from all of them.
+SAMPLE_DOCS, SAMPLE_CHARS = 320, 131_072
+#: Characters of a passage; the passages of a text are spread over the whole of it.
+PASSAGE = 512
 #: Languages that may be learned; more is an error, since the driver builds the dictionaries.
 MAX_LANGUAGES = 256
 #: Bytes compressed at once.
@@ -47,30 +49,43 @@ def plain_words(text: str) -> bytes:
 
 
 def learn(
-    labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id"
+    labelled: DataFrame, lang_col: str = "lang", text_col: str = "text"
 ) -> dict[str, bytes]:
-    """Dictionaries by language from a bounded sample of ``labelled``.
+    """Dictionaries by language from a bounded sample of the texts of ``labelled``.
 
-    Rows without language or text are passed over.  The sample is fixed by a
-    hash of the id, holds about ``SAMPLE_DOCS`` documents of each language, and
-    gives at most ``DICTIONARY_BYTES`` bytes each; equal texts count once.
+    Rows without language or text are passed over, and equal texts count once.
+    The sample is fixed by a hash of the text and holds about ``SAMPLE_DOCS``
+    texts of each language; few texts give more of themselves than many do, in
+    passages spread over the whole text, long or short.  A dictionary has at
+    most ``DICTIONARY_BYTES`` bytes.
     """
     rows = labelled.select(
         F.col(lang_col).alias("lang"),
         F.col(text_col).alias("text"),
-        F.xxhash64(F.col(id_col).cast("string")).alias("h"),
+        F.xxhash64(F.col(text_col)).alias("h"),
     ).filter("lang is not null and text is not null")
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1)
+    # about how many texts there are: it sets the size of the sample only
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).limit(MAX_LANGUAGES + 1)
     counts = {r["lang"]: r["n"] for r in sizes.collect()}
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
     if not counts:
         return {}
-    share = F.lit(0.0)
+    share, passages = F.lit(0.0), F.lit(1)
     for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, min(1.0, SAMPLE_DOCS / n)).otherwise(share)
+        mine = F.col("lang") == lang
+        share = F.when(mine, min(1.0, SAMPLE_DOCS / n)).otherwise(share)
+        each = -(-SAMPLE_CHARS // (min(n, SAMPLE_DOCS) * PASSAGE))
+        passages = F.when(mine, each).otherwise(passages)
     spot = F.pmod("h", F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.filter(spot < share).select("lang", "h", F.substring("text", 1, SAMPLE_CHARS))
+    size = F.length("text")
+    k = F.greatest(F.least(F.ceil(size / PASSAGE), passages), F.lit(1)).cast("int")
+    spread = F.transform(
+        F.sequence(F.lit(0), k - 1),
+        lambda i: F.substr(F.col("text"), F.floor(i * size / k).cast("int") + 1, F.lit(PASSAGE)),
+    )
+    sample = rows.filter(spot < share).select("lang", "h", F.array_join(spread, " ").alias("text"))
+    sample = sample.dropDuplicates(["lang", "h", "text"])
     texts: dict[str, dict[bytes, None]] = {lang: {} for lang in counts}
     for lang, _, text in sorted(map(tuple, sample.collect())):
         texts[lang][plain_words(text)] = None

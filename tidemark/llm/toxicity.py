@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import texts_of
 
-#: Labelled documents used for training, on average, and characters read of each.
-TRAIN_DOCS, TRAIN_CHARS = 4_000, 12_000
+#: Labelled documents used for training, on average; their texts are read whole.
+TRAIN_DOCS = 4_000
 #: Hashed features; lengths of word beginnings that are features beside the word.
 DIMENSIONS = 1 << 20
 BEGINNINGS = (3, 4)
@@ -126,8 +126,10 @@ def learn_chain(
     """A chain learned from about ``TRAIN_DOCS`` labelled documents, chosen by a hash of the id.
 
     Labels are 0 or 1; rows with a null label, id or text are passed over, and
-    of repeated labels one counts.  Without labelled rows every probability is
-    one half.
+    of repeated labels one counts.  Texts are read whole, however long: the
+    driver gets the distinct features of a text.  Repeated rows of a document
+    each count; an empty table, like one without labelled rows, gives a chain
+    whose probabilities are all one half.
     """
     known = labels.select(F.col("doc_id").alias("_id"), *categories).dropna()
     total = known.count()
@@ -137,7 +139,7 @@ def learn_chain(
     known = F.broadcast(known.dropDuplicates(["_id"]))
     rows = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text"))
     rows = rows.join(known, F.col("_doc") == F.col("_id")).filter("text is not null")
-    rows = rows.select("_doc", *categories, F.substring("text", 1, TRAIN_CHARS).alias("text"))
+    rows = rows.select("_doc", *categories, "text")
 
     def run(batches):
         for batch in batches:
