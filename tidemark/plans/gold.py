@@ -30,10 +30,12 @@ def rebuild_gold(lake: Lake, full: bool = False, share: float = INCREMENT_SHARE)
     and replaced.  Otherwise, with ``full``, or if more than ``share`` of
     silver's rows are new, everything is computed.
     """
+    changes = None if full else _changes(lake, share)
+    if changes is None and lake.silver.has_updates():
+        lake.silver.compact()  # once, instead of dropping the old rows at every later read
     built = json.dumps(
         {"silver": lake.silver.latest_version(), "filings": lake.filing_index.latest_version()}
     )
-    changes = None if full else _changes(lake, share)
     if changes is not None:
         return _splice(lake, changes, built)
     facts = lake.silver.read()
