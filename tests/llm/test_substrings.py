@@ -91,3 +91,16 @@ def test_clashing_window_names_are_settled_by_the_second_hash(spark, monkeypatch
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     found = substrings.find_repeats(docs).drop("spans").collect()
     assert sorted(str(tuple(r)) for r in found) == plain(rows)
+
+
+def test_names_at_some_positions_equal_those_at_all():
+    r = random.Random(5)
+    data = bytes(r.randrange(256) for _ in range(400))
+    at = np.array([0, 3, 7, 200, 350])
+    assert np.array_equal(substrings.names_at(data, at), substrings.names(data)[1][at])
+
+
+def test_ids_must_have_an_order_of_numbers(spark):
+    docs = spark.createDataFrame([("a", "x" * 60)], "doc_id string, text string")
+    with pytest.raises(ValueError, match="whole numbers"):
+        substrings.find_repeats(docs)

@@ -30,6 +30,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tidemark.llm import golomb
 from tidemark.llm.common import staged, texts_of, whole_text
@@ -44,6 +45,8 @@ BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
 OWNER_NAMES = 1_500_000
 #: Bits of the names that are exchanged for runs and for windows.
 RUN_BITS, WINDOW_BITS = 48, 62
+#: Kind of the rows that hold a block's own groups.
+OWN_RUNS = 9
 #: Stands for a null id: before all others.
 NO_ID = -(1 << 63)
 
@@ -81,6 +84,17 @@ def names(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return half, _pair(half[:-HALF], half[HALF:])
 
 
+def names_at(data: bytes, at: np.ndarray) -> np.ndarray:
+    """Names of the 50-byte strings at some positions of a text."""
+    if 2 * len(at) > len(data):
+        return names(data)[1][at]
+    words = _words(data)
+    eight = lambda k: _mix(words[at + k] + np.uint64(0x9E3779B97F4A7C15))
+    sixteen = lambda k: _pair(eight(k), eight(k + 8))
+    half = lambda k: _pair(sixteen(k), sixteen(k + HALF - 16))
+    return _pair(half(0), half(HALF))
+
+
 def checks(data: bytes, at: np.ndarray) -> np.ndarray:
     """A second hash of the 50-byte strings at some positions, made without their names."""
     words, x = _words(data), np.full(len(at), 0xD6E8FEB86659FD93, np.uint64)
@@ -109,8 +123,8 @@ def runs(half: np.ndarray, full: np.ndarray) -> tuple[np.ndarray, ...]:
     return first, last, least[first], whole
 
 
-class Block:
-    """The texts of one block with their runs."""
+class Texts:
+    """The texts of one block."""
 
     def __init__(self, row):
         data = zstandard.ZstdDecompressor().decompress(row["payload"])
@@ -118,6 +132,27 @@ class Block:
         self.ids = np.frombuffer(row["ids"], np.int64)
         ends = np.cumsum(sizes, dtype=np.int64)
         self.texts = [data[e - s : e] for e, s in zip(ends.tolist(), sizes.tolist(), strict=True)]
+
+    def windows(self, doc: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Name, second hash, text and place of every window of some runs."""
+        count = last - first + 1
+        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
+        doc = np.repeat(doc, count)
+        order = np.argsort(doc, kind="stable")
+        cuts = np.searchsorted(doc[order], np.arange(len(self.texts) + 1))
+        full, check = np.zeros(len(doc), np.uint64), np.zeros(len(doc), np.uint64)
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            own = order[cuts[k] : cuts[k + 1]]
+            full[own] = names_at(self.texts[k], at[own])
+            check[own] = checks(self.texts[k], at[own])
+        return (full >> np.uint64(64 - WINDOW_BITS)).astype(np.int64), check, doc, at
+
+
+class Block(Texts):
+    """The texts of one block with their runs."""
+
+    def __init__(self, row):
+        super().__init__(row)
         found = [(k, *runs(*names(t))) for k, t in enumerate(self.texts) if len(t) >= LENGTH]
         join = lambda i, kind: (
             np.concatenate([f[i] for f in found]) if found else np.zeros(0, kind)
@@ -148,22 +183,35 @@ class Block:
             out[own] = _mix(both + (last - first).astype(np.uint64))
         return out
 
-    def windows(self, chosen: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Name, second hash, text and place of every window of the chosen runs."""
-        count = self.last[chosen] - self.first[chosen] + 1
-        owner = np.repeat(chosen, count)
-        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + self.first[owner]
-        doc, full = self.doc[owner], np.zeros(len(owner), np.uint64)
-        check = np.zeros(len(owner), np.uint64)
-        for k in np.unique(doc):
-            own = slice(*np.searchsorted(doc, (k, k + 1)))
-            full[own] = names(self.texts[k])[1][at[own]]
-            check[own] = checks(self.texts[k], at[own])
-        return (full >> np.uint64(64 - WINDOW_BITS)).astype(np.int64), check, doc, at
+
+class Members:
+    """Runs of a block whose name is common, by groups of equal runs, in order of ids."""
+
+    def __init__(self, payload: bytes, texts: Texts):
+        data = zstandard.ZstdDecompressor().decompress(payload)
+        groups = int(np.frombuffer(data, np.int64, 1)[0])
+        numbers = np.frombuffer(data, np.int32, offset=8)
+        sizes = numbers[:groups].astype(np.int64)
+        self.doc, self.first, self.last = numbers[groups:].reshape(3, -1).astype(np.int64)
+        self.start = np.cumsum(sizes) - sizes
+        self.group = np.repeat(np.arange(groups), sizes)
+        self.doc_id = texts.ids[self.doc]
+
+    @staticmethod
+    def packed(block: Block, order: np.ndarray, start: np.ndarray, kept: np.ndarray) -> bytes:
+        """The kept ones of a block's groups."""
+        sizes = np.diff(np.r_[start, len(order)])
+        own = order[np.repeat(kept, sizes)]
+        sizes = sizes[kept]
+        columns = (sizes, block.doc[own], block.first[own], block.last[own])
+        data = np.int64(len(sizes)).tobytes() + b"".join(c.astype(np.int32).tobytes() for c in columns)
+        return zstandard.compress(data, 3)
 
 
 def pack(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Blocks of about ``BLOCK_BYTES`` of text: ``block, ids, sizes, payload``."""
+    if not isinstance(docs.schema[id_col].dataType, IntegralType):
+        raise ValueError("ids must be whole numbers: the smaller one keeps its text")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("t"))
 
     def run(batches):
@@ -325,7 +373,8 @@ def _first_round(blocks: DataFrame, owners: int) -> DataFrame:
 
 
 def _second_round(blocks: DataFrame, again: DataFrame, owners: int) -> DataFrame:
-    """Runs repeated as a whole, and runs to be ranked by windows, by their number in the block."""
+    """By block (src, kind, runs): 0 groups of runs repeated as a whole, 1 groups to be
+    ranked by windows, both by their number in the block, and 9 the block's own groups."""
 
     def send(own: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -335,15 +384,19 @@ def _second_round(blocks: DataFrame, again: DataFrame, owners: int) -> DataFrame
             bits = dict(zip(replies["owner"], replies["bits"], strict=True))
             common = listed[_flags(listed, RUN_BITS, owners, bits)]
             order, start = block.groups()
-            first = order[start]
-            first = first[_among(block.name[first], common)]
+            kept = _among(block.name[order[start]], common)
+            first = order[start][kept]
+            own_runs = Members.packed(block, order, start, kept)
+            # on the way with the messages, to nobody else: owners below zero are blocks
+            nobody = -1 - row["block"] % (1 << 30)
+            out.append((row["block"], nobody, 0, 0, b"", own_runs, b"", b"", b"", b"", b""))
             name, whole, doc = block.name[first], block.whole[first], block.doc[first]
             check = block.checks(first)
 
-            def extra(lo, hi, first=first, whole=whole, check=check, doc=doc, block=block):
+            def extra(lo, hi, whole=whole, check=check, doc=doc, block=block):
                 part = slice(lo, hi)
                 docs, ids = _used_ids(block.ids, doc[part])
-                runs_ = first[part].astype(np.int32).tobytes()
+                runs_ = np.arange(lo, hi, dtype=np.int32).tobytes()
                 return whole[part].tobytes(), check[part].tobytes(), runs_, docs, ids
 
             out.extend(_messages(row["block"], name, RUN_BITS, owners, extra))
@@ -352,6 +405,8 @@ def _second_round(blocks: DataFrame, again: DataFrame, owners: int) -> DataFrame
         return pd.DataFrame(out, columns=columns)
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
+        if pdf["owner"].iloc[0] < 0:
+            return pd.DataFrame({"src": pdf["src"], "kind": OWN_RUNS, "runs": pdf["rest"]})
         name, row = _decoded(pdf)
         whole, run = _column(pdf, "whole", np.uint64), _column(pdf, "run", np.int32)
         check = _column(pdf, "check", np.uint64)
@@ -381,15 +436,21 @@ def _second_round(blocks: DataFrame, again: DataFrame, owners: int) -> DataFrame
     return messages.groupBy("owner").applyInPandas(answer, "src long, kind int, runs binary")
 
 
+def _members(replies: pd.DataFrame, texts: Texts) -> Members:
+    (payload,) = replies["runs"][replies["kind"] == OWN_RUNS]
+    return Members(payload, texts)
+
+
 def _marked(replies: pd.DataFrame, kind: int) -> np.ndarray:
-    """Run numbers that replies name for a block."""
+    """Numbers of groups that replies name for a block."""
     parts = [np.frombuffer(x, np.int32) for x in replies["runs"][replies["kind"] == kind]]
     return np.sort(np.concatenate(parts)).astype(np.int64) if parts else np.zeros(0, np.int64)
 
 
-def _window_list(block: Block, chosen: np.ndarray):
-    """Distinct windows of the chosen runs: sorted names, second hashes, first text by id."""
-    name, check, doc, _ = block.windows(chosen)
+def _window_list(block: Texts, runs_: Members, chosen: np.ndarray):
+    """Distinct windows of the chosen groups: sorted names, second hashes, first text by id."""
+    one = runs_.start[chosen]
+    name, check, doc, _ = block.windows(runs_.doc[one], runs_.first[one], runs_.last[one])
     order = np.lexsort((block.ids[doc], check, name))
     start = np.flatnonzero(_changes(name[order], check[order]))
     return name[order[start]], check[order[start]], doc[order[start]]
@@ -416,8 +477,8 @@ def _third_round(blocks: DataFrame, marks: DataFrame, owners: int) -> DataFrame:
         out = []
         chosen = _marked(replies, 1)
         for row in own.to_dict("records") if len(chosen) else ():
-            block = Block(row)
-            listed, check, doc = _window_list(block, chosen)
+            block = Texts(row)
+            listed, check, doc = _window_list(block, _members(replies, block), chosen)
 
             def extra(lo, hi, check=check, doc=doc, block=block):
                 return check[lo:hi].tobytes(), *_used_ids(block.ids, doc[lo:hi])
@@ -452,7 +513,7 @@ def _removed(blocks: DataFrame, replies: DataFrame, owners: int) -> DataFrame:
     def judge(own: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
         for row in own.to_dict("records"):
-            block = Block(row)
+            block = Texts(row)
             doc, start, end = _repeated(block, replies, owners)
             order = np.argsort(doc, kind="stable")
             doc, start, end = doc[order], start[order], end[order]
@@ -472,30 +533,26 @@ def _removed(blocks: DataFrame, replies: DataFrame, owners: int) -> DataFrame:
     )
 
 
-def _repeated(block: Block, replies: pd.DataFrame, owners: int):
+def _repeated(block: Texts, replies: pd.DataFrame, owners: int):
     """Text, first byte and end of everything repeated in a block."""
-    order, start = block.groups()
-    group = np.zeros(len(order), np.int64)
-    count = np.diff(np.r_[start, len(order)])
-    group[order] = np.repeat(np.arange(len(start)), count)
-    first_id = block.doc_id[order[start]]
-    gone = block.doc_id > first_id[group]
-    named = np.zeros(len(start), bool)
-    named[group[_marked(replies, 0)]] = True
-    gone |= named[group]
-    doc, at, end = block.doc[gone], block.first[gone], block.last[gone] + LENGTH
+    runs_ = _members(replies, block)
+    groups = len(runs_.start)
+    named = np.zeros(groups, bool)
+    named[_marked(replies, 0)] = True
+    gone = (runs_.doc_id > runs_.doc_id[runs_.start][runs_.group]) | named[runs_.group]
+    doc, at, end = runs_.doc[gone], runs_.first[gone], runs_.last[gone] + LENGTH
     chosen = _marked(replies, 1)
     if not len(chosen):
         return doc, at, end
-    listed, checked, owner_doc = _window_list(block, chosen)
+    listed, checked, owner_doc = _window_list(block, runs_, chosen)
     bits = replies[replies["kind"] == 2]
     bits = dict(zip(bits["owner"], bits["runs"], strict=True))
     later = _flags(listed, WINDOW_BITS, owners, bits)
     # equal runs of the same text share the fate of the chosen one
-    same = np.zeros(len(start), bool)
-    same[group[chosen]] = True
-    equal = np.flatnonzero(same[group] & ~gone)
-    name, check, w_doc, w_at = block.windows(equal)
+    same = np.zeros(groups, bool)
+    same[chosen] = True
+    equal = same[runs_.group] & ~gone
+    name, check, w_doc, w_at = block.windows(runs_.doc[equal], runs_.first[equal], runs_.last[equal])
     k = _places(listed, checked, name, check)
     out = later[k] | (block.ids[w_doc] > block.ids[owner_doc[k]])
     return (
