@@ -6,8 +6,10 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidemark.llm import exact, golomb, simhash
+from tidemark.llm.common import staged
 from tidemark.llm.components import connected_components
 
 LONG = "the quick brown fox jumps over the lazy dog and runs to the hills " * 4000
@@ -53,6 +55,37 @@ def test_exact_collisions_are_settled_by_bytes(spark, monkeypatch):
         assert r.group_size == (2 if r.doc_id < 130 or r.doc_id >= 170 else 1)
 
 
+def test_exact_texts_move_for_suspects_only(spark):
+    """Before the byte comparison nothing is exchanged, and few rows without a twin get there."""
+    docs = spark.range(20_000).selectExpr(
+        "id", "concat('text ', IF(id < 1000, id % 500, id)) AS t"
+    ).repartition(6)
+    base = docs.withColumn("h", F.xxhash64("t"))
+    rows = staged(base.select("h", F.spark_partition_id().alias("src")), "test-rows")
+    found = staged(exact.suspects(rows, 20_000), "test-suspects")
+    twins = {r.h for r in base.filter("id < 1000").select("h").distinct().collect()}
+    got = {r.h for r in found.collect()}
+    assert twins <= got and len(got - twins) < 20_000 * 2 / exact.SPREAD
+    passed = exact.named(staged(base, "test-texts"), found)
+    plan = passed._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan.split("BroadcastExchange")[0]
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert passed.filter("id < 1000").count() == 1000
+    assert passed.count() < 1000 + 19_000 // 8
+
+
+def test_exact_copies_of_one_text_everywhere(spark, monkeypatch):
+    """Many copies in many partitions, a bitmap of one word: each partition sends one fingerprint."""
+    monkeypatch.setattr(exact, "FILTER_WORDS", 1)
+    docs = spark.range(3000).selectExpr(
+        "id AS doc_id", "IF(id % 3 = 0, 'the same', concat('own ', id)) AS text"
+    )
+    got = {r.doc_id: tuple(r)[1:4] for r in exact.duplicate_groups(docs.repartition(7)).collect()}
+    assert len(got) == 3000
+    for i, row in got.items():
+        assert row == ((2997, 1000, i == 2997) if i % 3 == 0 else (i, 1, True))
+
+
 def test_empty_tables(no_docs):
     assert exact.duplicate_groups(no_docs).count() == 0
     assert exact.drop_duplicates(no_docs).count() == 0
