@@ -80,6 +80,21 @@ def test_wu_manber_finds_all(seed):
     assert {i for _, _, i in got} == found
 
 
+def test_equal_windows_are_stored_once():
+    """A preamble that all items share, and an item of one word over and over."""
+    preamble = " ".join(f"p{i}" for i in range(40))
+    items = [(str(i), f"{preamble} own{i}") for i in range(300)] + [("again", "word " * 500)]
+    (m,) = decontaminate.matchers(items)
+    held = [w for same in m.ends.values() for windows in same.values() for w, _ in windows]
+    assert len(held) == len(set(map(tuple, held))) == 28 + 300 + 1
+    words = decontaminate.words_of(f"x {preamble} y " + "word " * 60)
+    got = list(m.hits(words))
+    assert len(got) == 28 + 48
+    hit, found = plain_hits(words, [(i, decontaminate.words_of(t)) for i, t in items])
+    assert {p for s, e, _ in got for p in range(s, e)} == hit
+    assert set().union(*(own for _, _, own in got)) == found == {i for i, _ in items}
+
+
 def test_contamination_in_several_passes(spark, sf, monkeypatch):
     docs, items = table(spark, sf, "documents"), table(spark, sf, "benchmark")
     once = decontaminate.find_contamination(docs, items).collect()

@@ -2,8 +2,9 @@
 
 The alphabet is words, not characters: a block is two neighbouring words.  The
 shift table says how far the next place can be at which a benchmark window
-could end; only where the shift is zero are the windows with that last block
-compared word by word.
+could end; only where the shift is zero are the windows with that last block and
+with the first block found there compared word by word.  A window that several
+items have, or one item several times, is stored once with the set of its items.
 """
 
 from __future__ import annotations
@@ -45,23 +46,30 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class Matcher:
-    """Shift and suffix tables for windows of at least ``m`` words."""
+    """Shift, suffix and prefix tables for distinct windows of at least ``m`` words."""
 
     def __init__(self, m: int, windows: Iterable[tuple[str, list[bytes], int, int]]):
         self.m, self.width = m, min(m, 2)
-        self.shift: dict[tuple[bytes, ...], int] = {}
-        self.ends: dict[tuple[bytes, ...], list[tuple[str, list[bytes]]]] = {}
+        owners: dict[tuple[bytes, ...], set[str]] = {}
         for item, words, start, size in windows:
+            owners.setdefault(tuple(words[start : start + size]), set()).add(item)
+        self.shift: dict[tuple[bytes, ...], int] = {}
+        self.ends: dict[tuple, dict[tuple, list[tuple[list[bytes], frozenset[str]]]]] = {}
+        shared: dict[frozenset[str], frozenset[str]] = {}
+        for window, found in owners.items():
+            items = frozenset(found)
+            items = shared.setdefault(items, items)
             for end in range(self.width, m + 1):
-                block = tuple(words[start + end - self.width : start + end])
+                block = window[end - self.width : end]
                 left = m - end
                 if left < self.shift.get(block, m):
                     self.shift[block] = left
-            last = tuple(words[start + m - self.width : start + m])
-            self.ends.setdefault(last, []).append((item, words[start : start + size]))
+            same_end = self.ends.setdefault(window[m - self.width : m], {})
+            same_start = same_end.setdefault(window[: self.width], [])
+            same_start.append((list(window), items))
 
-    def find(self, words: list[bytes]) -> Iterable[tuple[int, int, str]]:
-        """(start, end, item) of every occurrence."""
+    def hits(self, words: list[bytes]) -> Iterable[tuple[int, int, frozenset[str]]]:
+        """(start, end, items) of every occurrence of a window."""
         m, width, shift, n = self.m, self.width, self.shift, len(words)
         most = m - width + 1
         i = m
@@ -71,11 +79,18 @@ class Matcher:
             if step:
                 i += step
                 continue
-            for item, window in self.ends[block]:
-                if words[i - m : i - m + len(window)] == window:
-                    yield i - m, i - m + len(window), item
+            start = i - m
+            for window, items in self.ends[block].get(tuple(words[start : start + width]), ()):
+                if words[start : start + len(window)] == window:
+                    yield start, start + len(window), items
             i += 1
 
+    def find(self, words: list[bytes]) -> Iterable[tuple[int, int, str]]:
+        """(start, end, item) of every occurrence."""
+        for start, end, items in self.hits(words):
+            for item in items:
+                yield start, end, item
+
 
 def matchers(items: Iterable[tuple[str, str]], window: int = WINDOW) -> list[Matcher]:
     """Matchers for all windows of the items, one for each class of lengths."""
@@ -129,7 +144,8 @@ def find_contamination(
     word positions, start and end, merged).  ``benchmark`` holds ``item_id`` and
     ``text``.  Null and wordless texts on either side match nothing; an item
     that repeats counts once; a null item id counts as the empty string.  Rows
-    that repeat a doc_id are judged one by one.
+    that repeat a doc_id are judged one by one.  An empty table of documents gives
+    no rows, an empty benchmark finds nothing.  Other columns are ignored.
     """
     state = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     id_type = state.schema["doc_id"].dataType.simpleString()
@@ -158,11 +174,13 @@ def _search(state: DataFrame, items, window: int, resumed: bool, last: bool, id_
             out = []
             for row, text in enumerate(texts_of(batch, names.index("text"))):
                 words = words_of(text)
-                spans, found = [], set()
+                spans, found, sets = [], set(), set()
                 for m in tables:
-                    for start, end, item in m.find(words):
+                    for start, end, own in m.hits(words):
                         spans.append((start, end))
-                        found.add(item)
+                        if own not in sets:
+                            sets.add(own)
+                            found |= own
                 if resumed:
                     spans += np.frombuffer(old[row].as_py(), np.int32).reshape(-1, 2).tolist()
                     found |= set(old_items[row].as_py())
@@ -226,7 +244,7 @@ def _sift(state: DataFrame, items, at: int, spans: str, window: int, resumed: bo
             out = []
             for row, text in enumerate(texts_of(batch, at)):
                 words = words_of(text)
-                hits = [(s, e) for m in tables for s, e, _ in m.find(words)]
+                hits = [(s, e) for m in tables for s, e, _ in m.hits(words)]
                 if resumed:
                     old = np.frombuffer(batch.column(own)[row].as_py(), np.int32)
                     hits += old.reshape(-1, 2).tolist()
