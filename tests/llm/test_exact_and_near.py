@@ -149,6 +149,34 @@ def test_close_links_lose_nothing(spark, monkeypatch, leaf, shard_rows):
     assert len({g.pop() for g in groups.values()}) == len(groups)
 
 
+def test_shards_grow_with_the_rows(spark, monkeypatch):
+    """Large shards are dealt again: none stays above the limit, and no link is lost."""
+    for name, value in (("SAMPLE", 64), ("LEAST_SAMPLE", 8), ("SHARD_ROWS", 50)):
+        monkeypatch.setattr(simhash, name, value)
+    r = random.Random(5)
+    prints = {r.getrandbits(64) for _ in range(1500)}
+    prints = sorted(prints | {x ^ (1 << r.randrange(64)) for x in sorted(prints)[:300]})
+    signed = np.array(prints, dtype=np.uint64).view(np.int64).tolist()
+    frame = spark.createDataFrame([(x,) for x in signed], "fp long").repartition(3)
+    shards = {}
+    for limit in (100_000, 250):
+        monkeypatch.setattr(simhash, "SHARD_LIMIT", limit)
+        sizes = simhash.shards_of(frame).groupBy("shard").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if("stored").alias("held")
+        )
+        rows = sizes.collect()
+        assert sum(x.held for x in rows) == len(prints)
+        assert all(x.n <= limit or x.held <= 8 for x in rows)
+        shards[limit] = len(rows)
+    assert shards[250] > 2 * shards[100_000]
+    found = {x.node: x.root for x in connected_components(simhash.close_links(frame)).collect()}
+    groups = {}
+    for x, w in zip(signed, plain_components(prints), strict=True):
+        groups.setdefault(w, set()).add(found.get(x, x))
+    assert all(len(g) == 1 for g in groups.values())
+    assert len({g.pop() for g in groups.values()}) == len(groups)
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(300).selectExpr("id AS a", "id + 1 AS b")
     assert {r.root for r in connected_components(edges).collect()} == {0}

@@ -4,12 +4,15 @@ Distinct fingerprints are dealt to shards by a vantage-point tree that is
 fitted on a bounded sample: a node sends a fingerprint inward when its Hamming
 distance to the vantage point is at most the radius.  A fingerprint within
 ``RADIUS`` of the boundary also visits the other side, so every close pair
-meets in some shard.  Inside a shard the same recursion goes on down to small
-leaves, where distances are compared outright.
+meets in some shard.  A shard that comes out larger than one task should hold is
+dealt again by a tree of its own, so the number of shards grows with the rows.
+Inside a shard the same recursion goes on down to small leaves, where distances
+are compared outright.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +33,8 @@ RADIUS = 2
 SHARD_ROWS, SAMPLE = 4_000, 8_192
 #: Sampled fingerprints behind each shard boundary, at least.
 LEAST_SAMPLE = 16
+#: Rows that one task compares; a larger shard is dealt again by a tree of its own.
+SHARD_LIMIT = 1_000_000
 #: Leaves of at most so many stored fingerprints are compared outright.
 LEAF = 48
 #: Stored fingerprints compared with all visitors at once.
@@ -127,9 +132,11 @@ def sides(prints: np.ndarray, stored: np.ndarray, point, radius) -> Iterator[tup
     yield np.where(stored, ~inward, d > radius - RADIUS), stored & ~inward
 
 
-def route(tree: Node, prints: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def route(
+    tree: Node, prints: np.ndarray, stored: np.ndarray
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(shard, positions, stored) for all shards that the fingerprints go to."""
-    todo = [(tree, np.arange(len(prints)), np.ones(len(prints), dtype=bool))]
+    todo = [(tree, np.arange(len(prints)), stored)]
     while todo:
         node, at, stored = todo.pop()
         if not len(at):
@@ -190,28 +197,115 @@ def compare(prints: np.ndarray, at: np.ndarray, own: np.ndarray, groups: Groups)
             groups.join(at[row])
 
 
+DEALT = "shard long, fp long, stored boolean"
+
+
+def _fitted(signed: np.ndarray, leaf: int) -> tuple[Node, int]:
+    sample = np.sort(signed).view(np.uint64)
+    np.random.default_rng(SEED).shuffle(sample)
+    return fit_tree(sample, leaf)
+
+
+def _sampled(prints: DataFrame, share) -> DataFrame:
+    """Fingerprints picked by a hash of their own, about ``share`` of them."""
+    spot = F.pmod(F.xxhash64("fp"), F.lit(1 << 30))
+    return prints.filter(spot < F.least(share, F.lit(1.0)) * F.lit(float(1 << 30)))
+
+
+def _deal(rows: DataFrame, trees: dict[int, tuple[Node, int]]) -> DataFrame:
+    """Rows of the shards in ``trees`` dealt on; a tree comes with its first new shard's number."""
+    shared = rows.sparkSession.sparkContext.broadcast(trees)
+
+    def run(batches):
+        for batch in batches:
+            shards, signed = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            stored = batch.column(2).to_numpy(zero_copy_only=False)
+            for old in np.unique(shards).tolist():
+                tree, first = shared.value[old]
+                own = np.flatnonzero(shards == old)
+                for shard, at, stays in route(tree, signed[own].view(np.uint64), stored[own]):
+                    columns = [
+                        pa.array(np.full(len(at), first + shard, np.int64)),
+                        pa.array(signed[own[at]]),
+                        pa.array(stays),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, ["shard", "fp", "stored"])
+
+    return rows.mapInArrow(run, DEALT)
+
+
+def _second_trees(
+    rows: DataFrame, large: DataFrame, first: int
+) -> tuple[dict[int, tuple[Node, int]], int]:
+    """A tree for each shard named in ``large`` (shard, n, held), fitted on its stored rows.
+
+    New shards are numbered from ``first``; the next free number is given back.
+
+    Each is fitted in a task of its own on a sample of about ``SAMPLE``; the
+    trees are small, and there is one for every ``SHARD_LIMIT`` rows at most.
+    """
+    sized = rows.filter("stored").join(F.broadcast(large), "shard")
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        wanted = SHARD_LIMIT / 2 / pdf["n"].iloc[0]
+        leaf = max(LEAST_SAMPLE, int(len(pdf) * wanted))
+        tree, count = _fitted(pdf["fp"].to_numpy(), leaf)
+        return pd.DataFrame(
+            {"shard": [pdf["shard"].iloc[0]], "tree": [pickle.dumps(tree)], "count": [count]}
+        )
+
+    sample = _sampled(sized, SAMPLE / F.col("held"))
+    found = sample.groupBy("shard").applyInPandas(fit, "shard long, tree binary, count long")
+    trees = {}
+    for shard, tree, count in sorted(tuple(r) for r in found.collect()):
+        if count > 1:
+            trees[shard] = (pickle.loads(bytes(tree)), first)
+            first += count
+    return trees, first
+
+
+def shards_of(prints: DataFrame) -> DataFrame:
+    """Distinct fingerprints ``fp`` dealt to shards: ``shard, fp, stored``.
+
+    Every fingerprint is stored in one shard and visits all where a close one
+    may be stored.  Shards of more than ``SHARD_LIMIT`` rows are dealt again
+    until there are none, or only such whose sample of stored fingerprints has
+    at most ``LEAST_SAMPLE``, which a tree cannot split.
+    """
+    total = prints.count()
+    sample = _sampled(prints, F.lit(SAMPLE / max(1, total)))
+    sample = np.array([r[0] for r in sample.select("fp").collect()], dtype=np.int64)
+    leaf = max(LEAST_SAMPLE, int(SHARD_ROWS * len(sample) / max(1, total)))
+    tree, count = _fitted(sample, leaf)
+    whole = prints.select(F.lit(0).cast("long").alias("shard"), "fp", F.lit(True).alias("stored"))
+    dealt = staged(_deal(whole, {0: (tree, 0)}), "simhash-shards")
+    done = []
+    while True:
+        sizes = dealt.groupBy("shard").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if("stored").alias("held")
+        )
+        large = sizes.filter((F.col("n") > SHARD_LIMIT) & (F.col("held") > LEAST_SAMPLE))
+        large = staged(large, "simhash-large")
+        if large.isEmpty():
+            break
+        trees, count = _second_trees(dealt, large, count)
+        if not trees:
+            break
+        names = dealt.sparkSession.createDataFrame([(x,) for x in trees], "shard long")
+        done.append(dealt.join(F.broadcast(names), "shard", "left_anti"))
+        again = dealt.join(F.broadcast(names), "shard", "left_semi").select("shard", "fp", "stored")
+        dealt = staged(_deal(again, trees), "simhash-shards")
+    for part in done:
+        dealt = dealt.unionByName(part)
+    return dealt
+
+
 def close_links(prints: DataFrame) -> DataFrame:
     """Links (a, b) that join exactly the distinct fingerprints ``fp`` that are close.
 
     A shard gives one link per member of a group found in it, to the group's
     smallest fingerprint, never all pairs.
     """
-    total = prints.count()
-    spot = F.pmod(F.xxhash64("fp"), F.lit(1 << 30))
-    sample = prints.filter(spot < int((1 << 30) * min(1.0, SAMPLE / max(1, total))))
-    sample = np.sort(np.array([r[0] for r in sample.collect()], dtype=np.int64)).view(np.uint64)
-    np.random.default_rng(SEED).shuffle(sample)
-    leaf = max(LEAST_SAMPLE, int(SHARD_ROWS * len(sample) / max(1, total)))
-    tree, shards = fit_tree(sample, leaf)
-
-    def deal(batches):
-        for batch in batches:
-            signed = batch.column(0).to_numpy()
-            for shard, at, stored in route(tree, signed.view(np.uint64)):
-                columns = [pa.array(np.full(len(at), shard, np.int32)), pa.array(signed[at])]
-                yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(stored)], ["shard", "fp", "stored"]
-                )
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("fp", ignore_index=True)
@@ -220,8 +314,7 @@ def close_links(prints: DataFrame) -> DataFrame:
         moved = roots != np.arange(len(roots))
         return pd.DataFrame({"a": signed[moved], "b": signed[roots[moved]]})
 
-    dealt = prints.select("fp").mapInArrow(deal, "shard int, fp long, stored boolean")
-    return dealt.groupBy("shard").applyInPandas(link, "a long, b long")
+    return shards_of(prints).groupBy("shard").applyInPandas(link, "a long, b long")
 
 
 def near_duplicates(
@@ -233,7 +326,8 @@ def near_duplicates(
     words (a shorter text is one shingle).  Null and wordless texts have
     fingerprint zero and are linked like any others.  ``component_id`` is the
     smallest doc_id reachable over links; null ids count only where a component
-    has no other.  Rows that repeat an id are documents of their own.
+    has no other.  Rows that repeat an id are documents of their own.  Texts of any
+    length are read whole; an empty table gives no rows; other columns are ignored.
     """
     return _in_components(docs, id_col, text_col).select(
         F.col("id").alias("doc_id"),
