@@ -333,6 +333,10 @@ GOOD = "The cat sat on the mat and it was good for all of us to see that it is s
         (f"<main><p>{GOOD}</main><div id='comments'><p>{GOOD}</div>", GOOD.strip()),
         ("<article><p>one<!-- hidden <p>two --></p><div class='ad box'>buy</div><p>three", "one\nthree"),
         ("<article><p>cut <b>here</b> and <a hre", "cut here and"),
+        ("<article><p>a<p class='share-price'>b<section class='related-work'><p>c</section></article>", "a\nb\nc"),
+        ("<article><p>a</p><blockquote class='quote-banner'>b</blockquote><div class='share-links'>c</div>", "a\nb"),
+        (f"<nav><a href=x>Home</a><ul><li>More<article><p>{GOOD}</p></article>", GOOD.strip()),
+        (f"<article><p>Teaser.</p></article><p>{GOOD}</p><p>{GOOD}</p>", f"Teaser.\n{GOOD.strip()}\n{GOOD.strip()}"),
     ],
 )
 def test_main_text(html, text):

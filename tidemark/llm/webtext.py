@@ -37,6 +37,12 @@ NAMED = frozenset(
     "nav navbar navigation newsletter notice notices pagination popup promo promoted related replies "
     "reply respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Words beside them in such names that only say where or how a block stands.
+LAYOUT = frozenset(
+    "area bar block body bottom box btn column container content fixed global group inner item items left "
+    "link links list main outer page panel primary right row secondary section site slot sticky thread top "
+    "unit wrap wrapper zone".split()
+)
 #: Frequent function words of the languages at hand.
 STOP_WORDS = frozenset(
     "a and are as at be been but by for from had has have he her his i in is it its not of on or she "
@@ -81,10 +87,12 @@ class Block:
 
 
 def _named_boilerplate(attributes: str) -> bool:
+    """Whether a whole name says boilerplate: ``ad-box`` does, ``share-price`` does not."""
     for _, *values in ATTRIBUTE.findall(attributes):
-        parts = {x.lower() for x in NAME_PARTS.findall("".join(values))}
-        if not parts.isdisjoint(NAMED):
-            return True
+        for name in "".join(values).split():
+            parts = {x.lower() for x in NAME_PARTS.findall(name)}
+            if not parts.isdisjoint(NAMED) and parts <= NAMED | LAYOUT:
+                return True
     return False
 
 
@@ -93,7 +101,8 @@ def blocks_of(html: str) -> list[Block]:
 
     Tags may be missing or crossed: an end tag closes everything inside the
     nearest open element of its name, an unknown one only ends the block, and a
-    paragraph ends where another block begins.  Unfinished markup at the end of
+    paragraph ends where another block begins.  A menu left open ends where an
+    article begins.  Unfinished markup at the end of
     a cut page is markup still.
     """
     found: list[Block] = []
@@ -145,6 +154,8 @@ def blocks_of(html: str) -> list[Block]:
                 if top()[0] == implied:
                     stack.pop()
                     still_open[implied] -= 1
+            while name in SECTIONS and still_open["nav"]:
+                still_open[stack.pop()[0]] -= 1
             if name not in VOID:
                 _, dropped, section = top()
                 if name in SECTIONS and not section:
@@ -188,10 +199,13 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     blocks = blocks_of(html)
-    has_section = any(b.section and not b.dropped for b in blocks)
-    by_section: dict[int, list[Block]] = {}
     for b in blocks:
         b.label = judge(b)
+    # an article counts as such unless more text outside is main text by itself
+    inside = sum(len(b.text) for b in blocks if b.section and not b.dropped)
+    has_section = inside > sum(len(b.text) for b in blocks if not b.section and b.label)
+    by_section: dict[int, list[Block]] = {}
+    for b in blocks:
         if has_section and not b.section:
             b.label = False
         if not b.dropped:
@@ -233,7 +247,9 @@ def extract_main_text(
 ) -> DataFrame:
     """One row per page: ``page_id, url, text, n_chars``; null and empty pages give empty text.
 
-    Nothing is cut: pages and blocks of any length are read whole.
+    Nothing is cut: pages and blocks of any length are read whole.  Rows that
+    repeat are extracted one by one, an empty table gives no rows, other columns
+    are ignored.
     """
     rows = pages.select(
         F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")
