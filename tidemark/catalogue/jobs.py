@@ -15,12 +15,13 @@ from tidemark.catalogue.base import (
     SQL_RAW,
     SQL_REGISTRY,
     SQL_SILVER,
+    filed_facts,
     order_rows,
     quarter_registry,
     query,
     raw_facts,
     raw_filings,
-    table,
+    stored,
     text,
 )
 from tidemark.functions.casting import cast_filings
@@ -37,24 +38,34 @@ from tidemark.plans.lake import Lake
 from tidemark.plans.publish import Published, write_audit_publish
 from tidemark.plans.silver import run_silver
 from tidemark.session import scratch_folder
+from tidemark.sources.tables import move_folder
 
 _NOW = "2024-01-01 00:00:00"
 _SCOPED = "segments IS NULL AND coreg IS NULL"
 
 
 def _write_sources(spark, sf, folder, quarter_of_row=None, shape=lambda facts: facts):
-    """Fact and filing TSVs; one quarter folder per value of ``quarter_of_row``."""
-    filings, facts = raw_filings(spark, sf), raw_facts(spark, sf)
+    """Fact and filing TSVs; one quarter folder per value of ``quarter_of_row``.
+
+    Facts meet their filings once, and all quarters are written by one job.
+    """
+    filings = raw_filings(spark, sf)
     filings = filings.withColumn("_q", quarter_of_row if quarter_of_row is not None else F.lit("2001q4"))
-    facts = shape(facts.join(filings.select("adsh", "_q"), "adsh").select(*facts.columns, "_q"))
+    facts = shape(filed_facts(spark, sf, filings.select("adsh", "_q")))
     quarters = [r["_q"] for r in filings.select("_q").distinct().orderBy("_q").collect()]
     for df, name in ((facts, "num.txt"), (filings, "sub.txt")):
+        _tsv(df.write.partitionBy("_q"), f"{folder}/{name}")
         for q in quarters:
-            own = df.filter(F.col("_q") == q).drop("_q")
-            own.write.option("header", True).option("sep", "\t").csv(f"{folder}/{q}/{name}")
+            place = f"{folder}/{q.replace('-', '/')}/{name}"
+            if not move_folder(spark, f"{folder}/{name}/_q={q}", place):
+                _tsv(df.drop("_q").limit(0).write, place)  # no row, but the header
     return quarters
 
 
+def _tsv(writer, path):
+    writer.option("header", True).option("sep", "\t").option("compression", "gzip").csv(path)
+
+
 def _frames(spark, sf, batch_id="b1"):
     stamp = {INGEST_TS: instant(_NOW), BATCH_ID: F.lit(batch_id)}
     return raw_facts(spark, sf).withColumns(stamp), cast_filings(raw_filings(spark, sf), FILED)
@@ -229,15 +240,21 @@ def gold_increment(spark, sf):
 def _second_delivery(spark, sf) -> Lake:
     """New filings, corrected facts and moved filings on top of a built gold."""
     lake = _lake(spark)
-    facts, filings = _frames(spark, sf)
+    filings = cast_filings(raw_filings(spark, sf), FILED)
     later = filings.filter(_LATER).select("adsh")
-    early = filings.join(later, "adsh", "left_anti")
-    run_batch(lake, facts.join(later, "adsh", "left_anti"), early, "b1", _NOW)
+    early = stored(filings.join(later, "adsh", "left_anti"), "filings")
     third = filings.filter(F.col("cik") % 3 == 0)
+    marks = {"_later": F.expr(_LATER), "_third": F.col("cik") % 3 == 0}
+    marked = filings.groupBy("adsh").agg(*[F.bool_or(v).alias(k) for k, v in marks.items()])
+    facts = filed_facts(spark, sf, marked, "left").fillna(False, list(marks))
+    facts = stored(facts, "facts")  # a batch is read more than once
+    new, old = facts.filter("_later").drop(*marks), facts.filter("NOT _later")
+    first = old.drop(*marks).withColumns({BATCH_ID: F.lit("b1"), INGEST_TS: instant(_NOW)})
+    run_batch(lake, first, early, "b1", _NOW)
     moved = F.when(F.col("cik") % 30 == 0, F.col("cik") + 1_000_000).otherwise(F.col("cik"))
-    corrected = facts.filter("tag = 'A'").join(early.filter("cik % 3 = 0").select("adsh"), "adsh", "left_semi")
+    corrected = old.filter("tag = 'A' AND _third").drop(*marks)
     raised = (F.col("value").cast("decimal(28,4)") + 1).cast("decimal(28,4)").cast("string")
-    batch = facts.join(later, "adsh", "left_semi").unionByName(corrected.withColumn("value", raised))
+    batch = new.unionByName(corrected.withColumn("value", raised))
     at = "2024-02-01 00:00:00"
     batch = batch.withColumns({BATCH_ID: F.lit("b2"), INGEST_TS: instant(at)})
     run_batch(lake, batch, third.withColumn("cik", moved), "b2", at, share=1.0)
@@ -251,14 +268,14 @@ def _second_delivery(spark, sf) -> Lake:
 def end_to_end_as_of(spark, sf):
     """Two batches, the later filings first, then what was known on the date."""
     lake = _lake(spark)
-    facts, filings = _frames(spark, sf)
-    late = filings.filter(F.col("accepted") >= instant("1998-01-01 00:00:00"))
-    early = filings.filter(F.col("accepted") < instant("1998-01-01 00:00:00"))
-    for batch, half, at in (("b-late", late, _NOW), ("b-early", early, "2024-02-01 00:00:00")):
-        rows = facts.join(half.select("adsh"), "adsh", "left_semi").withColumns(
-            {BATCH_ID: F.lit(batch), INGEST_TS: instant(at)}
-        )
-        run_batch(lake, rows, half, batch, at)
+    filings = cast_filings(raw_filings(spark, sf), FILED)
+    is_late = F.col("accepted") >= instant("1998-01-01 00:00:00")
+    halves = filings.groupBy("adsh").agg(F.bool_or(is_late).alias("_late"), F.bool_or(~is_late).alias("_early"))
+    placed = stored(filed_facts(spark, sf, halves), "facts")  # a batch is read more than once
+    for half, filed, at in (("late", is_late, _NOW), ("early", ~is_late, "2024-02-01 00:00:00")):
+        stamps = {BATCH_ID: F.lit(f"b-{half}"), INGEST_TS: instant(at)}
+        rows = placed.filter(f"_{half}").drop("_late", "_early").withColumns(stamps)
+        run_batch(lake, rows, filings.filter(filed), f"b-{half}", at)
     return _show(as_of(lake.gold, AS_OF))
 
 
@@ -292,14 +309,15 @@ _SQL_BACKFILL = f"""{SQL_RAW}, placed AS (
 def _resumed(spark, sf) -> Lake:
     """A backfill whose middle quarter is refused and whose gold fails, then run again.
 
-    The middle quarter comes with colliding keys first and is delivered anew.
+    The middle quarter comes with colliding keys first and is delivered anew, alone.
     """
-    lake = _lake(spark)
-    first, second = scratch_folder(spark, "source"), scratch_folder(spark, "source")
+    lake, first = _lake(spark), scratch_folder(spark, "source")
+    second = f"{first}/again"
     quarter = F.expr(_QUARTER_OF)
+    sent = F.explode(F.when(quarter == "1998q4", F.array(quarter, F.lit("again-1998q4"))).otherwise(F.array(quarter)))
     broken = F.when(F.col("_q") == "1998q4", "v1").otherwise(F.col("version"))
-    quarters = _write_sources(spark, sf, first, quarter, lambda f: f.withColumn("version", broken))
-    _write_sources(spark, sf, second, quarter)
+    quarters = _write_sources(spark, sf, first, sent, lambda f: f.withColumn("version", broken))
+    quarters = [q for q in quarters if not q.startswith("again")]
 
     def no_gold(lake):
         raise OSError("no space left")

@@ -63,16 +63,20 @@ def build_intervals(
 
 
 def plan_interval_slices(
-    facts: DataFrame, filings: DataFrame, model: FactModel, **options
+    facts: DataFrame,
+    filings: DataFrame,
+    model: FactModel,
+    keys: Sequence[str] | None = None,
+    **options,
 ) -> SlicePlan | None:
-    """Slice plan for :func:`build_intervals`.
+    """Slice plan for :func:`build_intervals`; for windows over ``keys`` if others are given.
 
     Joins only the planning sample, whose size the planner fixes, so it can be
     broadcast to the filing index instead of shuffling the index for a plan.
     """
     return plan_slices(
         facts,
-        model.natural_key,
+        keys or model.natural_key,
         model.order,
         derive=lambda sampled: attach_filings(F.broadcast(sampled), filings, model),
         **options,

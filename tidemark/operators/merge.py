@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.model import INGEST_TS
@@ -87,6 +87,30 @@ def classify(
     return s.join(t, _same_key(keys), "left").select("s.*", op.alias("op"))
 
 
+def classify_in_place(
+    source: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    update_when: Column | None = None,
+    compare: Sequence[str] = (),
+) -> DataFrame:
+    """:func:`classify` for sides dealt alike by some of the keys: no row moves.
+
+    A join would deal both sides again by the whole key; a window over the key does not.
+    """
+    names, met = source.columns, F.struct(*compare, F.lit(True).alias("_hit"))
+    known = {f.name: F.col(f.name) if f.name in keys else F.lit(None).cast(f.dataType) for f in source.schema}
+    blank = F.lit(None).cast(target.select(met.alias("_t")).schema["_t"].dataType)
+    both = source.select(*names, blank.alias("_t")).union(
+        target.select(*[c.alias(n) for n, c in known.items()], met.alias("_t"))
+    )
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    match = F.when(whole, F.max("_t").over(Window.partitionBy(*keys)))
+    rows = both.withColumn("t", match).filter(F.col("_t").isNull())
+    op = F.when(F.col("t").isNull(), INSERT).when(_condition(update_when), UPDATE).otherwise(NOOP)
+    return rows.withColumn("s", F.struct(*names)).select(*names, op.alias("op"))
+
+
 def merge_metrics(classified: DataFrame) -> DataFrame:
     """``num_source, num_inserted, num_updated, dedupe`` of classified source rows."""
     inserted, updated = F.count_if(F.col("op") == INSERT), F.count_if(F.col("op") == UPDATE)

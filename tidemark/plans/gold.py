@@ -4,15 +4,21 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.model import INGEST_TS
-from tidemark.operators.intervals import build_intervals, plan_interval_slices, validity_intervals
-from tidemark.operators.skew import plan_slices
+from tidemark.model import INGEST_TS, FactModel
+from tidemark.operators.intervals import (
+    attach_filings,
+    build_intervals,
+    plan_interval_slices,
+    validity_intervals,
+)
+from tidemark.operators.skew import SMALL_TABLE_ROWS, plan_slices
 from tidemark.plans.lake import Lake
 from tidemark.plans.silver import RunMetrics, run_silver
 from tidemark.session import scratch_folder
+from tidemark.sources.tables import VersionedTable
 
 
 #: Share of silver's rows up to which changes are spliced into gold; beyond it gold is
@@ -40,8 +46,15 @@ def rebuild_gold(lake: Lake, full: bool = False, share: float = INCREMENT_SHARE)
         return _splice(lake, changes, built)
     facts = lake.silver.read()
     filings = lake.filing_index.read().drop(INGEST_TS)
-    plan = plan_interval_slices(facts, filings, lake.model, at_most=lake.silver.row_count())
-    return lake.gold.overwrite(build_intervals(facts, filings, lake.model, plan), built)
+    n_facts, model = lake.silver.row_count(), lake.model
+    entity = model.natural_key[:1]
+    if _dealt_by_entity(lake, n_facts) and not plan_interval_slices(
+        facts, filings, model, entity, at_most=n_facts
+    ):  # no entity too large for a task: its keys can be windowed where its folder is written
+        rows = lake.gold.deal(attach_filings(facts, filings, model))
+        return lake.gold.overwrite(validity_intervals(rows, model), built)
+    plan = plan_interval_slices(facts, filings, model, at_most=n_facts)
+    return lake.gold.overwrite(build_intervals(facts, filings, model, plan), built)
 
 
 def _changes(lake: Lake, share: float) -> DataFrame | None:
@@ -94,18 +107,44 @@ def _splice(lake: Lake, changes: DataFrame, built: str) -> int:
     if not folders:
         return gold.relabel(built)
     kept = gold.read(folders=folders).join(changes.select(*model.fact_key), list(model.fact_key), "left_anti")
+    names = list(dict.fromkeys((*model.natural_key, model.value, *model.order)))
+    bound = gold.row_count() + lake.silver.row_count()
+    if _dealt_by_entity(lake, bound) and not plan_slices(
+        kept.select(*names).unionAll(at("now").select(*names)), model.natural_key[:1], model.order, at_most=bound
+    ):
+        return gold.replace_folders(_respliced(gold, kept, at, names, model), folders, built)
     same_key = F.lit(True)
     for c in model.natural_key:
         same_key = same_key & F.col(f"g.{c}").eqNullSafe(F.col(f"k.{c}"))
     known = lambda how: kept.alias("g").join(keys.alias("k"), same_key, how)
-    names = list(dict.fromkeys((*model.natural_key, model.value, *model.order)))
     again = known("left_semi").select(*names).unionAll(at("now").select(*names))
-    bound = gold.row_count() + lake.silver.row_count()
     plan = plan_slices(again, model.natural_key, model.order, at_most=bound)
     fresh = validity_intervals(again, model, plan)
     return gold.replace_folders(known("left_anti").unionByName(fresh), folders, built)
 
 
+def _dealt_by_entity(lake: Lake, rows: int) -> bool:
+    """Whether a task may take all rows of a folder of gold, as far as their number goes."""
+    gold = lake.gold
+    return gold.split_by == lake.model.natural_key[0] and rows <= gold.buckets() * SMALL_TABLE_ROWS
+
+
+def _respliced(gold: VersionedTable, kept: DataFrame, at, names: list[str], model: FactModel) -> DataFrame:
+    """Rows of gold after a splice: one deal by entity, where the changed keys are told and windowed.
+
+    ``_how`` is 0 for a row kept, 1 for one of now, 2 for a mark of where one was before.
+    """
+    no_end = F.lit(None).cast("timestamp_ntz").alias("valid_to")
+    marked = lambda rows, how, end: rows.select(*names, end, F.lit(how).alias("_how"))
+    rows = marked(kept, 0, F.col("valid_to"))
+    rows = rows.unionAll(marked(at("now"), 1, no_end)).unionAll(marked(at("before"), 2, no_end))
+    changed = F.max("_how").over(Window.partitionBy(*model.natural_key)) > 0
+    rows = gold.deal(rows).withColumn("_changed", changed).filter("_how < 2")
+    fresh = validity_intervals(rows.withColumnRenamed("valid_to", "_known_to"), model)
+    end = F.when(F.col("_changed"), F.col("valid_to")).otherwise(F.col("_known_to"))
+    return fresh.withColumn("valid_to", end).drop("_how", "_changed", "_known_to")
+
+
 def run_batch(
     lake: Lake,
     facts: DataFrame,

@@ -29,8 +29,9 @@ class Lake:
         self.spark, self.root, self.model = spark, root.rstrip("/"), model
         self.bronze_facts = self._table("bronze/facts")
         self.bronze_filings = self._table("bronze/filings")
-        # merges meet their keys where they lie, and one entity's gold lies in one folder
-        self.silver = self._table("silver", keyed=model.fact_key)
+        # merges and the join of facts with their filings meet their rows where they lie,
+        # and one entity's gold lies in one folder
+        self.silver = self._table("silver", keyed=(model.link,))
         self.filing_index = self._table("silver_filings", keyed=(model.link,))
         self.gold = self._table("gold", split_by=model.natural_key[0])
         self.registry = self._table("registry")

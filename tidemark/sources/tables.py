@@ -26,6 +26,7 @@ import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -34,11 +35,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.frames import one_row
+from tidemark.functions.hashing import row_hash
 from tidemark.operators.merge import (
     INSERT,
     NOOP,
     UPDATE,
     classify,
+    classify_in_place,
     require_unambiguous,
     require_unique,
     unmatched,
@@ -52,7 +55,9 @@ COMMIT_SCHEMA = (
 _LAYOUT = {"v": T.IntegerType(), "run": T.StringType(), "op": T.StringType()}
 #: The folder number of a row in a split table.
 FOLDER = "b"
-_NTH = "_nth_of_key"
+_NTH, _NEWEST = "_nth_of_key", "_newest"
+#: Of every file a table writes: half the size of the default for hashes kept as hex text.
+COMPRESSION = "zstd"
 #: Key values of a batch up to which a merge looks only at table rows that have one of them.
 PRUNE_VALUES = 100_000
 
@@ -92,6 +97,15 @@ class VersionedTable:
         """The folder in which rows with this value of the split column lie."""
         return F.pmod(F.hash(value), F.lit(self.buckets()))
 
+    def deal(self, df: DataFrame) -> DataFrame:
+        """Rows with their folder, one task per folder: Spark deals by the same hash.
+
+        Written as such, they need not move again.
+        """
+        return df.repartition(self.buckets(), self.split_by).withColumn(
+            FOLDER, self.folder_of(F.col(self.split_by))
+        )
+
     # -- log ---------------------------------------------------------------
 
     def commits(self) -> DataFrame:
@@ -192,8 +206,14 @@ class VersionedTable:
     def _current(self, live: list, updating: list, only: Column | None = None) -> DataFrame:
         """Rows of some versions without those that an update among them superseded."""
         rows = self._scan(live, only)
-        if updating:
-            keys = updating[-1]["keys"].split(",")
+        keys = updating[-1]["keys"].split(",") if updating else []
+        if updating and self._deals_by_part_of(keys):
+            # a window stays in the buckets, where a join wants rows dealt by the whole key
+            updated = F.when((F.col("op") == UPDATE) & _whole(keys), F.col("v"))
+            newest = F.max(updated).over(Window.partitionBy(*keys))
+            rows = rows.withColumn(_NEWEST, newest)
+            rows = rows.filter(F.col(_NEWEST).isNull() | (F.col(_NEWEST) <= F.col("v"))).drop(_NEWEST)
+        elif updating:
             newest = (
                 self._scan(updating)
                 .filter(F.col("op") == UPDATE)
@@ -243,7 +263,8 @@ class VersionedTable:
             place = f"{self.root}/data".replace("'", "\\'")
             self.spark.sql(
                 f"CREATE TABLE {name} ({', '.join(columns)}) USING parquet PARTITIONED BY (v, run, op) "
-                f"CLUSTERED BY ({key}) INTO {self.buckets()} BUCKETS LOCATION '{place}'"
+                f"CLUSTERED BY ({key}) INTO {self.buckets()} BUCKETS LOCATION '{place}' "
+                f"TBLPROPERTIES ('parquet.compression' = '{COMPRESSION}')"
             )
         return name
 
@@ -257,14 +278,17 @@ class VersionedTable:
         log = self._log()
         version, run, counts = self._write_part(log, df)
         n = counts[INSERT]
-        return self._publish(log, version, run, df.schema, "WRITE", True, "", n, n, 0, n, label)
+        schema = df.drop(FOLDER).schema if self.split_by else df.schema
+        return self._publish(log, version, run, schema, "WRITE", True, "", n, n, 0, n, label)
 
     def replace_folders(self, df: DataFrame, folders: Sequence[int], label: str = "") -> int:
         """Publish ``df`` as all rows of some folders of a split table; the others stay."""
         log = self._log()
-        aligned = self._aligned(log, df)
+        aligned = self._aligned(log, df.drop(FOLDER))
         gone = self._frame(log, None, F.col(FOLDER).isin(list(folders))).count()
-        version, run, counts = self._write_part(log, aligned)
+        version, run, counts = self._write_part(
+            log, df.select(*aligned.columns, FOLDER) if FOLDER in df.columns else aligned
+        )
         n = counts[INSERT]
         return self._publish(
             log, version, run, aligned.schema, "REPLACE", False, "", n, n, 0,
@@ -304,6 +328,8 @@ class VersionedTable:
 
         ``within`` narrows the target rows that can match, for example to the
         batch being loaded; parquet statistics then skip every other batch.
+        A source with the very keys that are there already is told by its
+        counts and sums of key hashes, so sending it again moves no rows.
         """
         log = self._log()
         if not log:
@@ -315,7 +341,11 @@ class VersionedTable:
         if target.isEmpty():
             fresh, num_source = source, None
         else:
-            fresh, num_source = unmatched(source, target, keys), source.count()
+            sent = _key_print(source, keys)
+            num_source, n_partial = sent[:2]
+            # rows without a whole key match nothing and insert again
+            known = not n_partial and sent == _key_print(target, keys)
+            fresh = source.limit(0) if known else unmatched(source, target, keys)
         version, run, counts = self._write_part(log, fresh)
         n = counts[INSERT]
         return self._publish(
@@ -374,7 +404,10 @@ class VersionedTable:
         schema = source.schema
         if watch:
             source = self._numbered(source, keys)
-        changes = classify(source, target, keys, update_when, compare)
+        if watch and self._deals_by_part_of(keys):
+            changes = classify_in_place(source, target, keys, update_when, compare)
+        else:
+            changes = classify(source, target, keys, update_when, compare)
         if watch:
             changes = changes.observe(seen, *watch(F.col(_NTH))).drop(_NTH)
         version, run, counts = self._write_part(log, changes.filter(F.col("op") != NOOP))
@@ -388,6 +421,9 @@ class VersionedTable:
             inserted, updated, log[-1]["rows"] + inserted, label,
         )
 
+    def _deals_by_part_of(self, keys: Sequence[str]) -> bool:
+        return bool(self.keyed) and set(self.keyed) < set(keys)
+
     def _numbered(self, source: DataFrame, keys: Sequence[str]) -> DataFrame:
         """Source rows numbered within their key, dealt as the table's buckets are."""
         if self.keyed:
@@ -422,14 +458,17 @@ class VersionedTable:
         if self.keyed:
             self._write_buckets(rows, version, run)
         elif self.split_by:
-            placed = rows.withColumn(FOLDER, self.folder_of(F.col(self.split_by)))
-            # Spark splits a folder that is too large for one task and joins small ones
-            placed = placed.hint("rebalance", FOLDER).sortWithinPartitions(FOLDER, *self._sorted_by(rows))
-            placed.write.partitionBy(FOLDER).parquet(f"{path}/op={INSERT}")
+            placed = rows
+            if FOLDER not in rows.columns:
+                # Spark splits a folder that is too large for one task and joins small ones
+                placed = rows.withColumn(FOLDER, self.folder_of(F.col(self.split_by)))
+                placed = placed.hint("rebalance", FOLDER)
+            placed = placed.sortWithinPartitions(FOLDER, *self._sorted_by(rows.drop(FOLDER)))
+            placed.write.partitionBy(FOLDER).parquet(f"{path}/op={INSERT}", compression=COMPRESSION)
         elif "op" in rows.columns:
-            rows.write.partitionBy("op").parquet(path)
+            rows.write.partitionBy("op").parquet(path, compression=COMPRESSION)
         else:  # one folder: keeps the row order the plan produced
-            rows.write.parquet(f"{path}/op={INSERT}")
+            rows.write.parquet(f"{path}/op={INSERT}", compression=COMPRESSION)
         # Counted from file footers, so task retries cannot distort the metrics.
         try:
             op_only = self.spark.read.schema("op string").option("basePath", path).parquet(path)
@@ -451,7 +490,7 @@ class VersionedTable:
         op = F.col("op") if "op" in rows.columns else F.lit(INSERT)
         plain = rows.drop("op")
         place = {"v": F.lit(version), "run": F.lit(run), "op": op}
-        # one file per bucket; keys are unique, so no bucket is much larger than the others
+        # one file per bucket
         dealt = rows.withColumns(place).repartition(self.buckets(), *self.keyed)
         name = self._bucketed(plain.schema)
         dealt.select(*plain.columns, *place).write.insertInto(name)
@@ -496,6 +535,33 @@ def create_file(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def move_folder(spark: SparkSession, path: str, to: str) -> bool:
+    """Rename a folder of one store; False if it is not there."""
+    hadoop = spark._jvm.org.apache.hadoop
+    source, target = hadoop.fs.Path(path), hadoop.fs.Path(to)
+    store = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(source):
+        return False
+    store.mkdirs(target.getParent())
+    if not store.rename(source, target):
+        raise OSError(f"cannot rename {path} to {to}")
+    return True
+
+
+def _key_print(rows: DataFrame, keys: Sequence[str]) -> tuple[int, int, str, str]:
+    """Rows, rows without a whole key, and two order-free sums over the keys' SHA-256."""
+    hashed = row_hash(keys)
+    sums = [
+        F.sum(F.conv(F.substring(hashed, at, 15), 16, 10).cast("decimal(38,0)")).cast("string")
+        for at in (1, 16)
+    ]
+    return tuple(rows.agg(F.count(F.lit(1)), F.count_if(~_whole(keys)), *sums).first())
+
+
+def _whole(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
 def _only_values_of(source: DataFrame, target: DataFrame, column: str, moves: bool) -> DataFrame:
     """Target rows whose ``column`` value the source has.
 
