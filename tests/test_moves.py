@@ -88,3 +88,20 @@ def test_gold_moves_once_behind_its_join(spark, tmp_path, monkeypatch):
     assert len([m for m in moves if "hashpartitioning(adsh" not in m]) == 1
     ends = {r["adsh"]: str(r["valid_to"])[:10] for r in lake.gold.read().collect()}
     assert ends == {"f1": T2[:10], "f2": "9999-12-31", "f3": "9999-12-31"}
+
+
+def test_tables_get_buckets_for_their_first_batch(spark, tmp_path, monkeypatch):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 3)
+    facts = [Filing(f"f{i}", i, "A", str(i), T1) for i in range(25)]
+    load(lake, "b1", facts)
+    load(lake, "b2", [Filing("f3", 3, "A", "9", T1, ingest="2023-06-01 00:00:00"), Filing("g", 77, "B", "1", T2)])
+    for t in (lake.silver, lake.filing_index, lake.gold):  # as the log has it, for another session too
+        assert t.buckets() == VersionedTable(spark, t.root).buckets() == 9 > 4
+    found = {r["adsh"]: int(r["value"]) for r in lake.gold.read().collect()}
+    assert found == {f"f{i}": i for i in range(25)} | {"f3": 9, "g": 1}
+    joined = lake.silver.read().join(lake.filing_index.read(), "adsh").hint("merge")
+    assert "Exchange hashpartitioning" not in plan_of(joined)
+    refused = VersionedTable(spark, str(tmp_path / "t"))
+    refused.size_for(2)
+    assert refused.buckets() == 4  # never fewer than the session has

@@ -48,6 +48,7 @@ def rebuild_gold(lake: Lake, full: bool = False, share: float = INCREMENT_SHARE)
     filings = lake.filing_index.read().drop(INGEST_TS)
     n_facts, model = lake.silver.row_count(), lake.model
     entity = model.natural_key[:1]
+    lake.gold.size_for(n_facts)
     if _dealt_by_entity(lake, n_facts) and not plan_interval_slices(
         facts, filings, model, entity, at_most=n_facts
     ):  # no entity too large for a task: its keys can be windowed where its folder is written

@@ -99,6 +99,8 @@ def run_silver(
         if outcome.label != PASS:
             _refuse(lake, batch_id, outcome)
 
+    for table in (lake.silver, lake.filing_index):  # alike, so that their joins move nothing
+        table.size_for(seen["valid"])
     version = lake.silver.merge(
         valid,
         model.fact_key,

@@ -46,6 +46,7 @@ from tidemark.operators.merge import (
     require_unique,
     unmatched,
 )
+from tidemark.session import unsorted_writes
 
 COMMIT_SCHEMA = (
     "version bigint, operation string, replaces boolean, run string, keys string, "
@@ -60,6 +61,8 @@ _NTH, _NEWEST = "_nth_of_key", "_newest"
 COMPRESSION = "zstd"
 #: Key values of a batch up to which a merge looks only at table rows that have one of them.
 PRUNE_VALUES = 100_000
+#: Rows of a first batch per bucket or folder at most: a task that sorts one need not spill.
+BUCKET_ROWS = 150_000
 
 
 class MissingTable(LookupError):
@@ -70,7 +73,8 @@ class VersionedTable:
     """One table; ``keyed`` or ``split_by`` (not both) say how its files lie.
 
     The number of buckets or folders is fixed by the first version and kept in
-    the log; by default it is the session's number of shuffle partitions.
+    the log; by default it is the session's number of shuffle partitions, or
+    more for a table told the size of its first batch (``size_for``).
     """
 
     def __init__(
@@ -93,6 +97,11 @@ class VersionedTable:
         self._log()  # an existing table says how it lies
         return self._buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
+    def size_for(self, rows: int) -> None:
+        """Before the first version: buckets or folders enough for so many rows."""
+        if not self._log() and not self._buckets:
+            self._buckets = max(self.buckets(), -(-rows // BUCKET_ROWS))
+
     def folder_of(self, value: Column) -> Column:
         """The folder in which rows with this value of the split column lie."""
         return F.pmod(F.hash(value), F.lit(self.buckets()))
@@ -255,7 +264,7 @@ class VersionedTable:
 
     def _bucketed(self, schema: T.StructType) -> str:
         """The session's bucketed table over this folder; made when it is not there yet."""
-        name = "tidemark_" + hashlib.md5(self.root.encode()).hexdigest()[:20]
+        name = f"tidemark_{hashlib.md5(self.root.encode()).hexdigest()[:20]}_{self.buckets()}"
         if not self.spark.catalog.tableExists(name):
             columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields]
             columns += ["v int", "run string", "op string"]
@@ -493,7 +502,8 @@ class VersionedTable:
         # one file per bucket
         dealt = rows.withColumns(place).repartition(self.buckets(), *self.keyed)
         name = self._bucketed(plain.schema)
-        dealt.select(*plain.columns, *place).write.insertInto(name)
+        with unsorted_writes(self.spark):  # a task has one bucket, so at most a file per op
+            dealt.select(*plain.columns, *place).write.insertInto(name)
         self.spark.catalog.refreshTable(name)
 
     def _publish(
