@@ -9,6 +9,7 @@ from tidemark.operators.merge import newer
 from tidemark.plans.lake import Lake
 from tidemark.sources import tables
 from tidemark.sources.tables import VersionedTable
+from tidemark.session import unsorted_writes
 from tests.helpers import T1, T2, Filing, load
 
 ROWS = "adsh string, part string, value int, _ingest_ts timestamp_ntz"
@@ -105,3 +106,16 @@ def test_tables_get_buckets_for_their_first_batch(spark, tmp_path, monkeypatch):
     refused = VersionedTable(spark, str(tmp_path / "t"))
     refused.size_for(2)
     assert refused.buckets() == 4  # never fewer than the session has
+
+
+def test_large_joins_and_few_folders_need_no_large_sort(spark, sf, tmp_path, monkeypatch):
+    plain = sorted(map(str, base.filed_facts(spark, sf, base.raw_filings(spark, sf).select("adsh", "cik")).collect()))
+    monkeypatch.setattr(base, "JOIN_ROWS", 500)
+    facts = base.filed_facts(spark, sf, base.raw_filings(spark, sf).select("adsh", "cik"))
+    tasks = -(-base.table(spark, sf, "lineitem").count() // 500)
+    assert tasks > 4 and plan_of(facts).count(f"{tasks}), REPARTITION_BY_NUM") == 2
+    assert sorted(map(str, facts.collect())) == plain
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    with unsorted_writes(spark):
+        assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") != "0"
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before

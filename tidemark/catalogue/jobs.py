@@ -37,7 +37,7 @@ from tidemark.plans.ingest import ingest_quarter
 from tidemark.plans.lake import Lake
 from tidemark.plans.publish import Published, write_audit_publish
 from tidemark.plans.silver import run_silver
-from tidemark.session import scratch_folder
+from tidemark.session import scratch_folder, unsorted_writes
 from tidemark.sources.tables import move_folder
 
 _NOW = "2024-01-01 00:00:00"
@@ -54,7 +54,8 @@ def _write_sources(spark, sf, folder, quarter_of_row=None, shape=lambda facts: f
     facts = shape(filed_facts(spark, sf, filings.select("adsh", "_q")))
     quarters = [r["_q"] for r in filings.select("_q").distinct().orderBy("_q").collect()]
     for df, name in ((facts, "num.txt"), (filings, "sub.txt")):
-        _tsv(df.write.partitionBy("_q"), f"{folder}/{name}")
+        with unsorted_writes(spark):  # there are few quarters
+            _tsv(df.write.partitionBy("_q"), f"{folder}/{name}")
         for q in quarters:
             place = f"{folder}/{q.replace('-', '/')}/{name}"
             if not move_folder(spark, f"{folder}/{name}/_q={q}", place):
