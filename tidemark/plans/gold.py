@@ -107,13 +107,15 @@ def _splice(lake: Lake, changes: DataFrame, built: str) -> int:
     folders = sorted(r["f"] for r in keys.select(folder).distinct().collect())  # at most one per folder
     if not folders:
         return gold.relabel(built)
-    kept = gold.read(folders=folders).join(changes.select(*model.fact_key), list(model.fact_key), "left_anti")
+    stood = gold.read(folders=folders)
     names = list(dict.fromkeys((*model.natural_key, model.value, *model.order)))
     bound = gold.row_count() + lake.silver.row_count()
-    if _dealt_by_entity(lake, bound) and not plan_slices(
-        kept.select(*names).unionAll(at("now").select(*names)), model.natural_key[:1], model.order, at_most=bound
+    told = set(model.natural_key) <= {*model.fact_key, *model.filing_types}  # a key never moves but by its filing
+    if told and _dealt_by_entity(lake, bound) and not plan_slices(
+        stood.select(*names).unionAll(at("now").select(*names)), model.natural_key[:1], model.order, at_most=bound
     ):
-        return gold.replace_folders(_respliced(gold, kept, at, names, model), folders, built)
+        return gold.replace_folders(_respliced(gold, stood, at, names, model), folders, built)
+    kept = stood.join(changes.select(*model.fact_key), list(model.fact_key), "left_anti")
     same_key = F.lit(True)
     for c in model.natural_key:
         same_key = same_key & F.col(f"g.{c}").eqNullSafe(F.col(f"k.{c}"))
@@ -130,17 +132,21 @@ def _dealt_by_entity(lake: Lake, rows: int) -> bool:
     return gold.split_by == lake.model.natural_key[0] and rows <= gold.buckets() * SMALL_TABLE_ROWS
 
 
-def _respliced(gold: VersionedTable, kept: DataFrame, at, names: list[str], model: FactModel) -> DataFrame:
+def _respliced(gold: VersionedTable, stood: DataFrame, at, names: list[str], model: FactModel) -> DataFrame:
     """Rows of gold after a splice: one deal by entity, where the changed keys are told and windowed.
 
-    ``_how`` is 0 for a row kept, 1 for one of now, 2 for a mark of where one was before.
+    ``_how`` is 0 for a row that stood, 1 for one of now, 2 for a mark of where one was
+    before.  A row that stood lies with its mark, as it was built from the same fact and filing.
     """
     no_end = F.lit(None).cast("timestamp_ntz").alias("valid_to")
     marked = lambda rows, how, end: rows.select(*names, end, F.lit(how).alias("_how"))
-    rows = marked(kept, 0, F.col("valid_to"))
+    rows = marked(stood, 0, F.col("valid_to"))
     rows = rows.unionAll(marked(at("now"), 1, no_end)).unionAll(marked(at("before"), 2, no_end))
     changed = F.max("_how").over(Window.partitionBy(*model.natural_key)) > 0
-    rows = gold.deal(rows).withColumn("_changed", changed).filter("_how < 2")
+    same_fact = list(dict.fromkeys((*model.natural_key, *model.fact_key)))
+    marks = F.count_if(F.col("_how") == 2).over(Window.partitionBy(*same_fact))
+    rows = gold.deal(rows).withColumn("_changed", changed).withColumn("_marks", marks)
+    rows = rows.filter("_how = 1 OR _how = 0 AND _marks = 0").drop("_marks")
     fresh = validity_intervals(rows.withColumnRenamed("valid_to", "_known_to"), model)
     end = F.when(F.col("_changed"), F.col("valid_to")).otherwise(F.col("_known_to"))
     return fresh.withColumn("valid_to", end).drop("_how", "_changed", "_known_to")
