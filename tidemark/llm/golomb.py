@@ -21,8 +21,9 @@ def encode(values: np.ndarray) -> tuple[int, bytes, bytes]:
     stops = np.cumsum(quotients + 1) - 1
     unary = np.zeros(int(stops[-1]) + 1, dtype=np.uint8)
     unary[stops] = 1
-    bits = (gaps[:, None] >> np.arange(width)) & 1
-    return width, np.packbits(unary).tobytes(), np.packbits(bits.astype(np.uint8)).tobytes()
+    rest = gaps.astype("<i8").view(np.uint8).reshape(-1, 8)
+    bits = np.unpackbits(rest, axis=1, count=width, bitorder="little")
+    return width, np.packbits(unary).tobytes(), np.packbits(bits).tobytes()
 
 
 def decode(count: int, width: int, unary: bytes, rest: bytes) -> np.ndarray:
@@ -32,6 +33,8 @@ def decode(count: int, width: int, unary: bytes, rest: bytes) -> np.ndarray:
     stops = np.flatnonzero(np.unpackbits(np.frombuffer(unary, np.uint8)))[:count]
     gaps = (np.diff(stops, prepend=-1) - 1).astype(np.int64) << width
     if width:
-        bits = np.unpackbits(np.frombuffer(rest, np.uint8))[: count * width].reshape(count, width)
-        gaps += bits.astype(np.int64) @ (np.int64(1) << np.arange(width, dtype=np.int64))
+        bits = np.unpackbits(np.frombuffer(rest, np.uint8), count=count * width)
+        filled = np.zeros((count, 64), np.uint8)
+        filled[:, :width] = bits.reshape(count, width)
+        gaps += np.packbits(filled, axis=1, bitorder="little").view("<i8")[:, 0]
     return np.cumsum(gaps)

@@ -45,6 +45,8 @@ BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
 OWNER_NAMES = 1_500_000
 #: Bits of the names that are exchanged for runs and for windows.
 RUN_BITS, WINDOW_BITS = 48, 62
+#: Places that are hashed at once, so that the arrays stay in a core's cache.
+PORTION = 1 << 14
 #: Kind of the rows that hold a block's own groups.
 OWN_RUNS = 9
 #: Stands for a null id: before all others.
@@ -55,11 +57,12 @@ MESSAGE = "src long, owner int, n int, width int, unary binary, rest binary"
 
 def _mix(x: np.ndarray) -> np.ndarray:
     """Every bit of the result hangs on every bit of ``x``, one to one; works in place."""
-    x ^= x >> np.uint64(30)
+    high = x >> np.uint64(30)
+    x ^= high
     x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
+    x ^= np.right_shift(x, np.uint64(27), out=high)
     x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
+    x ^= np.right_shift(x, np.uint64(31), out=high)
     return x
 
 
@@ -75,77 +78,148 @@ def _words(data: bytes) -> np.ndarray:
     return np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
 
 
-def names(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Names of all 25-byte and of all 50-byte strings of a text of 50 bytes or more."""
+def _mixed(words: np.ndarray) -> np.ndarray:
     # raw bytes differ in few bits: mixed one by one, or two changes could cancel
-    eight = _mix(_words(data) + np.uint64(0x9E3779B97F4A7C15))
+    return _mix(words + np.uint64(0x9E3779B97F4A7C15))
+
+
+def _halves(eight: np.ndarray) -> np.ndarray:
+    """Names of the 25-byte strings over a row of mixed words."""
     sixteen = _pair(eight[:-8], eight[8:])
-    half = _pair(sixteen[: len(data) - HALF + 1], sixteen[HALF - 16 :])
+    return _pair(sixteen[: 16 - HALF], sixteen[HALF - 16 :])
+
+
+def names(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Names of all 25-byte and of all 50-byte strings of a text of 50 bytes or more."""
+    half = _halves(_mixed(_words(data)))
     return half, _pair(half[:-HALF], half[HALF:])
 
 
-def names_at(data: bytes, at: np.ndarray) -> np.ndarray:
-    """Names of the 50-byte strings at some positions of a text."""
-    if 2 * len(at) > len(data):
-        return names(data)[1][at]
-    words = _words(data)
-    eight = lambda k: _mix(words[at + k] + np.uint64(0x9E3779B97F4A7C15))
-    sixteen = lambda k: _pair(eight(k), eight(k + 8))
-    half = lambda k: _pair(sixteen(k), sixteen(k + HALF - 16))
-    return _pair(half(0), half(HALF))
+#: Places and factors of the words in the second hash of a 50-byte string.
+CHECKED = tuple(
+    (k, np.uint64(factor))
+    for k, factor in zip(
+        (*range(0, LENGTH - 8, 8), LENGTH - 8),
+        (
+            0xD6E8FEB86659FD93,
+            0xC2B2AE3D27D4EB4F,
+            0xA0761D6478BD642F,
+            0xE7037ED1A0B428DB,
+            0x8EBC6AF09C88C6E3,
+            0x589965CC75374CC3,
+            0x1D8E4E27C47D124F,
+        ),
+        strict=True,
+    )
+)
 
 
 def checks(data: bytes, at: np.ndarray) -> np.ndarray:
     """A second hash of the 50-byte strings at some positions, made without their names."""
-    words, x = _words(data), np.full(len(at), 0xD6E8FEB86659FD93, np.uint64)
-    for k in (*range(0, LENGTH - 8, 8), LENGTH - 8):
-        x += words[at + k]
-        x = _mix(x * np.uint64(0xC2B2AE3D27D4EB4F))
+    words, x = _words(data), np.zeros(len(at), np.uint64)
+    for k, factor in CHECKED:
+        x += _mixed(words[at + k]) * factor
     return x
 
 
-def runs(half: np.ndarray, full: np.ndarray) -> tuple[np.ndarray, ...]:
-    """First window, last window, smallest 25-byte name, and name of the bytes of each run."""
+def hashes_at(data: bytes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Names and second hashes of the 50-byte strings at some positions, in ascending order.
+
+    Strings that overlap share their words, as in ``names``; what lies between is left out.
+    """
+    reach = LENGTH - 8
+    full, check = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
+    if not len(at):
+        return full, check
+    words = _words(data)
+    # stretches of words, one behind the other: a slot is a place less the bytes left out before it
+    new = np.flatnonzero(np.diff(at) > reach) + 1
+    starts, stops = at[np.r_[0, new]], at[np.r_[new - 1, len(at) - 1]] + reach + 1
+    sizes = stops - starts
+    ends = np.cumsum(sizes)
+    skipped = starts - (ends - sizes)
+    slot = at - np.repeat(skipped, np.diff(np.r_[0, new, len(at)]))
+    lo = 0
+    while lo < len(at):
+        hi = int(np.searchsorted(slot, slot[lo] + PORTION))
+        begin, end = int(slot[lo]), int(slot[hi - 1]) + reach + 1
+        a, b = np.searchsorted(ends, (begin, end - 1), "right")
+        if a == b:
+            eight = _mixed(words[begin + skipped[a] : end + skipped[a]])
+        else:
+            parts = np.minimum(ends[a : b + 1], end) - np.maximum((ends - sizes)[a : b + 1], begin)
+            eight = _mixed(words[np.arange(begin, end) + np.repeat(skipped[a : b + 1], parts)])
+        half, own = _halves(eight), slot[lo:hi] - begin
+        full[lo:hi] = _pair(half[:-HALF], half[HALF:])[own]
+        for k, factor in CHECKED:
+            check[lo:hi] += (eight[k : k + len(eight) - reach] * factor)[own]
+        lo = hi
+    return full, check
+
+
+def names_at(data: bytes, at: np.ndarray) -> np.ndarray:
+    """Names of the 50-byte strings at some positions of a text, in ascending order."""
+    return hashes_at(data, at)[0]
+
+
+def runs(data: bytes, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Text, first window, last window, smallest 25-byte name (mixed), and name of the bytes
+    of each run, of texts that lie in ``data`` without gaps."""
+    half = _halves(_mixed(_words(data)))
     least, width = half, 1
     while width < REACH:
         step = min(width, REACH - width)
         least = np.minimum(least[:-step], least[step:])
         width += step
-    first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
-    last = np.r_[first[1:], len(least)] - 1
+    new = np.empty(len(least), bool)
+    new[0], new[1:] = True, least[1:] != least[:-1]
+    # what begins near a text's end reaches into the next text
+    any_ = ends > begins
+    none = np.maximum(ends[any_, None] - np.arange(1, LENGTH), begins[any_, None])
+    new[none[none < len(new)]] = False
+    some = np.flatnonzero(ends - begins >= LENGTH)
+    new[begins[some]] = True
+    first = np.flatnonzero(new)
+    doc = some[np.searchsorted(begins[some], first, "right") - 1]
+    last = np.minimum(np.r_[first[1:], len(new)], ends[doc] - LENGTH + 1) - 1
     # where a text repeats itself a run can be long: cut so that two names cover it
     if (last - first >= LENGTH).any():
         parts = (last - first) // LENGTH + 1
         nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         first = np.repeat(first, parts) + nth * LENGTH
         last = np.minimum(np.repeat(last, parts), first + LENGTH - 1)
-    whole = _pair(full[first], full[last]) ^ (last - first).astype(np.uint64)
-    return first, last, least[first], whole
+        doc = np.repeat(doc, parts)
+    whole = _pair(*(_pair(half[x], half[x + HALF]) for x in (first, last)))
+    # the smallest of many are small: mixed again, so that all owners get as many
+    return doc, first, last, _mix(least[first]), whole ^ (last - first).astype(np.uint64)
+
+
+def _spread(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All whole numbers of some ranges, one range after the other, and the range of each."""
+    count = last - first + 1
+    own = np.repeat(np.arange(len(count)), count)
+    return np.arange(len(own)) + (first - (np.cumsum(count) - count))[own], own
 
 
 class Texts:
-    """The texts of one block."""
+    """The texts of one block, one behind the other; places are those in the block."""
 
     def __init__(self, row):
-        data = zstandard.ZstdDecompressor().decompress(row["payload"])
-        sizes = np.frombuffer(row["sizes"], np.int32)
+        self.data = zstandard.ZstdDecompressor().decompress(row["payload"])
+        sizes = np.frombuffer(row["sizes"], np.int32).astype(np.int64)
         self.ids = np.frombuffer(row["ids"], np.int64)
-        ends = np.cumsum(sizes, dtype=np.int64)
-        self.texts = [data[e - s : e] for e, s in zip(ends.tolist(), sizes.tolist(), strict=True)]
+        self.ends = np.cumsum(sizes)
+        self.begins = self.ends - sizes
 
-    def windows(self, doc: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Name, second hash, text and place of every window of some runs."""
+    def windows(self, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Name and second hash of every window of some runs, one run after the other."""
+        order = np.argsort(first)
+        at, _ = _spread(first[order], last[order])
         count = last - first + 1
-        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
-        doc = np.repeat(doc, count)
-        order = np.argsort(doc, kind="stable")
-        cuts = np.searchsorted(doc[order], np.arange(len(self.texts) + 1))
-        full, check = np.zeros(len(doc), np.uint64), np.zeros(len(doc), np.uint64)
-        for k in np.flatnonzero(np.diff(cuts)).tolist():
-            own = order[cuts[k] : cuts[k + 1]]
-            full[own] = names_at(self.texts[k], at[own])
-            check[own] = checks(self.texts[k], at[own])
-        return (full >> np.uint64(64 - WINDOW_BITS)).astype(np.int64), check, doc, at
+        place, _ = _spread((np.cumsum(count) - count)[order], np.cumsum(count)[order] - 1)
+        full, check = np.empty(len(at), np.uint64), np.empty(len(at), np.uint64)
+        full[place], check[place] = hashes_at(self.data, at)
+        return (full >> np.uint64(64 - WINDOW_BITS)).astype(np.int64), check
 
 
 class Block(Texts):
@@ -153,34 +227,41 @@ class Block(Texts):
 
     def __init__(self, row):
         super().__init__(row)
-        found = [(k, *runs(*names(t))) for k, t in enumerate(self.texts) if len(t) >= LENGTH]
+        found, lo = [], 0
+        while lo < len(self.ends):
+            begin = int(self.begins[lo])
+            hi = max(lo + 1, int(np.searchsorted(self.ends, begin + PORTION, "right")))
+            end = int(self.ends[hi - 1])
+            if end - begin >= LENGTH:
+                own = slice(lo, hi)
+                doc, first, last, *rest = runs(
+                    self.data[begin:end], self.begins[own] - begin, self.ends[own] - begin
+                )
+                found.append((doc + lo, first + begin, last + begin, *rest))
+            lo = hi
         join = lambda i, kind: (
             np.concatenate([f[i] for f in found]) if found else np.zeros(0, kind)
         )
-        self.first, self.last = join(1, np.int64), join(2, np.int64)
+        self.doc, self.first, self.last = (join(i, np.int64) for i in range(3))
         self.name = (join(3, np.uint64) >> np.uint64(64 - RUN_BITS)).astype(np.int64)
         self.whole = join(4, np.uint64)
-        self.doc = np.repeat([f[0] for f in found], [len(f[1]) for f in found]).astype(np.int64)
         self.doc_id = self.ids[self.doc]
 
-    def groups(self) -> tuple[np.ndarray, np.ndarray]:
-        """Runs sorted by name, bytes and id, and the start of each group of equal runs."""
-        order = np.lexsort((self.doc_id, self.whole, self.name))
-        name, whole = self.name[order], self.whole[order]
-        new = np.r_[True, (name[1:] != name[:-1]) | (whole[1:] != whole[:-1])]
-        return order, np.flatnonzero(new[: len(order)])
+    def groups(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Some runs sorted by name, bytes and id, and the start of each group of equal runs."""
+        order = own[np.lexsort((self.doc_id[own], self.whole[own], self.name[own]))]
+        return order, np.flatnonzero(_changes(self.name[order], self.whole[order]))
 
     def checks(self, chosen: np.ndarray) -> np.ndarray:
         """Second hashes of the bytes of some runs."""
-        out = np.zeros(len(chosen), np.uint64)
-        order = np.argsort(self.doc[chosen], kind="stable")
-        doc = self.doc[chosen][order]
-        for k in np.unique(doc):
-            own = order[slice(*np.searchsorted(doc, (k, k + 1)))]
-            first, last = self.first[chosen[own]], self.last[chosen[own]]
-            both = checks(self.texts[k], first) * np.uint64(0x9E3779B97F4A7C15)
-            both ^= checks(self.texts[k], last)
-            out[own] = _mix(both + (last - first).astype(np.uint64))
+        out = np.empty(len(chosen), np.uint64)
+        order = np.argsort(chosen)
+        for lo in range(0, len(order), PORTION):
+            part = order[lo : lo + PORTION]
+            first, last = self.first[chosen[part]], self.last[chosen[part]]
+            both = checks(self.data, first) * np.uint64(0x9E3779B97F4A7C15)
+            both ^= checks(self.data, last)
+            out[part] = _mix(both + (last - first).astype(np.uint64))
         return out
 
 
@@ -193,17 +274,17 @@ class Members:
         numbers = np.frombuffer(data, np.int32, offset=8)
         sizes = numbers[:groups].astype(np.int64)
         self.doc, self.first, self.last = numbers[groups:].reshape(3, -1).astype(np.int64)
+        self.first += texts.begins[self.doc]
+        self.last += texts.begins[self.doc]
         self.start = np.cumsum(sizes) - sizes
         self.group = np.repeat(np.arange(groups), sizes)
         self.doc_id = texts.ids[self.doc]
 
     @staticmethod
-    def packed(block: Block, order: np.ndarray, start: np.ndarray, kept: np.ndarray) -> bytes:
-        """The kept ones of a block's groups."""
-        sizes = np.diff(np.r_[start, len(order)])
-        own = order[np.repeat(kept, sizes)]
-        sizes = sizes[kept]
-        columns = (sizes, block.doc[own], block.first[own], block.last[own])
+    def packed(block: Block, order: np.ndarray, start: np.ndarray) -> bytes:
+        """A block's groups of runs, with places in their own texts."""
+        sizes, begins = np.diff(np.r_[start, len(order)]), block.begins[block.doc[order]]
+        columns = (sizes, block.doc[order], block.first[order] - begins, block.last[order] - begins)
         data = np.int64(len(sizes)).tobytes() + b"".join(c.astype(np.int32).tobytes() for c in columns)
         return zstandard.compress(data, 3)
 
@@ -309,11 +390,24 @@ def _used_ids(ids: np.ndarray, doc: np.ndarray) -> tuple[bytes, bytes]:
 
 def _list_of_names(block: Block) -> np.ndarray:
     """Names of the block's runs, twice where two documents of the block have them."""
-    order = np.lexsort((block.doc_id, block.name))
+    if not len(block.name):
+        return block.name
+    order = np.argsort(block.name)
     name, doc_id = block.name[order], block.doc_id[order]
-    start = np.flatnonzero(np.r_[True, name[1:] != name[:-1]][: len(name)])
-    end = np.r_[start[1:], len(name)][: len(start)] - 1
-    return np.repeat(name[start], 1 + (doc_id[end] != doc_id[start]))
+    start = np.flatnonzero(np.r_[True, name[1:] != name[:-1]])
+    several = np.minimum.reduceat(doc_id, start) != np.maximum.reduceat(doc_id, start)
+    return np.repeat(name[start], 1 + several)
+
+
+def _sorted(name: np.ndarray, check: np.ndarray) -> np.ndarray:
+    """Order by name and second hash; only names with several of these are sorted by both."""
+    order = np.argsort(name)
+    s_name, s_check = name[order], check[order]
+    mixed = s_name[1:][(s_name[1:] == s_name[:-1]) & (s_check[1:] != s_check[:-1])]
+    if len(mixed):
+        at = np.flatnonzero(_among(s_name, mixed))
+        order[at] = order[at][np.lexsort((s_check[at], s_name[at]))]
+    return order
 
 
 def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -363,7 +457,7 @@ def _first_round(blocks: DataFrame, owners: int) -> DataFrame:
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
         everything = np.sort(np.concatenate(list(_lists(pdf))))
-        common = np.unique(everything[1:][everything[1:] == everything[:-1]])
+        common = everything[1:][everything[1:] == everything[:-1]]
         del everything
         bits = [np.packbits(_among(x, common)).tobytes() for x in _lists(pdf)]
         return pd.DataFrame({"src": pdf["src"], "owner": pdf["owner"], "bits": bits})
@@ -383,10 +477,9 @@ def _second_round(blocks: DataFrame, again: DataFrame, owners: int) -> DataFrame
             listed = _list_of_names(block)
             bits = dict(zip(replies["owner"], replies["bits"], strict=True))
             common = listed[_flags(listed, RUN_BITS, owners, bits)]
-            order, start = block.groups()
-            kept = _among(block.name[order[start]], common)
-            first = order[start][kept]
-            own_runs = Members.packed(block, order, start, kept)
+            order, start = block.groups(np.flatnonzero(_among(block.name, common)))
+            first = order[start]
+            own_runs = Members.packed(block, order, start)
             # on the way with the messages, to nobody else: owners below zero are blocks
             nobody = -1 - row["block"] % (1 << 30)
             out.append((row["block"], nobody, 0, 0, b"", own_runs, b"", b"", b"", b"", b""))
@@ -448,12 +541,18 @@ def _marked(replies: pd.DataFrame, kind: int) -> np.ndarray:
 
 
 def _window_list(block: Texts, runs_: Members, chosen: np.ndarray):
-    """Distinct windows of the chosen groups: sorted names, second hashes, first text by id."""
+    """Distinct windows of the chosen groups: sorted names, second hashes and smallest ids;
+    for every window of these groups, run by run, which of them it is and the id of its text."""
     one = runs_.start[chosen]
-    name, check, doc, _ = block.windows(runs_.doc[one], runs_.first[one], runs_.last[one])
-    order = np.lexsort((block.ids[doc], check, name))
-    start = np.flatnonzero(_changes(name[order], check[order]))
-    return name[order[start]], check[order[start]], doc[order[start]]
+    name, check = block.windows(runs_.first[one], runs_.last[one])
+    doc_id = np.repeat(runs_.doc_id[one], runs_.last[one] - runs_.first[one] + 1)
+    order = _sorted(name, check)
+    new = _changes(name[order], check[order])
+    start = np.flatnonzero(new)
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(new) - 1
+    least = np.minimum.reduceat(doc_id[order], start) if len(order) else doc_id
+    return name[order[start]], check[order[start]], least, which, doc_id
 
 
 def _changes(name: np.ndarray, check: np.ndarray) -> np.ndarray:
@@ -462,14 +561,6 @@ def _changes(name: np.ndarray, check: np.ndarray) -> np.ndarray:
     return np.r_[True, new][: len(name)]
 
 
-def _places(listed: np.ndarray, checked: np.ndarray, name: np.ndarray, check: np.ndarray):
-    """Where strings stand in a list that holds them all."""
-    at = np.searchsorted(listed, name)
-    while (other := checked[at] != check).any():
-        at[other] += 1
-    return at
-
-
 def _third_round(blocks: DataFrame, marks: DataFrame, owners: int) -> DataFrame:
     """All replies a block needs: ``src, kind, owner, runs`` (kind 2: bits of windows in order)."""
 
@@ -478,10 +569,11 @@ def _third_round(blocks: DataFrame, marks: DataFrame, owners: int) -> DataFrame:
         chosen = _marked(replies, 1)
         for row in own.to_dict("records") if len(chosen) else ():
             block = Texts(row)
-            listed, check, doc = _window_list(block, _members(replies, block), chosen)
+            listed, check, least, *_ = _window_list(block, _members(replies, block), chosen)
 
-            def extra(lo, hi, check=check, doc=doc, block=block):
-                return check[lo:hi].tobytes(), *_used_ids(block.ids, doc[lo:hi])
+            def extra(lo, hi, check=check, least=least):
+                ids, at = np.unique(least[lo:hi], return_inverse=True)
+                return check[lo:hi].tobytes(), at.astype(np.int32).tobytes(), ids.tobytes()
 
             out.extend(_messages(row["block"], listed, WINDOW_BITS, owners, extra))
         columns = [c.split()[0] for c in MESSAGE.split(", ")] + ["check", "doc", "ids"]
@@ -491,10 +583,11 @@ def _third_round(blocks: DataFrame, marks: DataFrame, owners: int) -> DataFrame:
         name, row = _decoded(pdf)
         ids = _ids(pdf, row, _column(pdf, "doc", np.int32))
         check = _column(pdf, "check", np.uint64)
-        order = np.lexsort((ids, check, name))
+        order = _sorted(name, check)
         new = _changes(name[order], check[order])
+        least = np.minimum.reduceat(ids[order], np.flatnonzero(new))
         later = np.zeros(len(name), bool)
-        later[order] = ids[order] > ids[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+        later[order] = ids[order] > least[np.cumsum(new) - 1]
         parts = np.split(later, np.flatnonzero(np.diff(row)) + 1)
         bits = [np.packbits(x).tobytes() for x in parts]
         return pd.DataFrame({"src": pdf["src"], "kind": 2, "owner": pdf["owner"], "runs": bits})
@@ -514,13 +607,10 @@ def _removed(blocks: DataFrame, replies: DataFrame, owners: int) -> DataFrame:
         out: list[tuple] = []
         for row in own.to_dict("records"):
             block = Texts(row)
-            doc, start, end = _repeated(block, replies, owners)
-            order = np.argsort(doc, kind="stable")
-            doc, start, end = doc[order], start[order], end[order]
-            cuts = np.searchsorted(doc, np.arange(len(block.texts) + 1))
-            for k, text in enumerate(block.texts):
+            cuts, begins, ends = _joined(block, *_repeated(block, replies, owners))
+            for k, text in enumerate(zip(block.begins.tolist(), block.ends.tolist(), strict=True)):
                 part = slice(cuts[k], cuts[k + 1])
-                out.append((block.ids[k], *_cut(text, start[part], end[part])))
+                out.append((block.ids[k], *_cut(block.data, *text, begins[part], ends[part])))
         names_ = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]
         pdf = pd.DataFrame(out, columns=names_)
         pdf["doc_id"] = pdf["doc_id"].astype("Int64").mask(pdf["doc_id"] == NO_ID)
@@ -534,7 +624,7 @@ def _removed(blocks: DataFrame, replies: DataFrame, owners: int) -> DataFrame:
 
 
 def _repeated(block: Texts, replies: pd.DataFrame, owners: int):
-    """Text, first byte and end of everything repeated in a block."""
+    """Text, first byte and end, in places of the block, of everything repeated in it."""
     runs_ = _members(replies, block)
     groups = len(runs_.start)
     named = np.zeros(groups, bool)
@@ -544,36 +634,47 @@ def _repeated(block: Texts, replies: pd.DataFrame, owners: int):
     chosen = _marked(replies, 1)
     if not len(chosen):
         return doc, at, end
-    listed, checked, owner_doc = _window_list(block, runs_, chosen)
+    listed, _, least, which, doc_id = _window_list(block, runs_, chosen)
     bits = replies[replies["kind"] == 2]
     bits = dict(zip(bits["owner"], bits["runs"], strict=True))
-    later = _flags(listed, WINDOW_BITS, owners, bits)
+    later = _flags(listed, WINDOW_BITS, owners, bits)[which] | (doc_id > least[which])
     # equal runs of the same text share the fate of the chosen one
-    same = np.zeros(groups, bool)
-    same[chosen] = True
-    equal = same[runs_.group] & ~gone
-    name, check, w_doc, w_at = block.windows(runs_.doc[equal], runs_.first[equal], runs_.last[equal])
-    k = _places(listed, checked, name, check)
-    out = later[k] | (block.ids[w_doc] > block.ids[owner_doc[k]])
+    one = runs_.start[chosen]
+    sizes = runs_.last[one] - runs_.first[one] + 1
+    begin = np.full(groups, -1)
+    begin[chosen] = np.cumsum(sizes) - sizes
+    equal = np.flatnonzero((begin[runs_.group] >= 0) & ~gone)
+    w_at, own = _spread(runs_.first[equal], runs_.last[equal])
+    own = equal[own]
+    out = later[begin[runs_.group[own]] + w_at - runs_.first[own]]
     return (
-        np.r_[doc, w_doc[out]],
+        np.r_[doc, runs_.doc[own[out]]],
         np.r_[at, w_at[out]],
         np.r_[end, w_at[out] + LENGTH],
     )
 
 
-def _cut(text: bytes, start: np.ndarray, end: np.ndarray) -> tuple:
-    """Sizes, digest of the rest, and maximal removed runs of one text."""
-    if not len(start):
-        return len(text), 0, 0, hashlib.sha256(text).hexdigest(), b""
-    order = np.argsort(start, kind="stable")
-    start, reach = start[order], np.maximum.accumulate(end[order])
-    new = np.flatnonzero(np.r_[True, start[1:] > reach[:-1]])
-    begins, ends = start[new], reach[np.r_[new[1:] - 1, len(start) - 1]]
-    digest, at = hashlib.sha256(), 0
+def _joined(block: Texts, doc: np.ndarray, start: np.ndarray, end: np.ndarray):
+    """Maximal runs of what is repeated: where those of each text begin, first bytes, ends."""
+    order = np.argsort(start)
+    doc, start = doc[order], start[order]
+    # a gap between the texts keeps their runs apart
+    reach = np.maximum.accumulate(end[order] + doc)
+    new = np.flatnonzero(np.r_[True, start[1:] + doc[1:] > reach[:-1]][: len(start)])
+    last = np.r_[new[1:], len(start)][: len(new)] - 1
+    cuts = np.searchsorted(doc[new], np.arange(len(block.ends) + 1))
+    return cuts, start[new], reach[last] - doc[new]
+
+
+def _cut(data: bytes, at: int, stop: int, begins: np.ndarray, ends: np.ndarray) -> tuple:
+    """Sizes, digest of the rest, and maximal removed runs of the text at some place of a block."""
+    size = stop - at
+    if not len(begins):
+        return size, 0, 0, hashlib.sha256(data[at:stop]).hexdigest(), b""
+    spans = (np.column_stack((begins, ends)) - at).astype(np.int64).tobytes()
+    digest = hashlib.sha256()
     for b, e in zip(begins.tolist(), ends.tolist(), strict=True):
-        digest.update(text[at:b])
+        digest.update(data[at:b])
         at = e
-    digest.update(text[at:])
-    spans = np.column_stack((begins, ends)).astype(np.int64).tobytes()
-    return len(text), int((ends - begins).sum()), len(begins), digest.hexdigest(), spans
+    digest.update(data[at:stop])
+    return size, int((ends - begins).sum()), len(begins), digest.hexdigest(), spans
