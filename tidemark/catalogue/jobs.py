@@ -64,7 +64,8 @@ def _write_sources(spark, sf, folder, quarter_of_row=None, shape=lambda facts: f
 
 
 def _tsv(writer, path):
-    writer.option("header", True).option("sep", "\t").option("compression", "gzip").csv(path)
+    packed = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+    writer.option("header", True).option("sep", "\t").options(**packed).csv(path)
 
 
 def _frames(spark, sf, batch_id="b1"):

@@ -93,10 +93,12 @@ def classify_in_place(
     keys: Sequence[str],
     update_when: Column | None = None,
     compare: Sequence[str] = (),
+    nth: str | None = None,
 ) -> DataFrame:
     """:func:`classify` for sides dealt alike by some of the keys: no row moves.
 
     A join would deal both sides again by the whole key; a window over the key does not.
+    ``nth`` names a column that numbers the source rows of a key, by the same sort.
     """
     names, met = source.columns, F.struct(*compare, F.lit(True).alias("_hit"))
     known = {f.name: F.col(f.name) if f.name in keys else F.lit(None).cast(f.dataType) for f in source.schema}
@@ -105,10 +107,14 @@ def classify_in_place(
         target.select(*[c.alias(n) for n, c in known.items()], met.alias("_t"))
     )
     whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    match = F.when(whole, F.max("_t").over(Window.partitionBy(*keys)))
-    rows = both.withColumn("t", match).filter(F.col("_t").isNull())
+    of_key = Window.partitionBy(*keys).orderBy(F.col("_t").isNotNull())  # source rows first
+    every = of_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    found = {"t": F.when(whole, F.max("_t").over(every))}
+    if nth:
+        found[nth] = F.row_number().over(of_key)
+    rows = both.withColumns(found).filter(F.col("_t").isNull())
     op = F.when(F.col("t").isNull(), INSERT).when(_condition(update_when), UPDATE).otherwise(NOOP)
-    return rows.withColumn("s", F.struct(*names)).select(*names, op.alias("op"))
+    return rows.withColumn("s", F.struct(*names)).select(*names, *([nth] if nth else []), op.alias("op"))
 
 
 def merge_metrics(classified: DataFrame) -> DataFrame:

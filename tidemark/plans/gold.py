@@ -37,7 +37,7 @@ def rebuild_gold(lake: Lake, full: bool = False, share: float = INCREMENT_SHARE)
     silver's rows are new, everything is computed.
     """
     changes = None if full else _changes(lake, share)
-    if changes is None and lake.silver.has_updates():
+    if changes is None and lake.silver.has_updates() and _half_superseded(lake.silver):
         lake.silver.compact()  # once, instead of dropping the old rows at every later read
     built = json.dumps(
         {"silver": lake.silver.latest_version(), "filings": lake.filing_index.latest_version()}
@@ -58,6 +58,11 @@ def rebuild_gold(lake: Lake, full: bool = False, share: float = INCREMENT_SHARE)
     return lake.gold.overwrite(build_intervals(facts, filings, model, plan), built)
 
 
+def _half_superseded(table: VersionedTable) -> bool:
+    """Whether half of the rows that a read opens are dropped: then the table is worth writing again."""
+    return table.superseded_rows() >= table.row_count()
+
+
 def _changes(lake: Lake, share: float) -> DataFrame | None:
     """Changed facts with their filings of then and now; None if a full rebuild is due.
 

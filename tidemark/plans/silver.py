@@ -19,7 +19,6 @@ from tidemark.operators.quality import (
     QualityHalt,
     Violation,
     counters,
-    duplicate_group_count,
     missing_source_columns,
     outcome_of,
     type_mismatches,
@@ -74,7 +73,8 @@ def run_silver(
     unstamped = {c: v for c, v in stamps.items() if c not in facts.columns}
     routed = route(facts.withColumns(unstamped) if unstamped else facts, model)
     seen = Observation()
-    counted = routed.observe(seen, *lane_counters())
+    links = F.approx_count_distinct(F.when(F.col(LANE) == "valid", F.col(model.link)))
+    counted = routed.observe(seen, *lane_counters(), links.alias("links"))
     lane = lake.quarantine_rows
     before = lane.row_count()
     lane.append(counted.filter(F.col(LANE) == "quarantined").drop(LANE), label=batch_id)
@@ -88,7 +88,8 @@ def run_silver(
         _refuse(lake, batch_id, Outcome(UNEVALUABLE, reason))
 
     filings, unusable = split_valid(filings, tuple(model.filing_types))
-    repeated = duplicate_group_count(filings, [model.link]).first()["violations"]
+    per_link = filings.groupBy(model.link).agg(F.count(F.lit(1)).alias("n"))
+    repeated, n_filings = per_link.agg(F.count_if(F.col("n") > 1), F.count(F.lit(1))).first()
     if repeated:  # a repeated filing would fan out the gold join
         broken = Outcome(FAIL, violations=(Violation("uniqueness", model.link, repeated),))
         _refuse(lake, batch_id, broken, Contract(name=f"filings-{model.name}"))
@@ -108,6 +109,7 @@ def run_silver(
         compare=[INGEST_TS],
         source_unique=True,  # or the gate refuses it
         prune_by=model.link,
+        prune_values=seen["links"],
         label=batch_id,
         watch=lambda nth: counters(contract, nth),
         accept=accept,
@@ -121,6 +123,7 @@ def run_silver(
         compare=[INGEST_TS],
         source_unique=True,
         prune_by=model.link,
+        prune_values=n_filings,
         label=batch_id,
     )
 

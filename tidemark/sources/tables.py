@@ -13,7 +13,8 @@ read of one entity opens one folder, and a version may replace some folders.
 A version either replaces the table or adds a part to it, so appending or
 merging a batch writes the batch, not the table.  Rows written as ``update``
 supersede older rows with the same key; readers drop those with an anti-join,
-which is planned only if some version in range has updates.  A part counts
+which is planned only if some version in range has updates.  A merge that
+supersedes every row there was replaces the table by what it wrote.  A part counts
 once its commit file is there; folders of a failed write are never read.  The
 commit file of a version is created exclusively, so of two writers the later
 one is refused and leaves nothing that can be read.
@@ -35,7 +36,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.frames import one_row
-from tidemark.functions.hashing import row_hash
+from tidemark.functions.hashing import exact_sum, row_hash
+from tidemark.model import ROW_HASH
 from tidemark.operators.merge import (
     INSERT,
     NOOP,
@@ -59,6 +61,8 @@ FOLDER = "b"
 _NTH, _NEWEST = "_nth_of_key", "_newest"
 #: Of every file a table writes: half the size of the default for hashes kept as hex text.
 COMPRESSION = "zstd"
+#: No value of a row hash comes often enough for a dictionary.
+FILE_OPTIONS = {"compression": COMPRESSION, f"parquet.enable.dictionary#{ROW_HASH}": "false"}
 #: Key values of a batch up to which a merge looks only at table rows that have one of them.
 PRUNE_VALUES = 100_000
 #: Rows of a first batch per bucket or folder at most: a task that sorts one need not spill.
@@ -188,14 +192,17 @@ class VersionedTable:
     def changed_since(self, version: int) -> DataFrame | None:
         """Current rows that were written after ``version``; None if it cannot be told.
 
-        Needs the log to hold that version with no replacing version after it.
+        Needs the log to hold that version with no replacing version after it but
+        merges, whose rows all are new.
         """
         log = self._log()
         later = [r for r in log if r["version"] > version]
-        if len(later) == len(log) or any(r["replaces"] for r in later):
+        if len(later) == len(log) or any(r["replaces"] and r["operation"] != "MERGE" for r in later):
             return None
         if not later:
             return self._frame(log, None).limit(0)
+        if any(r["replaces"] for r in later):
+            return self._frame(log, None)
         return self._current(later, [r for r in later if r["num_updated"]])
 
     def rows_since(self, version: int) -> int:
@@ -371,6 +378,7 @@ class VersionedTable:
         num_source: int | None = None,
         source_unique: bool = False,
         prune_by: str | None = None,
+        prune_values: int | None = None,
         label: str = "",
         watch: Callable[[Column], Sequence[Column]] | None = None,
         accept: Callable[[dict], None] | None = None,
@@ -380,7 +388,8 @@ class VersionedTable:
         The table keeps one row per non-NULL key: the first write checks that,
         later ones refuse a source in which several rows match one row.
         ``prune_by`` is a key column with few values per batch: table rows with
-        other values cannot match and are left out before any shuffle.
+        other values cannot match and are left out before any shuffle; their number
+        is counted unless ``prune_values`` tells it, about.
 
         ``watch`` gives aggregates over the source rows, told the number of a
         row among those with its key; they are observed while the rows are
@@ -407,15 +416,14 @@ class VersionedTable:
             raise ValueError(f"{self.root} was merged on {others}, not on {tuple(keys)}")
         target = self._frame(log, None)
         if prune_by is not None:
-            target = _only_values_of(source, target, prune_by, moves=not self.keyed)
+            target = _only_values_of(source, target, prune_by, not self.keyed, prune_values)
         if not source_unique:
             require_unambiguous(source, target, keys)
         schema = source.schema
-        if watch:
-            source = self._numbered(source, keys)
         if watch and self._deals_by_part_of(keys):
-            changes = classify_in_place(source, target, keys, update_when, compare)
+            changes = classify_in_place(self._dealt(source), target, keys, update_when, compare, _NTH)
         else:
+            source = self._numbered(source, keys) if watch else source
             changes = classify(source, target, keys, update_when, compare)
         if watch:
             changes = changes.observe(seen, *watch(F.col(_NTH))).drop(_NTH)
@@ -424,8 +432,9 @@ class VersionedTable:
             accept(seen.get)
             num_source = seen.get["rows"] if num_source is None else num_source
         inserted, updated = counts[INSERT], counts[UPDATE]
+        every = 0 < updated == log[-1]["rows"]  # as keys are unique, no older row is left
         return self._publish(
-            log, version, run, schema, "MERGE", False, ",".join(keys),
+            log, version, run, schema, "MERGE", every, ",".join(keys),
             source.count() if num_source is None else num_source,
             inserted, updated, log[-1]["rows"] + inserted, label,
         )
@@ -435,16 +444,21 @@ class VersionedTable:
 
     def _numbered(self, source: DataFrame, keys: Sequence[str]) -> DataFrame:
         """Source rows numbered within their key, dealt as the table's buckets are."""
-        if self.keyed:
-            source = source.repartition(self.buckets(), *self.keyed)
         each = Window.partitionBy(*keys).orderBy(*keys)
-        return source.withColumn(_NTH, F.row_number().over(each))
+        return self._dealt(source).withColumn(_NTH, F.row_number().over(each))
+
+    def _dealt(self, source: DataFrame) -> DataFrame:
+        return source.repartition(self.buckets(), *self.keyed) if self.keyed else source
 
     def has_updates(self) -> bool:
         """Whether reads of the latest version have superseded rows to drop."""
+        return self.superseded_rows() > 0
+
+    def superseded_rows(self) -> int:
+        """Rows that reads of the latest version drop, from the log alone."""
         log = self._log()
         start = max((i for i, r in enumerate(log) if r["replaces"]), default=0)
-        return any(r["num_updated"] for r in log[start:] if not r["replaces"])
+        return sum(r["num_updated"] for r in log[start:] if not r["replaces"])
 
     def compact(self) -> int:
         """Write the current rows as one replacing version, so reads need no anti-join."""
@@ -467,17 +481,21 @@ class VersionedTable:
         if self.keyed:
             self._write_buckets(rows, version, run)
         elif self.split_by:
-            placed = rows
-            if FOLDER not in rows.columns:
+            by = self._sorted_by(rows.drop(FOLDER))
+            into = f"{path}/op={INSERT}"
+            if FOLDER in rows.columns:  # a task has few folders; rows that a window sorted stay so
+                placed = rows.sortWithinPartitions(*by)
+                with unsorted_writes(self.spark):
+                    placed.write.partitionBy(FOLDER).options(**FILE_OPTIONS).parquet(into)
+            else:
                 # Spark splits a folder that is too large for one task and joins small ones
                 placed = rows.withColumn(FOLDER, self.folder_of(F.col(self.split_by)))
-                placed = placed.hint("rebalance", FOLDER)
-            placed = placed.sortWithinPartitions(FOLDER, *self._sorted_by(rows.drop(FOLDER)))
-            placed.write.partitionBy(FOLDER).parquet(f"{path}/op={INSERT}", compression=COMPRESSION)
+                placed = placed.hint("rebalance", FOLDER).sortWithinPartitions(FOLDER, *by)
+                placed.write.partitionBy(FOLDER).options(**FILE_OPTIONS).parquet(into)
         elif "op" in rows.columns:
-            rows.write.partitionBy("op").parquet(path, compression=COMPRESSION)
+            rows.write.partitionBy("op").options(**FILE_OPTIONS).parquet(path)
         else:  # one folder: keeps the row order the plan produced
-            rows.write.parquet(f"{path}/op={INSERT}", compression=COMPRESSION)
+            rows.write.options(**FILE_OPTIONS).parquet(f"{path}/op={INSERT}")
         # Counted from file footers, so task retries cannot distort the metrics.
         try:
             op_only = self.spark.read.schema("op string").option("basePath", path).parquet(path)
@@ -559,12 +577,12 @@ def move_folder(spark: SparkSession, path: str, to: str) -> bool:
 
 
 def _key_print(rows: DataFrame, keys: Sequence[str]) -> tuple[int, int, str, str]:
-    """Rows, rows without a whole key, and two order-free sums over the keys' SHA-256."""
-    hashed = row_hash(keys)
-    sums = [
-        F.sum(F.conv(F.substring(hashed, at, 15), 16, 10).cast("decimal(38,0)")).cast("string")
-        for at in (1, 16)
-    ]
+    """Rows, rows without a whole key, and two order-free sums over the keys' SHA-256.
+
+    A key with the hash of its row in it is not hashed so again.
+    """
+    hashed = [F.col(k) for k in keys] if ROW_HASH in keys else [row_hash(keys)]
+    sums = [exact_sum(F.xxhash64(F.lit(seed), *hashed)).cast("string") for seed in (1, 2)]
     return tuple(rows.agg(F.count(F.lit(1)), F.count_if(~_whole(keys)), *sums).first())
 
 
@@ -572,14 +590,18 @@ def _whole(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
-def _only_values_of(source: DataFrame, target: DataFrame, column: str, moves: bool) -> DataFrame:
+def _only_values_of(
+    source: DataFrame, target: DataFrame, column: str, moves: bool, n_values: int | None = None
+) -> DataFrame:
     """Target rows whose ``column`` value the source has.
 
     Few values are broadcast; of many, a target that would have to move is
     narrowed by a join, and one whose join moves nothing is left as it is.
     """
     values = source.select(column).distinct()
-    if values.limit(PRUNE_VALUES + 1).count() <= PRUNE_VALUES:
+    if n_values is None:
+        n_values = values.limit(PRUNE_VALUES + 1).count()
+    if n_values <= PRUNE_VALUES:
         values = F.broadcast(values)
     elif not moves:
         return target
